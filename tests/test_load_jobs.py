@@ -1,0 +1,177 @@
+"""Ingest end to end: landed folders to raw tables to marts."""
+
+import os
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from landmart.plans import jobs
+from landmart.plans.tables import MART_TABLES, RAW_TABLES
+from landmart.schemas import OWNER_FILE_COLUMNS
+from landmart.sources import shapefile
+from tests.shapefile_bytes import write_shapefile
+
+HEADER = ",".join(f"Column {i}" for i in range(34))
+
+
+def line(**cells):
+    return ",".join(cells.get(c, "") for c in OWNER_FILE_COLUMNS)
+
+
+def square(x, y, side=0.001, hole=False):
+    ring = [(x, y), (x, y + side), (x + side, y + side), (x + side, y), (x, y)]  # clockwise
+    return ring[::-1] if hole else ring
+
+
+def put_owners(root, day, *lines, newline="\n"):
+    folder = f"{root}/{day}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/Owner_Address.csv", "w", newline="") as out:
+        out.write(newline.join([HEADER, *lines]) + newline)
+
+
+def put_parcels(root, day, *records):
+    write_shapefile(f"{root}/{day}/Parcels/Parcels", list(records))
+
+
+@pytest.fixture
+def places(spark, tmp_path):
+    landing, warehouse = str(tmp_path / "data"), str(tmp_path / "warehouse")
+    os.makedirs(landing)
+    yield landing, warehouse
+    for name in [*RAW_TABLES, *MART_TABLES]:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def owner(name, parcel="P1", account="R1", pct="1", kind="RESIDENTIAL", **more):
+    return line(strap=account, folio=parcel, owner_name=name, pct_own=pct, account_type=kind, **more)
+
+
+def names(spark, day):
+    rows = spark.table("raw.owners").filter(F.col("file_index") == day).select("owner_name").collect()
+    return sorted(r[0] for r in rows)
+
+
+def test_load_and_rebuild(spark, places):
+    landing, warehouse = places
+    put_owners(landing, "20210525", owner("ANN"), owner("ANN"), owner("BOB", "P2", "M7", "0.5"))
+    put_parcels(
+        landing, "20210525",
+        ((1, "P1", 10.5, 4), [square(-105, 40)]),
+        ((2, "P2", 10.5, 4), [square(-105, 40.1), square(-104.9998, 40.1002, 0.0002, hole=True)]),
+        ((3, "P3", 10.5, 4), None),
+        ((4, "", 10.5, 4), [square(-105, 40.2)]),
+    )
+    put_owners(landing, "20210526", owner("ANN"), owner("ANN", "P2", "R2", "0.5"))
+    put_parcels(
+        landing, "20210526",
+        ((1, "P1", None, 4), [square(-105, 40)]), ((2, "P2", 1, 4), [square(-105, 40.1)]),
+    )
+    report = jobs.run(spark, landing, warehouse, "all", rebuild_marts=True)
+    assert report.owners_loaded == report.parcels_loaded == ["20210525", "20210526"]
+    assert report.features_skipped == 1 and report.rebuilt
+
+    assert spark.table("raw.owners").columns[-1] == "file_index"
+    assert dict(spark.table("raw.owners").dtypes)["file_index"] == "string"
+    assert names(spark, "20210525") == ["ANN", "BOB"]
+    assert spark.table("raw.owners").filter("created_at IS NULL").isEmpty()
+    parcels = {(r.file_index, r.parcel_id): r for r in spark.table("raw.parcels").collect()}
+    assert sorted(parcels) == [("20210525", "P1"), ("20210525", "P2"), ("20210526", "P1"), ("20210526", "P2")]
+    first = parcels["20210525", "P1"]
+    assert (first.object_id, first.shape_area, first.shape_len) == ("1", "10.5", "4.0")
+    assert parcels["20210526", "P1"].shape_area is None
+    assert first.area_m2 == pytest.approx(9481.607195513277, rel=1e-9)
+    assert len(parcels["20210525", "P2"].geom[0]) == 2
+
+    days = {(r.report_date, r.owner_name): r for r in spark.table("marts.owner_daily_summary").collect()}
+    ann = days[date(2021, 5, 26), "ANN"]
+    assert ann.total_real_property_owned == 2 and ann.real_property_gain_loss == 1
+    assert days[date(2021, 5, 25), "BOB"].total_building_property_owned == 1
+    types = spark.table("marts.land_type_daily_summary").collect()
+    assert sorted((r.report_date, r.total_parcels) for r in types) == [
+        (date(2021, 5, 25), 1), (date(2021, 5, 26), 2)
+    ]
+
+
+def test_skip_overwrite_and_emptying(spark, places):
+    landing, warehouse = places
+    put_owners(landing, "20210525", owner("ANN"))
+    put_owners(landing, "20210526", owner("BOB"))
+    put_parcels(landing, "20210525", ((1, "P1", 1, 1), [square(-105, 40)]))
+    first = jobs.run(spark, landing, warehouse, "all")
+    assert first.owners_loaded == ["20210525", "20210526"] and first.parcels_loaded == ["20210525"]
+
+    put_owners(landing, "20210526", owner("CY"))
+    assert jobs.run(spark, landing, warehouse, "latest").owners_loaded == []
+    assert names(spark, "20210526") == ["BOB"]
+    assert jobs.run(spark, landing, warehouse, "2021-05-26", overwrite=True).owners_loaded == ["20210526"]
+    assert names(spark, "20210526") == ["CY"] and names(spark, "20210525") == ["ANN"]
+
+    # nothing survives: the snapshot is emptied, counts as not loaded, others stay
+    put_parcels(landing, "20210525", ((1, "", 1, 1), [square(-105, 40)]), ((2, "P9", 1, 1), None))
+    put_owners(landing, "20210525")
+    again = jobs.run(spark, landing, warehouse, "2021-05-25", overwrite=True)
+    assert again.features_skipped == 1
+    assert names(spark, "20210525") == [] and names(spark, "20210526") == ["CY"]
+    assert spark.table("raw.parcels").isEmpty()
+    put_owners(landing, "20210525", owner("DEE"))
+    assert jobs.run(spark, landing, warehouse, "2021-05-25").owners_loaded == ["20210525"]
+    assert names(spark, "20210525") == ["DEE"]
+
+
+def test_choice_of_snapshots(spark, places):
+    landing, warehouse = places
+    put_owners(landing, "20210525", owner("ANN"))
+    put_owners(landing, "20210526", owner("BOB"))
+    put_owners(landing, ".hidden", owner("NO"))
+    put_owners(landing, "notes", owner("NO"))
+    assert jobs.run(spark, landing, warehouse).owners_loaded == []
+    assert jobs.run(spark, landing, warehouse, today=date(2021, 5, 25)).owners_loaded == ["20210525"]
+    bad = jobs.run(spark, landing, warehouse, "2021-5-26", rebuild_marts=True)
+    assert bad.invalid_date == "2021-5-26" and bad.owners_loaded == [] and bad.rebuilt
+    assert jobs.run(spark, landing, warehouse, "2021-05-27").owners_loaded == []
+    assert jobs.run(spark, landing, warehouse, "all").owners_loaded == ["20210526"]
+
+
+def test_load_without_rebuild_leaves_marts(spark, places):
+    landing, warehouse = places
+    put_owners(landing, "20210525", owner("ANN"))
+    put_parcels(landing, "20210525", ((1, "P1", 1, 1), [square(-105, 40)]))
+    jobs.run(spark, landing, warehouse, "all")
+    assert spark.table("marts.owner_daily_summary").isEmpty()
+    for _ in range(3):  # both slots are used in turn
+        jobs.run(spark, landing, warehouse, "all", rebuild_marts=True)
+        assert spark.table("marts.owner_daily_summary").count() == 1
+
+
+def test_tables_are_found_again(spark, places):
+    landing, warehouse = places
+    put_owners(landing, "20210525", owner("ANN"))
+    jobs.run(spark, landing, warehouse, "all")
+    spark.sql("DROP TABLE raw.owners")
+    assert jobs.run(spark, landing, warehouse, "all").owners_loaded == []
+    assert names(spark, "20210525") == ["ANN"]
+
+
+def test_shapes_in_small_splits(spark, tmp_path):
+    """Record ranges, ring grouping and null shapes, cut into many partitions."""
+    shapefile.register(spark)
+    records = []
+    for i in range(500):
+        x = -105 + i * 0.01
+        two = [square(x, 40), square(x, 41), square(x + 0.0002, 41.0002, 0.0002, hole=True)]
+        rings = None if i % 10 == 0 else [square(x, 40)] if i % 2 else two
+        records.append(((i, f"P{i}", i / 2, 4), rings))
+    write_shapefile(str(tmp_path / "Parcels"), records)
+    df = (
+        spark.read.format("parcel_shapes")
+        .option("paths", str(tmp_path / "Parcels.shp")).option("splitBytes", 4000).load()
+    )
+    assert df.rdd.getNumPartitions() > 5
+    rows = {r.object_id: r for r in df.collect()}
+    assert len(rows) == 500
+    assert rows["10"].geom is None and len(rows["11"].geom) == 1
+    assert [len(polygon) for polygon in rows["12"].geom] == [1, 2]
+    assert rows["13"].shape_area == "6.5" and rows["13"].parcel_no == "P13"
+    assert (rows["12"].geom[1][1][0].x, rows["12"].geom[1][1][0].y) == (-105 + 0.12 + 0.0002, 41.0002)
