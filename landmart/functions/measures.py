@@ -17,9 +17,15 @@ def ratio(part: Column, whole: Column) -> Column:
     return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
 
 
-def mean_stake(total: Column, n: Column) -> Column:
-    """Exact decimal mean with 17 places, NULL when nothing was counted."""
-    return total.cast("decimal(22,3)") / F.nullif(n, F.lit(0)).cast("decimal(13,0)")
+def thousandths(stake: Column) -> Column:
+    """A stake as a whole number. Sums of these are exact, and cheaper than decimal sums."""
+    return (stake * F.lit(1000)).cast("bigint")
+
+
+def mean_stake(total_thousandths: Column, n: Column) -> Column:
+    """Decimal mean with 17 places, NULL when nothing was counted."""
+    divisor = F.nullif(n, F.lit(0)) * F.lit(1000)
+    return total_thousandths.cast("decimal(20,0)") / divisor.cast("decimal(16,0)")
 
 
 def count_change(current: Column, over: WindowSpec) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from landmart.constants import RESIDENTIAL_TYPES
 from landmart.functions.attributes import in_types
-from landmart.functions.measures import mean_stake
+from landmart.functions.measures import mean_stake, thousandths
 from landmart.operators.areas import one_row_per
 from landmart.operators.ownership import distinct_ownership
 
@@ -22,7 +22,7 @@ def holdings(owners: DataFrame, parcels: DataFrame) -> DataFrame:
 
 
 def holdings_per_parcel(held: DataFrame) -> DataFrame:
-    """One row per owner, parcel and snapshot: which kinds are held, and stake sums by kind.
+    """One row per owner, parcel and snapshot: which kinds are held, and stakes by kind in thousandths.
 
     Grouping on the join keys and the owner needs no shuffle after the join. Flags per parcel
     turn the later distinct parcel counts into plain sums.
@@ -35,7 +35,7 @@ def holdings_per_parcel(held: DataFrame) -> DataFrame:
         return F.max(F.when(kind, 1).otherwise(0))
 
     def stakes(kind):
-        return F.when(kind, F.col("pct_own"))
+        return F.when(kind, thousandths(F.col("pct_own")))
 
     return held.groupBy("file_index", "parcel_id", "owner_name").agg(
         F.max("area_m2").alias("area_m2"),
@@ -61,8 +61,8 @@ def holdings_per_owner(per_parcel: DataFrame) -> DataFrame:
         F.sum("real").alias("real_parcels"),
         F.sum("building").alias("building_parcels"),
         F.sum("residential").alias("residential_parcels"),
-        F.sum(area * F.col("real_stake")).alias("real_m2"),
-        F.coalesce(F.sum(area * F.col("residential_stake")), F.lit(0)).alias("residential_m2"),
+        (F.sum(area * F.col("real_stake")) / 1000).alias("real_m2"),
+        F.coalesce(F.sum(area * F.col("residential_stake")) / 1000, F.lit(0)).alias("residential_m2"),
         mean_stake(F.sum("real_stake"), F.sum("real_stakes")).alias("real_mean_stake"),
         F.coalesce(
             mean_stake(F.sum("building_stake"), F.sum("building_stakes")), F.lit(0)
