@@ -44,15 +44,15 @@ def _pick(
 
 
 def _write(
-    spark: SparkSession, paths: dict[str, str], table: str, rows_of: Callable[[list[str]], DataFrame]
+    spark: SparkSession, table: str, snapshots: list[str], rows_of: Callable[[list[str]], DataFrame], mixed: bool
 ) -> None:
     """Snapshots new to the table go in one job; those in it are replaced one by one."""
     present = {row.file_index for row in loaded_snapshots(spark, table).collect()}
-    new = [path for snapshot, path in sorted(paths.items()) if snapshot not in present]
+    new = [snapshot for snapshot in snapshots if snapshot not in present]
     if new:
-        add_snapshots(rows_of(new), table, several=len(new) > 1)
-    for snapshot in sorted(present & paths.keys()):
-        replace_snapshot(spark, rows_of([paths[snapshot]]), table, snapshot)
+        add_snapshots(rows_of(new), table, mixed and len(new) > 1)
+    for snapshot in sorted(present.intersection(snapshots)):
+        replace_snapshot(spark, rows_of([snapshot]), table, snapshot)
 
 
 def load_owners(
@@ -61,10 +61,12 @@ def load_owners(
     """Load ownership files; snapshots without one and those already loaded are skipped."""
     paths = _pick(spark, landed, requested, OWNER_FILE, "raw.owners", overwrite)
 
-    def rows_of(files: list[str]) -> DataFrame:
-        return raw_owner_rows(read_owner_files(spark, files)).withColumn("created_at", F.current_timestamp())
+    def rows_of(snapshots: list[str]) -> DataFrame:
+        staged = read_owner_files(spark, [paths[snapshot] for snapshot in snapshots])
+        return raw_owner_rows(staged).withColumn("created_at", F.current_timestamp())
 
-    _write(spark, paths, "raw.owners", rows_of)
+    # the grouping of duplicates has spread every snapshot over all tasks
+    _write(spark, "raw.owners", sorted(paths), rows_of, mixed=True)
     return sorted(paths)
 
 
@@ -76,15 +78,36 @@ def load_parcels(
     paths = _pick(spark, landed, requested, PARCEL_FILE, "raw.parcels", overwrite)
     counts: list[Observation] = []
 
-    def rows_of(files: list[str]) -> DataFrame:
-        features = spark.read.format("parcel_shapes").option("paths", "\n".join(files)).load()
+    def rows_of(snapshots: list[str]) -> DataFrame:
+        files = "\n".join(paths[snapshot] for snapshot in snapshots)
+        features = spark.read.format("parcel_shapes").option("paths", files).load()
         counts.append(Observation())
         return raw_parcel_rows(features.withColumn("file_index", snapshot_of(F.col("path"))), counts[-1])
 
-    _write(spark, paths, "raw.parcels", rows_of)
+    # a task reads a piece of one file, so of one snapshot
+    _write(spark, "raw.parcels", sorted(paths), rows_of, mixed=False)
     return sorted(paths), sum(count.get["records_skipped"] for count in counts)
 
 
+def load_features(
+    spark: SparkSession, features: DataFrame, overwrite: bool = False
+) -> tuple[list[str], int]:
+    """Load parcels from a table of features (object_id, parcel_no, shape_area, shape_len, geom,
+    file_index) instead of shapefiles; see ``features_from_wkt`` and ``features_from_wkb``."""
+    requested = features.select("file_index").distinct()
+    if not overwrite:
+        requested = pending_snapshots(requested, loaded_snapshots(spark, "raw.parcels"))
+    chosen = sorted(row.file_index for row in requested.collect())  # one row per snapshot
+    counts: list[Observation] = []
+
+    def rows_of(snapshots: list[str]) -> DataFrame:
+        counts.append(Observation())
+        return raw_parcel_rows(features.filter(F.col("file_index").isin(snapshots)), counts[-1])
+
+    _write(spark, "raw.parcels", chosen, rows_of, mixed=True)
+    return chosen, sum(count.get["records_skipped"] for count in counts)
+
+
 def rebuild(spark: SparkSession) -> None:
     """Recompute both marts from all raw snapshots."""
     owners, parcels = spark.table("raw.owners"), spark.table("raw.parcels")

@@ -51,14 +51,14 @@ def loaded_snapshots(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
-def add_snapshots(rows: DataFrame, table: str, several: bool) -> None:
+def add_snapshots(rows: DataFrame, table: str, mixed: bool) -> None:
     """Write the rows' snapshots, each as a whole, leaving other snapshots alone.
 
-    With several snapshots the rows are first brought together by snapshot in pieces of even
-    size, so that every snapshot gets few files and a large one is split over many tasks.
+    ``mixed`` says that tasks hold rows of many snapshots. These are first brought together by
+    snapshot in pieces of even size, so that a snapshot gets few files and a large one many tasks.
     """
     rows = conform(rows, RAW_TABLES[table])
-    if several:
+    if mixed:
         rows = rows.hint("rebalance", "file_index")
     rows.write.insertInto(table, overwrite=True)
 

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # replacing a snapshot leaves the other snapshots alone
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a task that holds few snapshots writes them side by side, without sorting its rows first
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot parcel's join partition even if the aggregation above then needs a shuffle

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from landmart.functions.geodesic import geodesic_area
 from landmart.functions.geometry import has_vertices, polygons_from_wkt
 from landmart.schemas import RAW_PARCELS, conform
+from landmart.sources.wkb import polygons_from_wkb
 
 
 def features_from_wkt(df: DataFrame) -> DataFrame:
@@ -15,6 +16,11 @@ def features_from_wkt(df: DataFrame) -> DataFrame:
     return df.withColumn("geom", polygons_from_wkt(F.col("wkt"))).drop("wkt")
 
 
+def features_from_wkb(df: DataFrame) -> DataFrame:
+    """Features whose geometry is a ``wkb`` binary column."""
+    return df.withColumn("geom", polygons_from_wkb(F.col("wkb"))).drop("wkb")
+
+
 def raw_parcel_rows(features: DataFrame, skipped: Observation | None = None) -> DataFrame:
     """Drop features without geometry (counted as ``records_skipped``) and without a parcel id.
 

@@ -20,6 +20,8 @@ from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from landmart.sources.nested import POLYGON_LISTS, Polygon, Ring, polygon_array
+
 SCHEMA = (
     "object_id string, parcel_no string, shape_area string, shape_len string, "
     "geom array<array<array<struct<x:double,y:double>>>>, path string"
@@ -35,10 +37,9 @@ INDEX_HEADER, INDEX_ENTRY, RECORD_HEADER, POLYGON_HEADER = 100, 8, 8, 44
 SPLIT_BYTES = 32 * 1024 * 1024
 BATCH_RECORDS = 2000
 
-_VERTEX = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 _COLUMNS = pa.schema(
     [(name, pa.string()) for name in ("object_id", "parcel_no", "shape_area", "shape_len")]
-    + [("geom", pa.list_(pa.list_(pa.list_(_VERTEX)))), ("path", pa.string())]
+    + [("geom", POLYGON_LISTS), ("path", pa.string())]
 )
 
 
@@ -103,7 +104,7 @@ class ParcelShapesReader(DataSourceReader):
                 count = min(BATCH_RECORDS, partition.last - first)
                 entries = index.read_at(count * INDEX_ENTRY, INDEX_HEADER + first * INDEX_ENTRY)
                 extents = np.frombuffer(entries, ">i4").reshape(-1, 2).astype(np.int64) * 2
-                geometry = _polygons(_record_contents(shapes, extents))
+                geometry = polygon_array([_polygons(c) for c in _record_contents(shapes, extents)])
                 texts = attributes.read(first, count)
                 yield pa.RecordBatch.from_arrays(
                     [*texts, geometry, pa.array([partition.path] * count, pa.string())], schema=_COLUMNS
@@ -158,48 +159,26 @@ def _cell_text(cell: bytes, kind: str, places: int) -> str | None:
     return text
 
 
-def _polygons(contents: list[bytes]) -> pa.Array:
-    """Record contents to nested arrays; null shapes become NULL."""
-    points, ring_sizes, polygon_sizes, record_sizes = [], [], [], []
-    for content in contents:
-        kind = int.from_bytes(content[:4], "little")
-        if kind == NULL_SHAPE:
-            record_sizes.append(None)
-            continue
-        if kind not in POLYGON_SHAPES:
-            raise ValueError(f"not a polygon shape: type {kind}")
-        parts, n = np.frombuffer(content, "<i4", 2, 36).tolist()
-        starts = np.frombuffer(content, "<i4", parts, POLYGON_HEADER).tolist()
-        xy = np.frombuffer(content, "<f8", 2 * n, POLYGON_HEADER + 4 * parts).reshape(-1, 2)
-        rings = [xy[a:z] for a, z in zip(starts, [*starts[1:], n]) if z > a]
-        polygons = [rings] if len(rings) == 1 else _group_rings(rings)
-        record_sizes.append(len(polygons))
-        for polygon in polygons:
-            polygon_sizes.append(len(polygon))
-            ring_sizes += [len(ring) for ring in polygon]
-            points += polygon
-    xy = np.concatenate(points) if points else np.empty((0, 2))
-    vertices = pa.StructArray.from_arrays(
-        [pa.array(xy[:, 0].copy()), pa.array(xy[:, 1].copy())], fields=list(_VERTEX)
-    )
-    rings = pa.ListArray.from_arrays(_offsets(ring_sizes), vertices)
-    polygons = pa.ListArray.from_arrays(_offsets(polygon_sizes), rings)
-    missing = pa.array([size is None for size in record_sizes])
-    return pa.ListArray.from_arrays(
-        _offsets([size or 0 for size in record_sizes]), polygons, mask=missing
-    )
-
-
-def _offsets(sizes: list[int]) -> pa.Array:
-    return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-
-
-def _clockwise(ring: np.ndarray) -> bool:
+def _polygons(content: bytes) -> list[Polygon] | None:
+    """One record's polygons; None for a null shape."""
+    kind = int.from_bytes(content[:4], "little")
+    if kind == NULL_SHAPE:
+        return None
+    if kind not in POLYGON_SHAPES:
+        raise ValueError(f"not a polygon shape: type {kind}")
+    parts, n = np.frombuffer(content, "<i4", 2, 36).tolist()
+    starts = np.frombuffer(content, "<i4", parts, POLYGON_HEADER).tolist()
+    xy = np.frombuffer(content, "<f8", 2 * n, POLYGON_HEADER + 4 * parts).reshape(-1, 2)
+    rings = [xy[a:z] for a, z in zip(starts, [*starts[1:], n]) if z > a]
+    return [rings] if len(rings) == 1 else _group_rings(rings)
+
+
+def _clockwise(ring: Ring) -> bool:
     x, y = (ring - ring[0]).T
     return float(x @ np.roll(y, -1) - y @ np.roll(x, -1)) < 0
 
 
-def _inside(point: np.ndarray, ring: np.ndarray) -> bool:
+def _inside(point: np.ndarray, ring: Ring) -> bool:
     """Even-odd rule along the horizontal ray to the right of the point."""
     (px, py), nxt = point, np.roll(ring, -1, axis=0)
     crossing = (ring[:, 1] > py) != (nxt[:, 1] > py)
@@ -208,7 +187,7 @@ def _inside(point: np.ndarray, ring: np.ndarray) -> bool:
     return bool(np.count_nonzero(at > px) % 2)
 
 
-def _group_rings(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
+def _group_rings(rings: list[Ring]) -> list[Polygon]:
     """Shells with their holes. A hole goes to the smallest shell around it; a hole outside of
     every shell becomes a polygon of its own."""
     shells = [[ring] for ring in rings if _clockwise(ring)]

@@ -1,6 +1,7 @@
 """Area against the closed form of latitude/longitude cells, and the WKT reader."""
 
 import math
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from landmart.functions.geodesic import geodesic_area
 from landmart.functions.geometry import has_vertices, polygons_from_wkt
 from landmart.plans.quality import features_without_geometry
 from landmart.sources.parcel_features import features_from_wkt, raw_parcel_rows
+from landmart.sources.wkb import polygons_from_wkb
 
 
 def cell_area(x0, y0, x1, y1):
@@ -116,3 +118,37 @@ def test_features_to_raw_rows(spark):
     assert [(r.object_id, r.parcel_id) for r in kept] == [("1", "P1"), ("1", "P1")]  # duplicates stay
     assert kept[0].area_m2 == pytest.approx(cell_area(-105, 40, -104.999, 40.001), rel=1e-8)
     assert [tuple(r) for r in features_without_geometry(features).collect()] == [("20210526", 2)]
+
+
+def wkb(polygons, order="<", multi=True, srid=False, z=False):
+    """Well-known binary by hand."""
+    def head(kind, with_srid):
+        code = kind | (0x20000000 if with_srid else 0) | (0x80000000 if z else 0)
+        mark = struct.pack(order + "BI", order == "<", code)
+        return mark + (struct.pack(order + "I", 4326) if with_srid else b"")
+
+    def one(polygon, with_srid):
+        body = head(3, with_srid) + struct.pack(order + "I", len(polygon))
+        for points in polygon:
+            body += struct.pack(order + "I", len(points))
+            body += b"".join(struct.pack(order + ("3d" if z else "2d"), *p, *([9.0] if z else [])) for p in points)
+        return body
+
+    if not multi:
+        return one(polygons[0], srid)
+    parts = b"".join(one(polygon, False) for polygon in polygons)
+    return head(6, srid) + struct.pack(order + "I", len(polygons)) + parts
+
+
+@pytest.mark.parametrize("variant", [
+    {}, {"order": ">"}, {"srid": True}, {"z": True}, {"multi": False}, {"multi": False, "srid": True, "order": ">"},
+])
+def test_wkb_equals_wkt(spark, variant):
+    polygons = [[ring(-105.0, 40.0, 0.003), ring(-104.999, 40.001, 0.001)]]
+    wkt = f"POLYGON ({', '.join(text(r) for r in polygons[0])})"
+    if variant.get("multi", True):
+        polygons.append([ring(-104.0, 41.0, 0.002)])
+        wkt = f"MULTIPOLYGON (({', '.join(text(r) for r in polygons[0])}), ({text(polygons[1][0])}))"
+    df = spark.createDataFrame([(wkb(polygons, **variant), wkt), (None, None)], "b binary, t string")
+    rows = df.select(polygons_from_wkb("b").alias("b"), polygons_from_wkt(F.col("t")).alias("t")).collect()
+    assert rows[0].b == rows[0].t and rows[1].b is None

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from landmart.plans import jobs
-from landmart.plans.tables import MART_TABLES, RAW_TABLES
+from landmart.plans.tables import MART_TABLES, RAW_TABLES, create_tables
 from landmart.schemas import OWNER_FILE_COLUMNS
 from landmart.sources import shapefile
+from landmart.sources.parcel_features import features_from_wkt
 from tests.shapefile_bytes import write_shapefile
 
 HEADER = ",".join(f"Column {i}" for i in range(34))
@@ -175,3 +176,19 @@ def test_shapes_in_small_splits(spark, tmp_path):
     assert [len(polygon) for polygon in rows["12"].geom] == [1, 2]
     assert rows["13"].shape_area == "6.5" and rows["13"].parcel_no == "P13"
     assert (rows["12"].geom[1][1][0].x, rows["12"].geom[1][1][0].y) == (-105 + 0.12 + 0.0002, 41.0002)
+
+
+def test_features_from_a_table(spark, places):
+    create_tables(spark, places[1])
+    cell = "POLYGON ((-105 40, -104.999 40, -104.999 40.001, -105 40.001, -105 40))"
+
+    def table(*rows):
+        columns = "object_id string, parcel_no string, shape_area string, shape_len string, wkt string, file_index string"
+        return features_from_wkt(spark.createDataFrame([("1", p, "1", "1", w, d) for p, w, d in rows], columns))
+
+    both = table(("P1", cell, "20210525"), ("P2", cell, "20210526"), ("P3", None, "20210526"))
+    assert jobs.load_features(spark, both) == (["20210525", "20210526"], 1)
+    assert jobs.load_features(spark, both) == ([], 0)
+    assert jobs.load_features(spark, table(("P4", cell, "20210526")), overwrite=True) == (["20210526"], 0)
+    rows = spark.table("raw.parcels").collect()
+    assert sorted((r.file_index, r.parcel_id) for r in rows) == [("20210525", "P1"), ("20210526", "P4")]
