@@ -27,8 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _snapshot_id() -> Column:
-    return F.date_format(F.date_trunc("MONTH", "l_shipdate"), "yyyyMMdd")
+def month_id(moment: Column) -> Column:
+    """First day of the month as yyyyMMdd, by arithmetic: cheaper than formatting every row."""
+    day = moment.cast("date")
+    return (F.year(day) * 10000 + F.month(day) * 100 + 1).cast("string")
 
 
 def account_type(p_type: Column) -> Column:
@@ -52,7 +54,7 @@ def owners(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("s_name").alias("owner_name"),
             stake(F.col("l_discount")).alias("pct_own"),
             account_type(F.col("p_type")).alias("account_type"),
-            _snapshot_id().alias("file_index"),
+            month_id(F.col("l_shipdate")).alias("file_index"),
         )
     )
 
@@ -61,7 +63,7 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").cast("string").alias("parcel_id"),
         F.col("l_quantity").cast("decimal(12,2)").alias("area_m2"),
-        _snapshot_id().alias("file_index"),
+        month_id(F.col("l_shipdate")).alias("file_index"),
     )
 
 

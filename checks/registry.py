@@ -151,7 +151,7 @@ def snapshot_date_parse(spark, d):
 def snapshot_pending(spark, d):
     requested = select_snapshots(b.parcels(spark, d), "all")
     loaded = b.table(spark, d, "orders").select(
-        F.date_format(F.date_trunc("MONTH", "o_orderdate"), "yyyyMMdd").alias("file_index")
+        b.month_id(F.col("o_orderdate")).alias("file_index")
     )
     return pending_snapshots(requested, loaded)
 
@@ -185,7 +185,7 @@ def _drawn(spark, d):
     """Features of lines that were not returned: the others play parcels without geometry."""
     lines = b.table(spark, d, "lineitem").filter(F.col("l_returnflag") != "R")
     return lines.select(
-        F.date_format(F.date_trunc("MONTH", "l_shipdate"), "yyyyMMdd").alias("file_index"),
+        b.month_id(F.col("l_shipdate")).alias("file_index"),
         F.col("l_partkey").cast("string").alias("parcel_id"),
     )
 
