@@ -12,8 +12,19 @@ EMPTY_TEXT = r"^\s*(?i:SRID=\d+;)?\s*(?i:[A-Z]+)\s+(?i:EMPTY)\s*$"
 
 
 def _vertex(text: Column) -> Column:
-    parts = F.split(F.trim(text), r"\s+")
-    return F.struct(parts[0].cast("double").alias("x"), parts[1].cast("double").alias("y"))
+    """The first two of the blank-separated numbers."""
+    numbers = F.trim(text)
+    x = F.substring_index(numbers, " ", 1)
+    rest = F.ltrim(F.substr(numbers, F.length(x) + 1))
+    return F.struct(
+        x.cast("double").alias("x"), F.substring_index(rest, " ", 1).cast("double").alias("y")
+    )
+
+
+def _blanks_only(text: Column) -> Column:
+    """Other white space becomes blanks; most text has none and is passed on as it is."""
+    other = text.contains("\t") | text.contains("\n") | text.contains("\r")
+    return F.when(other, F.translate(text, "\t\n\r", "   ")).otherwise(text)
 
 
 def polygons_from_wkt(wkt: Column) -> Column:
@@ -21,11 +32,12 @@ def polygons_from_wkt(wkt: Column) -> Column:
 
     NULL stays NULL, EMPTY gives no polygons, any other geometry type raises.
     """
-    body = F.regexp_replace(wkt, r"^[^(]*[\s(]*|[\s)]+$", "")
+    # without the brackets around everything; plain trimming at the end is cheaper than a pattern
+    body = F.rtrim(F.regexp_replace(_blanks_only(wkt), r"^[^(]*[ (]*", ""), F.lit(" )"))
     polygons = F.transform(
-        F.split(body, r"\)\s*\)\s*,\s*\(\s*\("),
+        F.split(body, r"\) *\) *, *\( *\("),
         lambda polygon: F.transform(
-            F.split(polygon, r"\)\s*,\s*\("),
+            F.split(polygon, r"\) *, *\("),
             lambda ring: F.transform(F.split(ring, ","), _vertex),
         ),
     )

@@ -81,7 +81,7 @@ def test_antimeridian(spark):
 @pytest.mark.parametrize("wkt", [
     "POLYGON((0 0,1 0,1 1,0 0))", "polygon (( 0  0 , 1 0,1 1 , 0 0 ))", "SRID=4326;POLYGON ((0 0, 1 0, 1 1, 0 0))",
     "MULTIPOLYGON(((0 0,1 0,1 1,0 0)))", "MULTIPOLYGON ( ( ( 0 0, 1 0, 1 1, 0 0 ) ) )",
-    "POLYGON Z ((0 0 7, 1 0 7, 1 1 7, 0 0 7))", "POLYGON ((0e0 0.0, 1E0 -0, 1 1.0e+0, 0 0))",
+    "POLYGON\n((0\t0,\r\n 1 0,\n1 1\n,0 0\n)\n)\n", "POLYGON Z ((0 0 7, 1 0 7, 1 1 7, 0 0 7))", "POLYGON ((0e0 0.0, 1E0 -0, 1 1.0e+0, 0 0))",
 ])
 def test_wkt_spellings(spark, wkt):
     df = spark.createDataFrame([(wkt,)], "w string")
