@@ -90,6 +90,64 @@ def parcel_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select(F.col("p_partkey").cast("string").alias("parcel_id"), wkt.alias("wkt"))
 
 
+def tenfold_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ownership with stakes ten times the discount, so that some parcels exceed the whole."""
+    return owners(spark, sf_dir).withColumn("pct_own", (F.col("pct_own") * 10).cast("decimal(10,3)"))
+
+
+def owners_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ownership of brands: the parts of a brand give it several account types."""
+    brands = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("parcel_id"), "p_brand"
+    )
+    return owners(spark, sf_dir).join(brands, "parcel_id").withColumn("parcel_id", F.col("p_brand"))
+
+
+def staged_owner_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the ownership file that a load uses, all text but for the unused date."""
+    lines = table(spark, sf_dir, "lineitem")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    parts = table(spark, sf_dir, "part")
+    kind = F.col("p_type")
+    return (
+        lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+        .join(parts, lines.l_partkey == parts.p_partkey)
+        .select(
+            F.col("l_shipdate").alias("created_date"),
+            F.concat("l_returnflag", F.lit("-"), F.col("l_linenumber").cast("string")).alias("strap"),
+            F.col("l_partkey").cast("string").alias("folio"),
+            F.col("l_linestatus").alias("status_cd"),
+            F.col("p_size").cast("string").alias("street_num"),
+            F.when(kind == "PROMO", F.col("p_brand")).alias("street_prefix"),
+            F.col("p_name").alias("street"),
+            F.when(kind != "SMALL", kind).alias("street_suffix"),
+            F.lit(None).cast("string").alias("street_unit"),
+            F.lit("").alias("city"),
+            F.lit(None).cast("string").alias("lot"),
+            F.col("s_name").alias("owner_name"),
+            F.col("l_discount").cast("decimal(4,2)").cast("string").alias("pct_own"),
+            account_type(kind).alias("account_type"),
+            month_id(F.col("l_shipdate")).alias("file_index"),
+        )
+    )
+
+
+def landed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as a landed feature; some types lack a parcel number, others a geometry."""
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("object_id"), "p_type", F.col("p_size").cast("string").alias("shape_area")
+    )
+    kind, wkt = F.col("p_type"), F.col("wkt")
+    return parts.join(parcel_shapes(spark, sf_dir), F.col("object_id") == F.col("parcel_id")).select(
+        "object_id",
+        F.when(kind == "SMALL", "").when(kind != "MEDIUM", F.col("parcel_id")).alias("parcel_no"),
+        "shape_area",
+        F.lit(None).cast("string").alias("shape_len"),
+        F.when(kind == "LARGE", "POLYGON EMPTY").when(kind != "PROMO", wkt).alias("wkt"),
+        F.lit(SNAPSHOT).alias("file_index"),
+    )
+
+
 _CASES = " ".join(f"WHEN '{source}' THEN '{target}'" for source, target in ACCOUNT_TYPES.items())
 _MONTH = "strftime(date_trunc('month', l_shipdate), '%Y%m%d')"
 
@@ -109,16 +167,3 @@ parcels AS (
          {_MONTH} AS file_index
   FROM lineitem
 )"""
-
-
-def tenfold_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ownership with stakes ten times the discount, so that some parcels exceed the whole."""
-    return owners(spark, sf_dir).withColumn("pct_own", (F.col("pct_own") * 10).cast("decimal(10,3)"))
-
-
-def owners_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ownership of brands: the parts of a brand give it several account types."""
-    brands = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("parcel_id"), "p_brand"
-    )
-    return owners(spark, sf_dir).join(brands, "parcel_id").withColumn("parcel_id", F.col("p_brand"))

@@ -104,12 +104,29 @@ def _square(x: str, y: str, side: str) -> str:
 
 SHAPES = """shapes AS (
   SELECT p_partkey, p_size,
-    -105.5e0 + CAST(p_partkey % 100 AS DOUBLE) * 0.01e0 AS x,
+    p_type, -105.5e0 + CAST(p_partkey % 100 AS DOUBLE) * 0.01e0 AS x,
     39.9e0 + CAST((p_partkey // 100) % 10000 AS DOUBLE) * 0.002e0 AS y,
     CAST(p_size AS DOUBLE) * 0.0001e0 AS side
   FROM part
 )"""
 
+SHAPE_AREA = f"""{_square('x', 'y', 'side')}
+    - CASE WHEN p_size % 2 = 0 THEN {_square('(x + side / 4e0)', '(y + side / 4e0)', 'side / 2e0')}
+      ELSE 0e0 END
+    + CASE WHEN p_size % 5 = 0 THEN {_square('x', '(y + 0.2e0)', 'side / 2e0')} ELSE 0e0 END"""
+
+
+def _residential_by_owner(owner_filter: str = "") -> str:
+    return f"""{RAW}, {AREAS},
+stakes AS (
+  SELECT DISTINCT owner_name, parcel_id, coalesce(pct_own, 1) AS stake FROM owners
+  WHERE is_real_property AND account_type IN {RESIDENTIAL} {owner_filter}
+)
+SELECT owner_name, {_dbl('CAST(sum(m2 * stake) AS DOUBLE) * 0.00024711e0')} AS total_owned_residential
+FROM stakes INNER JOIN area ON area.parcel_id = stakes.parcel_id AND area.file_index = '{SNAPSHOT}'
+GROUP BY owner_name"""
+
+
 ORACLE: dict[str, str] = {
     "owner_daily_summary": f"""{OWNER_DAYS}
 SELECT report_date, owner_name,
@@ -181,14 +198,8 @@ FROM kinds INNER JOIN area ON area.parcel_id = kinds.parcel_id AND area.file_ind
     "residential_acres_mart": f"""{TYPE_DAYS}
 SELECT {_dbl('sum(m2 * 0.00024711e0)')} AS total_land_area
 FROM type_days WHERE report_date = {DAY} AND account_type IN {RESIDENTIAL}""",
-    "owners_by_residential_raw": f"""{RAW}, {AREAS},
-stakes AS (
-  SELECT DISTINCT owner_name, parcel_id, coalesce(pct_own, 1) AS stake FROM owners
-  WHERE is_real_property AND account_type IN {RESIDENTIAL}
-)
-SELECT owner_name, {_dbl('CAST(sum(m2 * stake) AS DOUBLE) * 0.00024711e0')} AS total_owned_residential
-FROM stakes INNER JOIN area ON area.parcel_id = stakes.parcel_id AND area.file_index = '{SNAPSHOT}'
-GROUP BY owner_name""",
+    "owners_by_residential_raw": _residential_by_owner(),
+    "owners_by_residential_one_snapshot": _residential_by_owner(f"AND file_index = '{SNAPSHOT}'"),
     "owners_by_residential_mart": f"""{OWNER_DAYS}
 SELECT owner_name, {_dbl('residential_m2 * 0.00024711e0')} AS total_residential_land_area_owned_acres
 FROM owner_days WHERE report_date = {DAY}""",
@@ -221,6 +232,7 @@ FROM part""",
     "snapshot_date_parse": f"""{RAW}
 SELECT DISTINCT file_index, CAST(strptime(file_index, '%Y%m%d') AS DATE) AS report_date FROM parcels""",
     "snapshot_select": f"{RAW} SELECT max(file_index) AS file_index FROM parcels",
+    "snapshot_by_date": f"{RAW} SELECT DISTINCT file_index FROM parcels WHERE file_index = '{SNAPSHOT}'",
     "snapshot_pending": f"""{RAW}
 SELECT DISTINCT file_index FROM parcels
 EXCEPT
@@ -228,6 +240,22 @@ SELECT strftime(date_trunc('month', o_orderdate), '%Y%m%d') FROM orders""",
     "blank_key_filter": """
 SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS parcel_id
 FROM lineitem WHERE l_returnflag = 'N'""",
+    "raw_owner_rows": """
+SELECT DISTINCT l_returnflag || '-' || l_linenumber AS account_id, CAST(l_partkey AS VARCHAR) AS parcel_id,
+  CAST(NULL AS VARCHAR) AS lot, l_returnflag = 'R' AS is_real_property, l_linestatus AS status_cd,
+  p_size || ' ' || CASE WHEN p_type = 'PROMO' THEN p_brand || ' ' ELSE '' END || p_name || ' '
+    || CASE WHEN p_type <> 'SMALL' THEN p_type ELSE '' END AS address,
+  CAST(NULL AS VARCHAR) AS address_unit, '' AS city, s_name AS owner_name,
+  CAST(CAST(l_discount AS DECIMAL(10,3)) AS DOUBLE) AS pct_own,
+  CASE p_type WHEN 'ECONOMY' THEN 'RESIDENTIAL' WHEN 'SMALL' THEN 'APARTMENT' WHEN 'MEDIUM' THEN 'MIXED USE'
+    WHEN 'PROMO' THEN 'COMMERCIAL' WHEN 'LARGE' THEN 'NATURAL RESRC' WHEN 'STANDARD' THEN 'EXEMPT' END
+    AS account_type,
+  strftime(date_trunc('month', l_shipdate), '%Y%m%d') AS file_index
+FROM lineitem INNER JOIN supplier ON s_suppkey = l_suppkey INNER JOIN part ON p_partkey = l_partkey""",
+    "raw_parcel_rows": f"""WITH {SHAPES}
+SELECT CAST(p_partkey AS VARCHAR) AS object_id, CAST(p_partkey AS VARCHAR) AS parcel_id,
+  CAST(p_size AS VARCHAR) AS shape_area, '{SNAPSHOT}' AS file_index, round({SHAPE_AREA}, 1) AS area_m2
+FROM shapes WHERE p_type IN ('ECONOMY', 'STANDARD')""",
     "shape_vertices": """
 SELECT CAST(p_partkey AS VARCHAR) AS parcel_id,
   CAST(1 + (p_size % 5 = 0)::INTEGER AS INTEGER) AS polygons,
@@ -236,13 +264,13 @@ SELECT CAST(p_partkey AS VARCHAR) AS parcel_id,
 FROM part""",
     "geodesic_area": f"""WITH {SHAPES}
 SELECT CAST(p_partkey AS VARCHAR) AS parcel_id,
-  round({_square('x', 'y', 'side')}
-    - CASE WHEN p_size % 2 = 0 THEN {_square('(x + side / 4e0)', '(y + side / 4e0)', 'side / 2e0')}
-      ELSE 0e0 END
-    + CASE WHEN p_size % 5 = 0 THEN {_square('x', '(y + 0.2e0)', 'side / 2e0')} ELSE 0e0 END, 1) AS area_m2
+  round({SHAPE_AREA}, 1) AS area_m2
 FROM shapes""",
     "dq_multi_feature": f"""{RAW}
 SELECT file_index, parcel_id, count(*) AS features FROM parcels GROUP BY ALL HAVING count(*) > 1""",
+    "dq_no_geometry": f"""
+SELECT '{SNAPSHOT}' AS file_index, count(*) AS features FROM part
+WHERE p_type IN ('LARGE', 'PROMO') HAVING count(*) > 0""",
     "dq_unknown_parcel": f"""{RAW}, {DRAWN}
 SELECT file_index, parcel_id, count(*) AS owner_rows FROM owners
 WHERE (file_index, parcel_id) NOT IN (SELECT (file_index, parcel_id) FROM drawn) GROUP BY ALL""",

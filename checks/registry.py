@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import bindings as b
+from landmart.constants import COMMERCIAL_TYPES, RESIDENTIAL_TYPES
 from landmart.functions.attributes import assemble_address, in_types, is_real_account, report_date, stake
 from landmart.functions.geodesic import geodesic_area
 from landmart.functions.geometry import polygons_from_wkt
 from landmart.functions.measures import acres
-from landmart.constants import COMMERCIAL_TYPES, RESIDENTIAL_TYPES
 from landmart.operators.areas import parcel_area
 from landmart.operators.holdings import holdings, holdings_per_owner, holdings_per_parcel
 from landmart.operators.ownership import distinct_ownership, parcel_account_type
 from landmart.operators.snapshots import pending_snapshots, select_snapshots
 from landmart.plans import analyst, marts, quality
 from landmart.session import configure
+from landmart.sources import owner_csv, parcel_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 SNAPSHOT_DAY = datetime.strptime(b.SNAPSHOT, "%Y%m%d").date()
@@ -190,6 +191,21 @@ def _drawn(spark, d):
     )
 
 
+def raw_owner_rows(spark, d):
+    return comparable(owner_csv.raw_owner_rows(b.staged_owner_file(spark, d)))
+
+
+def raw_parcel_rows(spark, d):
+    features = parcel_features.features_from_wkt(b.landed_features(spark, d))
+    return parcel_features.raw_parcel_rows(features).select(
+        "object_id", "parcel_id", "shape_area", "file_index", F.round("area_m2", 1).alias("area_m2")
+    )
+
+
+def dq_no_geometry(spark, d):
+    return quality.features_without_geometry(parcel_features.features_from_wkt(b.landed_features(spark, d)))
+
+
 QUERIES: dict[str, Query] = {
     "owner_daily_summary": lambda s, d: comparable(_owner_days(s, d)),
     "land_type_daily_summary": lambda s, d: comparable(_type_days(s, d)),
@@ -213,6 +229,9 @@ QUERIES: dict[str, Query] = {
     "owners_by_residential_raw": lambda s, d: comparable(
         analyst.owners_by_residential_raw(*_raw(s, d), b.SNAPSHOT)
     ),
+    "owners_by_residential_one_snapshot": lambda s, d: comparable(
+        analyst.owners_by_residential_raw(*_raw(s, d), b.SNAPSHOT, owner_snapshot=b.SNAPSHOT)
+    ),
     "owners_by_residential_mart": lambda s, d: comparable(
         analyst.owners_by_residential_mart(_owner_days(s, d), SNAPSHOT_DAY)
     ),
@@ -229,11 +248,15 @@ QUERIES: dict[str, Query] = {
     "type_flags": type_flags,
     "snapshot_date_parse": snapshot_date_parse,
     "snapshot_select": lambda s, d: select_snapshots(b.parcels(s, d), "latest"),
+    "snapshot_by_date": lambda s, d: select_snapshots(b.parcels(s, d), SNAPSHOT_DAY.isoformat()),
     "snapshot_pending": snapshot_pending,
     "blank_key_filter": blank_key_filter,
+    "raw_owner_rows": raw_owner_rows,
+    "raw_parcel_rows": raw_parcel_rows,
     "shape_vertices": shape_vertices,
     "geodesic_area": geodesic_areas,
     "dq_multi_feature": lambda s, d: quality.multi_feature_parcels(b.parcels(s, d)),
+    "dq_no_geometry": dq_no_geometry,
     "dq_unknown_parcel": lambda s, d: quality.unknown_parcels(b.owners(s, d), _drawn(s, d)),
     "dq_unowned_parcel": lambda s, d: quality.unowned_parcels(
         b.owners(s, d).filter("is_real_property"), _drawn(s, d)
