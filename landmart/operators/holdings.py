@@ -15,27 +15,31 @@ from landmart.operators.ownership import distinct_ownership
 def holdings(owners: DataFrame, parcels: DataFrame) -> DataFrame:
     """Distinct ownership rows with the area of their parcel in the same snapshot.
 
-    Owners of unknown parcels and parcels without owners drop out (inner join).
+    Owners of unknown parcels and parcels without owners drop out (inner join). Only a flag of
+    the account type and the stake in thousandths go on into the join's shuffle.
     """
     areas = one_row_per(parcels, "parcel_id", "file_index", area_m2=F.sum("area_m2"))
-    return distinct_ownership(owners).join(areas, ["parcel_id", "file_index"])
+    residential = F.col("is_real_property") & in_types(F.col("account_type"), RESIDENTIAL_TYPES)
+    held = distinct_ownership(owners).select(
+        "file_index", "parcel_id", "owner_name", "is_real_property",
+        residential.alias("is_residential"), thousandths(F.col("pct_own")).alias("stake"),
+    )
+    return held.join(areas, ["parcel_id", "file_index"])
 
 
 def holdings_per_parcel(held: DataFrame) -> DataFrame:
-    """One row per owner, parcel and snapshot: which kinds are held, and stakes by kind in thousandths.
+    """One row per owner, parcel and snapshot: which kinds are held, and stakes by kind.
 
     Grouping on the join keys and the owner needs no shuffle after the join. Flags per parcel
     turn the later distinct parcel counts into plain sums.
     """
-    real = F.col("is_real_property")
-    building = ~F.col("is_real_property")
-    residential = real & in_types(F.col("account_type"), RESIDENTIAL_TYPES)
+    real, building, residential = F.col("is_real_property"), ~F.col("is_real_property"), F.col("is_residential")
 
     def held_as(kind):
         return F.max(F.when(kind, 1).otherwise(0))
 
     def stakes(kind):
-        return F.when(kind, thousandths(F.col("pct_own")))
+        return F.when(kind, F.col("stake"))
 
     return held.groupBy("file_index", "parcel_id", "owner_name").agg(
         F.max("area_m2").alias("area_m2"),
@@ -78,11 +82,14 @@ def land_per_type(owners: DataFrame, parcels: DataFrame) -> DataFrame:
     """
     areas = one_row_per(parcels, "parcel_id", "file_index", area_m2=F.sum("area_m2"))
     real = owners.filter("is_real_property").select("file_index", "parcel_id", "account_type", "owner_name")
+    # once distinct, an owner's name only matters as present or not
+    named = real.distinct().select(
+        "file_index", "parcel_id", "account_type", F.col("owner_name").isNotNull().cast("int").alias("named")
+    )
     per_parcel = (
-        real.distinct()
-        .join(areas, ["parcel_id", "file_index"])
+        named.join(areas, ["parcel_id", "file_index"])
         .groupBy("file_index", "parcel_id", "account_type")
-        .agg(F.count("owner_name").alias("owners"), F.max("area_m2").alias("area_m2"))
+        .agg(F.sum("named").alias("owners"), F.max("area_m2").alias("area_m2"))
     )
     return per_parcel.groupBy("file_index", "account_type").agg(
         F.count("parcel_id").alias("parcels"),

@@ -24,7 +24,7 @@ def _columns(layout: T.StructType) -> str:
 def create_tables(spark: SparkSession, warehouse: str) -> None:
     """Create what is missing. Raw snapshots already in the folder are picked up."""
     for database in ("raw", "marts"):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{warehouse}/{database}'")
     for name, layout in RAW_TABLES.items():
         if not spark.catalog.tableExists(name):
             folder = f"{warehouse}/{name.replace('.', '/')}"
