@@ -192,3 +192,24 @@ def test_features_from_a_table(spark, places):
     assert jobs.load_features(spark, table(("P4", cell, "20210526")), overwrite=True) == (["20210526"], 0)
     rows = spark.table("raw.parcels").collect()
     assert sorted((r.file_index, r.parcel_id) for r in rows) == [("20210525", "P1"), ("20210526", "P4")]
+
+
+def test_nothing_landed_and_empty_file(spark, places):
+    landing, warehouse = places
+    assert jobs.run(spark, landing, warehouse, "latest", rebuild_marts=True).owners_loaded == []
+    os.makedirs(f"{landing}/20210525")
+    open(f"{landing}/20210525/Owner_Address.csv", "w").close()
+    jobs.run(spark, landing, warehouse, "all")
+    assert spark.table("raw.owners").isEmpty()
+
+
+def test_malformed_file_leaves_tables_alone(spark, places):
+    landing, warehouse = places
+    put_owners(landing, "20210525", owner("ANN"))
+    jobs.run(spark, landing, warehouse, "all")
+    put_owners(landing, "20210525", owner("BOB"), "a,b")
+    put_owners(landing, "20210526", owner("CY"), "a,b")
+    for overwrite in (False, True):
+        with pytest.raises(Exception):
+            jobs.run(spark, landing, warehouse, "all", overwrite=overwrite)
+    assert names(spark, "20210525") == ["ANN"] and names(spark, "20210526") == []
