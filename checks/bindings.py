@@ -135,7 +135,9 @@ def staged_owner_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part as a landed feature; some types lack a parcel number, others a geometry."""
     parts = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("object_id"), "p_type", F.col("p_size").cast("string").alias("shape_area")
+        F.col("p_partkey").cast("string").alias("object_id"),
+        "p_type",
+        F.col("p_size").cast("string").alias("shape_area"),
     )
     kind, wkt = F.col("p_type"), F.col("wkt")
     return parts.join(parcel_shapes(spark, sf_dir), F.col("object_id") == F.col("parcel_id")).select(
