@@ -4,23 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from landmart.llm import line_dedup, quality_rules, secret_scan, source_mix
+from landmart.llm import byte_bpe, language_id, line_dedup, ngram_join, quality_rules, secret_scan, source_mix, token_counts, toxicity
 from landmart.llm.common import table
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
     return {
+        "op1_ngram_join": lambda spark, d: ngram_join.joined(table(spark, d, "documents")),
         "op3_quality_rules": lambda spark, d: quality_rules.digest(table(spark, d, "documents")),
+        "op4_toxicity": lambda spark, d: toxicity.digest(table(spark, d, "documents"), table(spark, d, "labels")),
         "op5_secret_scans": lambda spark, d: secret_scan.digest(table(spark, d, "documents")),
         "op6_source_mix": lambda spark, d: source_mix.digest(table(spark, d, "documents")),
+        "op7_language_id": lambda spark, d: language_id.digest(table(spark, d, "documents")),
+        "op8_token_counts": lambda spark, d: token_counts.digest(table(spark, d, "documents"), path, pattern),
         "op9_line_dedup": lambda spark, d: line_dedup.digest(table(spark, d, "documents")),
+        "op10_byte_bpe": lambda spark, d: byte_bpe.digest(table(spark, d, "documents"), path, pattern),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_ngram_join": ngram_join.ORACLE_SQL,
         "op3_quality_rules": quality_rules.ORACLE_SQL,
         "op6_source_mix": source_mix.ORACLE_SQL,
         "op9_line_dedup": line_dedup.ORACLE_SQL,
