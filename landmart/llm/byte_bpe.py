@@ -153,6 +153,26 @@ def decoded(ids: DataFrame, path: str, pattern: str) -> DataFrame:
     return ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, data binary")
 
 
+def with_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Encodes and decodes every text in one pass: doc_id, n_tokens, ids and the digests of ids (decimal,
+    joined by commas) and of the decoded bytes."""
+    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = encoder(shared.value, pattern)
+        for batch in batches:
+            ids = [bpe.encode(text.as_py() or "") for text in batch.column("text")]
+            of_ids = [hashlib.sha256(",".join(map(bpe.decimal.__getitem__, x)).encode()).hexdigest() for x in ids]
+            of_bytes = [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())),
+                 pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
+                ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+
+    return documents(docs).mapInArrow(
+        run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
+
+
 def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encodes and decodes every text in one pass: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))

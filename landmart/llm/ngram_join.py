@@ -17,11 +17,12 @@ T = ceil(3 (a + b) / 7).
 5. A candidate's overlap is counted by binary probes of the smaller sorted set into the larger one.
 
 The order of shingles, and with it ``LONG_SHARE``, changes the cost only; no list, candidate or partner is
-capped. Shingle hashes have 64 bits, class digests 128.
+capped. Shingle hashes and class digests have 64 bits.
 
 Null text, empty text and text without words have no shingles: n_shingles 0, linked with nothing, their own
-component. Repeated rows of one doc_id are copies of each other. A null doc_id links like any other, is no
-component's id unless all of it is null. Empty tables give empty results; other columns are not read.
+component. Repeated rows are copies of each other. Rows without a doc_id belong to the class of their text and are
+never a component's id; a class without any doc_id is linked with nothing. Empty tables give empty results; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -73,9 +74,8 @@ def shingles(text: str | None, known: WordHashes) -> np.ndarray:
     return np.unique(h ^ (h >> np.uint64(29)))
 
 
-def class_of(found: np.ndarray) -> tuple[int, int]:
-    d = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+def class_of(found: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def long_lists(chunk: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -92,9 +92,10 @@ def classes(docs: DataFrame) -> DataFrame:
         known, chunk, total = WordHashes(), [], 0
 
         def rows(ids, n, c, at, times):
-            fields = (ids, pa.array(n, pa.int64()), pa.array([x[0] for x in c], pa.int64()), pa.array([x[1] for x in c], pa.int64()),
-                      pa.array(at, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64())))
-            return pa.RecordBatch.from_arrays(list(fields), ["doc_id", "n_shingles", "c1", "c2", "long", "times"])
+            longs = pa.list_(pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [ids, pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(at, longs), pa.array(times, longs)],
+                ["doc_id", "n_shingles", "c", "long", "times"])
 
         for batch in batches:
             n, c, at, times = [], [], [], []
@@ -113,14 +114,14 @@ def classes(docs: DataFrame) -> DataFrame:
             yield rows(batch.column("doc_id"), n, c, at, times)
         if chunk:  # the rest, on a row that stands for no document
             a, t = long_lists(chunk)
-            yield rows(pa.array([None], pa.int64()), [-1], [(0, 0)], [a], [t])
+            yield rows(pa.array([None], pa.int64()), [-1], [0], [a], [t])
 
     return documents(docs).mapInArrow(
-        run, "doc_id long, n_shingles long, c1 long, c2 long, long array<long>, times array<long>")
+        run, "doc_id long, n_shingles long, c long, long array<long>, times array<long>")
 
 
 def postings(docs: DataFrame, lists: np.ndarray) -> DataFrame:
-    """(token, c1, c2, n, place, small) for the first shingles of each class; a class once per task."""
+    """(token, c, n, place, small) for the first shingles of each class; a class once per task."""
     shared = docs.sparkSession.sparkContext.broadcast(lists)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +146,7 @@ def postings(docs: DataFrame, lists: np.ndarray) -> DataFrame:
                     found = np.concatenate([found[~is_long], found[is_long]])
                 size = n // 4 + 1
                 place = np.arange(size)
-                out.append((found[:size].view(np.int64), np.full(size, c[0]), np.full(size, c[1]), np.full(size, n), place, place <= n // 7))
+                out.append((found[:size].view(np.int64), np.full(size, c), np.full(size, n), place, place <= n // 7))
                 held += size
                 if held >= 200_000:
                     yield rows(out)
@@ -154,23 +155,26 @@ def postings(docs: DataFrame, lists: np.ndarray) -> DataFrame:
                 yield rows(out)
 
     def rows(out):
-        token, c1, c2, n, place, small = map(np.concatenate, zip(*out))
+        token, c, n, place, small = map(np.concatenate, zip(*out))
         return pa.RecordBatch.from_arrays(
-            [pa.array(token), pa.array(c1), pa.array(c2), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(small)],
-            ["token", "c1", "c2", "n", "place", "small"])
+            [pa.array(token), pa.array(c), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(small)],
+            ["token", "c", "n", "place", "small"])
 
     return documents(docs).select("text").mapInArrow(
-        run, "token long, c1 long, c2 long, n int, place int, small boolean")
+        run, "token long, c long, n int, place int, small boolean")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, set) of the representatives in ``wanted`` (doc_id, c)."""
+    """(c, set) of the representatives in ``wanted`` (doc_id, c). The class is computed again, since doc_ids
+    may repeat with other texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            found = [shingles(x.as_py(), known).tobytes() for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("c"), pa.array(found, pa.binary())], ["c", "set"])
+            found = [shingles(x.as_py(), known) for x in batch.column("text")]
+            same = [class_of(x) == c for x, c in zip(found, batch.column("c").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("c"), pa.array([x.tobytes() for x in found], pa.binary())], ["c", "set"]).filter(pa.array(same, pa.bool_()))
 
     one = documents(docs).join(wanted, "doc_id").select("c", "text")
     return one.mapInArrow(run, "c long, set binary").dropDuplicates(["c"])
@@ -231,18 +235,15 @@ def joined(docs: DataFrame) -> DataFrame:
         F.col("x.long").alias("token")).agg(F.sum("x.times").alias("n")).orderBy(F.desc("n"), "token").limit(LONG_KEPT).select("token").collect()
     late = np.sort(np.array([r[0] for r in lists], np.int64).view(np.uint64))
 
-    # a class is known by its representative's doc_id
-    reps = stored(every.filter("n_shingles > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("c")).filter("c is not null"), "reps")
+    reps = stored(every.filter("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id")), "reps")
     short = stored(postings(docs, late), "postings")
     # lists with two classes at least, and the smallest set of each
     by_list = short.groupBy("token").agg(
-        F.min("c1").alias("l1"), F.max("c1").alias("l2"),
-        F.min(F.when(F.col("small"), F.struct("n", "c1", "c2"))).alias("lead"),
-    ).filter((F.col("l1") < F.col("l2")) & F.col("lead").isNotNull()).select("token", "lead")
-    shared = short.join(by_list, "token").join(reps, ["c1", "c2"])
-    lead = reps.select(F.col("c1").alias("lc1"), F.col("c2").alias("lc2"), F.col("c").alias("lead"))
-    shared = shared.withColumn("lc1", F.col("lead.c1")).withColumn("lc2", F.col("lead.c2")).withColumn("ln", F.col("lead.n")).drop("lead")
-    shared = stored(shared.join(lead, ["lc1", "lc2"]).select("token", "c", "n", "place", "small", "lead", "ln").distinct(), "lists")
+        F.min("c").alias("low"), F.max("c").alias("high"),
+        F.min(F.when(F.col("small"), F.struct("n", "c"))).alias("lead"),
+    ).filter((F.col("low") < F.col("high")) & F.col("lead").isNotNull())
+    by_list = by_list.select("token", F.col("lead.c").alias("lead"), F.col("lead.n").alias("ln"))
+    shared = stored(short.join(by_list, "token").distinct(), "lists")
 
     tried = (
         shared.filter((F.col("c") != F.col("lead")) & (F.col("ln") * 4 >= F.col("n") * 3))
@@ -250,7 +251,7 @@ def joined(docs: DataFrame) -> DataFrame:
         .groupBy("c").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead"))
         .select(F.least("c", "lead").alias("a"), F.greatest("c", "lead").alias("b")).distinct()
     )
-    wanted = shared.select(F.col("c").alias("doc_id"), "c").distinct()
+    wanted = shared.select("c").distinct().join(reps, "c")
     sets = stored(sets_of(docs, wanted), "sets")
     first = stored(linked(tried, sets), "links")
     part = stored(components(first), "parts")
@@ -269,9 +270,11 @@ def joined(docs: DataFrame) -> DataFrame:
     second = linked(pairs, sets)
     part = components(first.unionByName(second))
 
-    whole = reps.join(part.withColumnRenamed("node", "c"), "c", "left").select("c1", "c2", F.coalesce("root", "c").alias("component_id"))
-    return every.join(whole, ["c1", "c2"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    whole = reps.join(part.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    lowest = whole.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    whole = whole.join(lowest, "root").select("c", "component_id")
+    return every.join(whole, "c", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 ORACLE_SQL = """

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from landmart.llm import byte_bpe, language_id, line_dedup, ngram_join, quality_rules, secret_scan, source_mix, token_counts, toxicity
+from landmart.llm import byte_bpe, language_id, line_dedup, ngram_join, quality_rules, secret_scan, source_mix, token_counts, top_k, toxicity
 from landmart.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
     return {
         "op1_ngram_join": lambda spark, d: ngram_join.joined(table(spark, d, "documents")),
+        "op2_top_k": lambda spark, d: top_k.digest(table(spark, d, "embeddings")),
         "op3_quality_rules": lambda spark, d: quality_rules.digest(table(spark, d, "documents")),
         "op4_toxicity": lambda spark, d: toxicity.digest(table(spark, d, "documents"), table(spark, d, "labels")),
         "op5_secret_scans": lambda spark, d: secret_scan.digest(table(spark, d, "documents")),
@@ -30,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_join": ngram_join.ORACLE_SQL,
+        "op2_top_k": top_k.ORACLE_SQL,
         "op3_quality_rules": quality_rules.ORACLE_SQL,
         "op6_source_mix": source_mix.ORACLE_SQL,
         "op9_line_dedup": line_dedup.ORACLE_SQL,

@@ -211,6 +211,20 @@ def scored(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) ->
     return rows.mapInArrow(run, schema)
 
 
+def clean(docs: DataFrame, model: Model | None, limit: float = 0.5) -> DataFrame:
+    """The documents with a score below ``limit``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        automaton = known.lexicon.automaton() if known else None
+        for batch in batches:
+            fine = [not known or known.score(features(x.as_py() or "", automaton)) < limit for x in batch.column("text")]
+            yield batch.filter(pa.array(fine, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     return scored(docs, train(docs, labels)).select(
