@@ -56,12 +56,13 @@ def targets(sizes: DataFrame, total: Column | None = None) -> DataFrame:
     weighed = sizes.withColumn(
         "weight", F.element_at(cycle, ((F.row_number().over(by_name) - 1) % len(WEIGHTS) + 1).cast("int"))
     ).withColumn("cap", (F.col("source_size") * MAX_EPOCHS).cast("long"))
-    # sources reach their caps in this order; `level` is words per unit of weight if all before are capped
+    # sources reach their caps in this order; `level` is words per unit of weight if all before are capped.
+    # It grows as long as the next source is above its cap and falls after that: the largest is the one.
     fill = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
     before = fill.rowsBetween(Window.unboundedPreceding, -1)
     onward = fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     level = (F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(onward)
-    final = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(everything)
+    final = F.max("level").over(everything)
     return (
         weighed.withColumn("level", level)
         .withColumn("final", final)
@@ -156,7 +157,7 @@ filled AS (
         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS level
   FROM src),
 goal AS (
-  SELECT source, source_size, least(cap::DOUBLE, min(CASE WHEN level * weight <= cap THEN level END) OVER () * weight) AS target
+  SELECT source, source_size, least(cap::DOUBLE, max(level) OVER () * weight) AS target
   FROM filled),
 parts AS (
   SELECT *, least(3, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END)::BIGINT AS epochs FROM goal)
