@@ -54,4 +54,6 @@ def let(value: Column, body) -> Column:
 
 
 def lower_ascii(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """A-Z in lower case. Text of ASCII letters only takes the faster way."""
+    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(
+        F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))

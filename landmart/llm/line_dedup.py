@@ -31,12 +31,19 @@ def line_key(line: Column) -> Column:
     return lower_ascii(F.trim(line, F.lit(BLANKS)))
 
 
+def first_hash(key: Column) -> Column:
+    return F.xxhash64(key)
+
+
 def key_hash(key: Column) -> Column:
-    """128 bits of a key; null for keys that are too short."""
-    return F.when(
-        F.length(key) >= MIN_CHARS,
-        F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("second"), key).alias("h2")),
-    )
+    """128 bits of a key."""
+    return F.struct(first_hash(key).alias("h1"), F.xxhash64(F.lit("second"), key).alias("h2"))
+
+
+def keys(text: Column) -> Column:
+    """The distinct keys of a text that are long enough. Cutting and lowering do not change what is long."""
+    stripped = F.filter(F.transform(lines(text), lambda x: F.trim(x, F.lit(BLANKS))), lambda x: F.length(x) >= MIN_CHARS)
+    return F.array_distinct(F.transform(stripped, lower_ascii))
 
 
 def lines(text: Column) -> Column:
@@ -45,10 +52,8 @@ def lines(text: Column) -> Column:
 
 def keys_of(docs: DataFrame) -> DataFrame:
     """The distinct key hashes of each document."""
-    hashes = F.transform(lines(F.col("text")), lambda x: key_hash(line_key(x)))
     return documents(docs).select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"),
-        F.explode(F.array_distinct(F.filter(hashes, lambda h: h.isNotNull()))).alias("h"),
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.explode(F.transform(keys(F.col("text")), key_hash)).alias("h")
     ).select("_id", "h.h1", "h.h2")
 
 
@@ -99,31 +104,27 @@ class LineRuns:
 
 
 def kept_lines(docs: DataFrame, runs: LineRuns, min_docs: int = MIN_DOCS) -> DataFrame:
-    """All columns of ``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text``: each line whose key the
-    runs hold ``min_docs`` times goes, but for the key's largest doc_id.
+    """``row`` (all columns of ``docs``), ``n_lines``, ``n_dropped``, ``kept_text``: each line whose key the
+    runs hold ``min_docs`` times goes, but for the key's largest doc_id. Null text stays null.
 
-    Only documents that lose a line are joined with their lost keys; hashes travel, not lines.
+    Documents are joined with the hashes they lose; hashes travel, not lines.
     """
-    names = docs.columns
     lost = (
         keys_of(docs).join(runs.repeated(min_docs), ["h1", "h2"])
         .filter(F.col("_id") != F.col("keeper"))
         .groupBy("_id")
-        .agg(F.collect_set("h1").alias("_lost"))
+        .agg(F.collect_set("h1").alias("lost"))
     )
-    text = lines(F.col("text"))
-    stays = F.when(F.col("_lost").isNull(), text).otherwise(F.filter(text, lambda x: ~F.coalesce(
-        F.array_contains(F.col("_lost"), key_hash(line_key(x))["h1"]), F.lit(False))))
-    return (
-        docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-        .join(lost, "_id", "left")
-        .withColumn("_stays", stays)
-        .select(
-            *[F.col(f"`{x}`") for x in names if x not in ("n_lines", "n_dropped", "kept_text")],
-            F.size(text).cast("long").alias("n_lines"),
-            (F.size(text) - F.size("_stays")).cast("long").alias("n_dropped"),
-            F.when(F.col("text").isNotNull(), F.array_join("_stays", "\n")).alias("kept_text"),
-        )
+    whole = docs.select(
+        F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"))
+    text = lines(F.col("row.text").cast("string"))
+    stays = F.when(F.col("lost").isNull(), text).otherwise(F.filter(
+        text, lambda x: (F.length(F.trim(x, F.lit(BLANKS))) < MIN_CHARS) | ~F.array_contains(F.col("lost"), first_hash(line_key(x)))))
+    return whole.join(lost, "_id", "left").withColumn("stays", stays).select(
+        "row",
+        F.size(text).cast("long").alias("n_lines"),
+        (F.size(text) - F.size("stays")).cast("long").alias("n_dropped"),
+        F.when(F.col("row.text").isNotNull(), F.array_join("stays", "\n")).alias("kept_text"),
     )
 
 
@@ -132,7 +133,7 @@ def digest(docs: DataFrame) -> DataFrame:
     runs = LineRuns(docs.sparkSession)
     runs.add(docs)
     return kept_lines(documents(docs), runs).select(
-        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+        "row.doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
 ORACLE_SQL = """
