@@ -70,17 +70,17 @@ def targets(sizes: DataFrame, total: Column | None = None) -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """``docs`` with size, source_size, target, taken (words) and copies (times a document is used)."""
-    names = [x for x in docs.columns if x not in ("size", "source_size", "target", "taken", "copies")]
-    text = F.col("text").cast("string")
+def mixed(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``row`` (the columns ``keep`` of ``docs``, by default all), size, source_size, target, taken (words) and
+    copies (times a document is used whole) of every document."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     sized = docs.select(
-        *[F.col(f"`{x}`") for x in names],
+        F.struct(*[F.col(f"`{x}`") for x in keep or docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("_id"), F.col("source").cast("string").alias("_src"),
         size_of(text).alias("size"),
         # the exponential key as a number from 0 to 1: 1 - u ** (1 / w)
-        (F.lit(1.0) - F.pow(uniform(F.col("doc_id"), F.coalesce(text, F.lit(""))), F.lit(1.0) / quality_weight(F.coalesce(text, F.lit(""))))).alias("_at"),
+        (F.lit(1.0) - F.pow(uniform(F.col("doc_id").cast("long"), text), F.lit(1.0) / quality_weight(text))).alias("_at"),
     )
-    sized = sized.withColumn("_src", F.col("source").cast("string"))
     source = (
         sized.groupBy("_src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_docs"))
     )
@@ -98,13 +98,13 @@ def mixed(docs: DataFrame) -> DataFrame:
     bands = starts(
         banded.groupBy("_gs", "_band").agg(F.sum("size").alias("_words")), "_gs", "_band", "_words")
     bands = stored(bands, "mix-bands").select(F.col("_gs").alias("_bs"), F.col("_band").alias("_bb"), "_start")
-    inside = Window.partitionBy("_src", "_band").orderBy("_at", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_src", "_band").orderBy("_at", "_id").rowsBetween(Window.unboundedPreceding, -1)
     return (
         banded.join(bands, F.col("_src").eqNullSafe(F.col("_bs")) & (F.col("_band") == F.col("_bb")))
         .withColumn("_before", F.col("_start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .withColumn("_part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before"))))
         .select(
-            *names, "size", "source_size", "target",
+            "row", "size", "source_size", "target",
             (F.col("_epochs") * F.col("size") + F.col("_part")).cast("long").alias("taken"),
             # a document of which at least half is wanted is used whole
             (F.col("_epochs") + F.when((F.col("_part") * 2 >= F.col("size")) & (F.col("_part") > 0), 1).otherwise(0)).cast("int").alias("copies"),
@@ -131,7 +131,7 @@ def starts(sums: DataFrame, group: str, at: str, value: str) -> DataFrame:
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    return mixed(documents(docs, "source")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixed(documents(docs, "source"), ["doc_id"]).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE_SQL = """
