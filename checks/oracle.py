@@ -68,9 +68,8 @@ type_days AS (
   WINDOW seq AS (PARTITION BY account_type ORDER BY file_index)
 )"""
 DRAWN = """drawn AS (
-  SELECT DISTINCT strftime(date_trunc('month', l_shipdate), '%Y%m%d') AS file_index,
-         CAST(l_partkey AS VARCHAR) AS parcel_id
-  FROM lineitem WHERE l_returnflag <> 'R'
+  SELECT DISTINCT strftime(date_trunc('month', o_orderdate), '%Y%m%d') AS file_index,
+    CAST(o_custkey AS VARCHAR) AS parcel_id FROM orders
 )"""
 
 PROPERTY_COUNT = f"""{RAW}
@@ -254,7 +253,7 @@ SELECT DISTINCT l_returnflag || '-' || l_linenumber AS account_id, CAST(l_partke
 FROM lineitem INNER JOIN supplier ON s_suppkey = l_suppkey INNER JOIN part ON p_partkey = l_partkey""",
     "raw_parcel_rows": f"""WITH {SHAPES}
 SELECT CAST(p_partkey AS VARCHAR) AS object_id, CAST(p_partkey AS VARCHAR) AS parcel_id,
-  CAST(p_size AS VARCHAR) AS shape_area, '{SNAPSHOT}' AS file_index, round({SHAPE_AREA}, 1) AS area_m2
+  CAST(p_size AS VARCHAR) AS shape_area, '{SNAPSHOT}' AS file_index, round({SHAPE_AREA}, 2) AS area_m2
 FROM shapes WHERE p_type IN ('ECONOMY', 'STANDARD')""",
     "shape_vertices": """
 SELECT CAST(p_partkey AS VARCHAR) AS parcel_id,
@@ -264,7 +263,7 @@ SELECT CAST(p_partkey AS VARCHAR) AS parcel_id,
 FROM part""",
     "geodesic_area": f"""WITH {SHAPES}
 SELECT CAST(p_partkey AS VARCHAR) AS parcel_id,
-  round({SHAPE_AREA}, 1) AS area_m2
+  round({SHAPE_AREA}, 2) AS area_m2
 FROM shapes""",
     "dq_multi_feature": f"""{RAW}
 SELECT file_index, parcel_id, count(*) AS features FROM parcels GROUP BY ALL HAVING count(*) > 1""",
@@ -277,9 +276,10 @@ WHERE (file_index, parcel_id) NOT IN (SELECT (file_index, parcel_id) FROM drawn)
     "dq_unowned_parcel": f"""{RAW}, {DRAWN}
 SELECT file_index, parcel_id FROM drawn
 EXCEPT SELECT file_index, parcel_id FROM owners WHERE is_real_property""",
-    "dq_overallocated": f"""{RAW}, {OWNERSHIP}
-SELECT file_index, parcel_id, {_dbl('10 * sum(pct_own)')} AS total_stake FROM held
-WHERE is_real_property GROUP BY file_index, parcel_id HAVING sum(pct_own) * 10 > 1""",
+    "dq_overallocated": f"""{RAW}
+SELECT file_index, parcel_id, {_dbl('10 * sum(pct_own)')} AS total_stake
+FROM (SELECT DISTINCT file_index, parcel_id, owner_name, pct_own FROM owners WHERE is_real_property)
+GROUP BY file_index, parcel_id HAVING sum(pct_own) * 10 > 1""",
     "dq_multi_type": f"""{RAW}
 SELECT file_index, p_brand AS parcel_id, count(DISTINCT account_type) AS account_types
 FROM owners INNER JOIN part ON CAST(p_partkey AS VARCHAR) = parcel_id

@@ -15,7 +15,7 @@ from landmart.functions.attributes import assemble_address, in_types, is_real_ac
 from landmart.functions.geodesic import geodesic_area
 from landmart.functions.geometry import polygons_from_wkt
 from landmart.functions.measures import acres
-from landmart.operators.areas import parcel_area
+from landmart.operators.areas import area_per_parcel, parcel_area
 from landmart.operators.holdings import holdings, holdings_per_owner, holdings_per_parcel
 from landmart.operators.ownership import distinct_ownership, parcel_account_type
 from landmart.operators.snapshots import pending_snapshots, select_snapshots
@@ -58,7 +58,8 @@ def _type_days(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _per_owner(spark: SparkSession, d: str) -> DataFrame:
-    return holdings_per_owner(holdings_per_parcel(holdings(*_raw(spark, d))))
+    owners, parcels = _raw(spark, d)
+    return holdings_per_owner(holdings_per_parcel(holdings(owners, area_per_parcel(parcels))))
 
 
 def owner_conditional_counts(spark, d):
@@ -178,16 +179,15 @@ def shape_vertices(spark, d):
 
 
 def geodesic_areas(spark, d):
-    area = F.round(geodesic_area(F.col("geom")), 1)
+    area = F.round(geodesic_area(F.col("geom")), 2)
     return _shapes(spark, d).select("parcel_id", area.alias("area_m2"))
 
 
 def _drawn(spark, d):
-    """Features of lines that were not returned: the others play parcels without geometry."""
-    lines = b.table(spark, d, "lineitem").filter(F.col("l_returnflag") != "R")
-    return lines.select(
-        b.month_id(F.col("l_shipdate")).alias("file_index"),
-        F.col("l_partkey").cast("string").alias("parcel_id"),
+    """Orders play drawn parcels: the customer is the parcel, the order's month the snapshot."""
+    return b.table(spark, d, "orders").select(
+        b.month_id(F.col("o_orderdate")).alias("file_index"),
+        F.col("o_custkey").cast("string").alias("parcel_id"),
     )
 
 
@@ -198,7 +198,7 @@ def raw_owner_rows(spark, d):
 def raw_parcel_rows(spark, d):
     features = parcel_features.features_from_wkt(b.landed_features(spark, d))
     return parcel_features.raw_parcel_rows(features).select(
-        "object_id", "parcel_id", "shape_area", "file_index", F.round("area_m2", 1).alias("area_m2")
+        "object_id", "parcel_id", "shape_area", "file_index", F.round("area_m2", 2).alias("area_m2")
     )
 
 

@@ -3,7 +3,7 @@
 Latitudes are mapped to authalic latitudes, which keeps areas, so a ring's area is that of a
 spherical polygon on the authalic sphere (Snyder, Map Projections: A Working Manual, 1987).
 Every edge adds its spherical excess against the equator; the sum over a closed ring is the
-enclosed area. Rings around a pole are not supported.
+enclosed area. A ring around a pole goes once around in longitude and encloses no such area: it raises.
 """
 
 from __future__ import annotations
@@ -44,18 +44,26 @@ def _excess(a: Column, b: Column) -> Column:
     return 2.0 * F.atan2(width * (a["t"] + b["t"]), 1.0 + a["t"] * b["t"])
 
 
+def _turn(a: Column, b: Column) -> Column:
+    """The step in longitude, taken the short way."""
+    step = b["lon"] - a["lon"]
+    return step - F.rint(step / (2 * math.pi)) * (2 * math.pi)
+
+
 def _ring_area(ring: Column) -> Column:
-    """Absolute area of one ring; an unclosed ring is closed from its last vertex."""
-    last = _to_sphere(F.element_at(ring, -1))
+    """Absolute area of one ring; an unclosed ring is closed from its last vertex, an empty one has none."""
+    last = _to_sphere(F.get(ring, F.size(ring) - 1))
     total = F.aggregate(
         F.transform(ring, _to_sphere),
-        F.struct(last["lon"].alias("lon"), last["t"].alias("t"), F.lit(0.0).alias("total")),
+        F.struct(last["lon"].alias("lon"), last["t"].alias("t"), F.lit(0.0).alias("total"), F.lit(0.0).alias("turn")),
         lambda acc, p: F.struct(
-            p["lon"].alias("lon"), p["t"].alias("t"), (acc["total"] + _excess(acc, p)).alias("total")
+            p["lon"].alias("lon"), p["t"].alias("t"), (acc["total"] + _excess(acc, p)).alias("total"),
+            (acc["turn"] + _turn(acc, p)).alias("turn"),
         ),
-        lambda acc: acc["total"],
+        lambda acc: F.when(F.abs(acc["turn"]) < math.pi, acc["total"]).otherwise(
+            F.raise_error(F.lit("a ring around a pole has no area here")).cast("double")),
     )
-    return F.abs(total) * AUTHALIC_RADIUS_SQUARED
+    return F.when(F.size(ring) > 0, F.abs(total) * AUTHALIC_RADIUS_SQUARED).otherwise(0.0)
 
 
 def _polygon_area(polygon: Column) -> Column:

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from landmart.schemas import POLYGONS
 
 POLYGON_TEXT = r"^\s*(?i:SRID=\d+;)?\s*(?i:MULTIPOLYGON|POLYGON)\s*(?i:Z|M|ZM)?\s*\("
-EMPTY_TEXT = r"^\s*(?i:SRID=\d+;)?\s*(?i:[A-Z]+)\s+(?i:EMPTY)\s*$"
+# EMPTY itself, or nothing but EMPTY members
+EMPTY_TEXT = (
+    r"(?i)^\s*(?:SRID=\d+;)?\s*[A-Z]+(?:\s+(?:Z|M|ZM))?\s*(?:\sEMPTY|\(\s*EMPTY(?:\s*,\s*EMPTY)*\s*\))\s*$"
+)
+MEMBERS_EMPTY = r"(?i)\(.*EMPTY"
 
 
 def _vertex(text: Column) -> Column:
@@ -32,8 +36,11 @@ def polygons_from_wkt(wkt: Column) -> Column:
 
     NULL stays NULL, EMPTY gives no polygons, any other geometry type raises.
     """
+    # members without a vertex add nothing
+    empty = r"(?i)\s*,\s*EMPTY\b|\bEMPTY\s*,"
+    full = F.when(wkt.rlike(MEMBERS_EMPTY), F.regexp_replace(wkt, empty, "")).otherwise(wkt)
     # without the brackets around everything; plain trimming at the end is cheaper than a pattern
-    body = F.rtrim(F.regexp_replace(_blanks_only(wkt), r"^[^(]*[ (]*", ""), F.lit(" )"))
+    body = F.rtrim(F.regexp_replace(_blanks_only(full), r"^[^(]*[ (]*", ""), F.lit(" )"))
     polygons = F.transform(
         F.split(body, r"\) *\) *, *\( *\("),
         lambda polygon: F.transform(
@@ -42,8 +49,8 @@ def polygons_from_wkt(wkt: Column) -> Column:
         ),
     )
     return (
-        F.when(wkt.rlike(POLYGON_TEXT), polygons)
-        .when(wkt.rlike(EMPTY_TEXT), F.array().cast(POLYGONS))
+        F.when(wkt.rlike(EMPTY_TEXT), F.array().cast(POLYGONS))
+        .when(wkt.rlike(POLYGON_TEXT), polygons)
         .when(wkt.isNotNull(), F.raise_error(F.concat(F.lit("not a polygon: "), F.substring(wkt, 1, 60))))
     )
 

@@ -15,6 +15,11 @@ def parcel_area(parcels: DataFrame, *keys: str) -> DataFrame:
     return parcels.groupBy(*keys).agg(F.sum("area_m2").alias("area_m2"))
 
 
+def area_per_parcel(parcels: DataFrame) -> DataFrame:
+    """Parcel areas from features, for a join with ownership."""
+    return one_row_per(parcels, "parcel_id", "file_index", area_m2=F.sum("area_m2"))
+
+
 def one_row_per(df: DataFrame, *keys: str, **aggregates) -> DataFrame:
     """Aggregate by ``keys`` into the single-row side of a join with a possibly skewed side.
 

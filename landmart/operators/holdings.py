@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 from landmart.constants import RESIDENTIAL_TYPES
 from landmart.functions.attributes import in_types
 from landmart.functions.measures import mean_stake, thousandths
-from landmart.operators.areas import one_row_per
 from landmart.operators.ownership import distinct_ownership
 
 
-def holdings(owners: DataFrame, parcels: DataFrame) -> DataFrame:
-    """Distinct ownership rows with the area of their parcel in the same snapshot.
+def holdings(owners: DataFrame, areas: DataFrame) -> DataFrame:
+    """Distinct ownership rows with the area of their parcel in the same snapshot, of which ``areas`` has one
+    row each.
 
     Owners of unknown parcels and parcels without owners drop out (inner join). Only a flag of
     the account type and the stake in thousandths go on into the join's shuffle.
     """
-    areas = one_row_per(parcels, "parcel_id", "file_index", area_m2=F.sum("area_m2"))
     residential = F.col("is_real_property") & in_types(F.col("account_type"), RESIDENTIAL_TYPES)
     held = distinct_ownership(owners).select(
         "file_index", "parcel_id", "owner_name", "is_real_property",
@@ -74,13 +73,12 @@ def holdings_per_owner(per_parcel: DataFrame) -> DataFrame:
     )
 
 
-def land_per_type(owners: DataFrame, parcels: DataFrame) -> DataFrame:
+def land_per_type(owners: DataFrame, areas: DataFrame) -> DataFrame:
     """One row per account type and snapshot over real property with a known parcel.
 
     A parcel under several types counts in full under each, and an owner of several parcels
     counts once per parcel.
     """
-    areas = one_row_per(parcels, "parcel_id", "file_index", area_m2=F.sum("area_m2"))
     real = owners.filter("is_real_property").select("file_index", "parcel_id", "account_type", "owner_name")
     # once distinct, an owner's name only matters as present or not
     named = real.distinct().select(

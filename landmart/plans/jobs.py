@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -10,11 +9,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from landmart.constants import OWNER_FILE, PARCEL_FILE
+from landmart.operators.areas import parcel_area
 from landmart.operators.snapshots import parse_snapshot_date, pending_snapshots, select_snapshots
 from landmart.plans import marts
-from landmart.plans.tables import (
-    add_snapshots, create_tables, loaded_snapshots, replace_marts, replace_snapshot,
-)
+from landmart.plans.tables import create_tables, empty_snapshot, loaded_snapshots, replace_marts, write_snapshots
 from landmart.session import configure
 from landmart.sources import shapefile
 from landmart.sources.landing import landed_files, snapshot_of
@@ -40,33 +38,24 @@ def _pick(
     found = landed.filter(F.col("name") == name).join(requested, "file_index", "left_semi")
     if not overwrite:
         found = pending_snapshots(found, loaded_snapshots(spark, table))
-    return {row.file_index: row.path for row in found.collect()}  # one row per snapshot
-
-
-def _write(
-    spark: SparkSession, table: str, snapshots: list[str], rows_of: Callable[[list[str]], DataFrame], mixed: bool
-) -> None:
-    """Snapshots new to the table go in one job; those in it are replaced one by one."""
-    present = {row.file_index for row in loaded_snapshots(spark, table).collect()}
-    new = [snapshot for snapshot in snapshots if snapshot not in present]
-    if new:
-        add_snapshots(rows_of(new), table, mixed and len(new) > 1)
-    for snapshot in sorted(present.intersection(snapshots)):
-        replace_snapshot(spark, rows_of([snapshot]), table, snapshot)
+    paths: dict[str, str] = {}
+    for row in found.collect():  # one row per snapshot
+        if paths.setdefault(row.file_index, row.path) != row.path:
+            raise ValueError(f"two files for snapshot {row.file_index}: {paths[row.file_index]}, {row.path}")
+    return paths
 
 
 def load_owners(
     spark: SparkSession, landed: DataFrame, requested: DataFrame, overwrite: bool = False
 ) -> list[str]:
     """Load ownership files; snapshots without one and those already loaded are skipped."""
+    configure(spark)
     paths = _pick(spark, landed, requested, OWNER_FILE, "raw.owners", overwrite)
-
-    def rows_of(snapshots: list[str]) -> DataFrame:
-        staged = read_owner_files(spark, [paths[snapshot] for snapshot in snapshots])
-        return raw_owner_rows(staged).withColumn("created_at", F.current_timestamp())
-
-    # the grouping of duplicates has spread every snapshot over all tasks
-    _write(spark, "raw.owners", sorted(paths), rows_of, mixed=True)
+    if paths:
+        staged = read_owner_files(spark, sorted(paths.values()))
+        rows = raw_owner_rows(staged).withColumn("created_at", F.current_timestamp())
+        # the grouping of duplicates has spread every snapshot over all tasks
+        write_snapshots(rows, "raw.owners", list(paths), mixed=True)
     return sorted(paths)
 
 
@@ -74,19 +63,16 @@ def load_parcels(
     spark: SparkSession, landed: DataFrame, requested: DataFrame, overwrite: bool = False
 ) -> tuple[list[str], int]:
     """Load parcel shapes; returns the snapshots and the number of features without geometry."""
+    configure(spark)
     shapefile.register(spark)
     paths = _pick(spark, landed, requested, PARCEL_FILE, "raw.parcels", overwrite)
-    counts: list[Observation] = []
-
-    def rows_of(snapshots: list[str]) -> DataFrame:
-        files = "\n".join(paths[snapshot] for snapshot in snapshots)
-        features = spark.read.format("parcel_shapes").option("paths", files).load()
-        counts.append(Observation())
-        return raw_parcel_rows(features.withColumn("file_index", snapshot_of(F.col("path"))), counts[-1])
-
-    # a task reads a piece of one file, so of one snapshot
-    _write(spark, "raw.parcels", sorted(paths), rows_of, mixed=False)
-    return sorted(paths), sum(count.get["records_skipped"] for count in counts)
+    skipped = 0
+    if paths:
+        features = spark.read.format("parcel_shapes").option("paths", "\n".join(sorted(paths.values()))).load()
+        # a task reads a piece of one file, so of one snapshot
+        skipped = _write_parcels(
+            spark, features.withColumn("file_index", snapshot_of(F.col("path"))), list(paths), mixed=False)
+    return sorted(paths), skipped
 
 
 def load_features(
@@ -94,26 +80,46 @@ def load_features(
 ) -> tuple[list[str], int]:
     """Load parcels from a table of features (object_id, parcel_no, shape_area, shape_len, geom,
     file_index) instead of shapefiles; see ``features_from_wkt`` and ``features_from_wkb``."""
+    configure(spark)
     requested = features.select("file_index").distinct()
     if not overwrite:
         requested = pending_snapshots(requested, loaded_snapshots(spark, "raw.parcels"))
     chosen = sorted(row.file_index for row in requested.collect())  # one row per snapshot
-    counts: list[Observation] = []
+    skipped = 0
+    if chosen:
+        skipped = _write_parcels(spark, features.filter(F.col("file_index").isin(chosen)), chosen, mixed=True)
+    return chosen, skipped
 
-    def rows_of(snapshots: list[str]) -> DataFrame:
-        counts.append(Observation())
-        return raw_parcel_rows(features.filter(F.col("file_index").isin(snapshots)), counts[-1])
 
-    _write(spark, "raw.parcels", chosen, rows_of, mixed=True)
-    return chosen, sum(count.get["records_skipped"] for count in counts)
+def _write_parcels(spark: SparkSession, features: DataFrame, snapshots: list[str], mixed: bool) -> int:
+    """Replace the snapshots' parcels and, after that, their areas; returns the features without geometry."""
+    count = Observation()
+    # areas that are about to be out of date go first: what is missing is made up below and by `rebuild`
+    stale = {row.file_index for row in loaded_snapshots(spark, "raw.parcel_areas").collect()}
+    for snapshot in sorted(stale.intersection(snapshots)):
+        empty_snapshot(spark, "raw.parcel_areas", snapshot)
+    write_snapshots(raw_parcel_rows(features, count), "raw.parcels", snapshots, mixed)
+    add_missing_areas(spark)
+    return count.get["records_skipped"]
+
+
+def add_missing_areas(spark: SparkSession) -> None:
+    """Sum the features of every parcel in the snapshots that have no areas yet."""
+    missing = pending_snapshots(loaded_snapshots(spark, "raw.parcels"), loaded_snapshots(spark, "raw.parcel_areas"))
+    chosen = sorted(row.file_index for row in missing.collect())  # one row per snapshot
+    if chosen:
+        parcels = spark.table("raw.parcels").filter(F.col("file_index").isin(chosen))
+        write_snapshots(parcel_area(parcels), "raw.parcel_areas", chosen, mixed=True)
 
 
 def rebuild(spark: SparkSession) -> None:
-    """Recompute both marts from all raw snapshots."""
-    owners, parcels = spark.table("raw.owners"), spark.table("raw.parcels")
+    """Recompute both marts from all raw snapshots. Parcel areas are those summed at load."""
+    configure(spark)
+    add_missing_areas(spark)
+    owners, parcels, areas = (spark.table(f"raw.{name}") for name in ("owners", "parcels", "parcel_areas"))
     replace_marts(spark, {
-        "marts.owner_daily_summary": marts.owner_daily_summary(owners, parcels),
-        "marts.land_type_daily_summary": marts.land_type_daily_summary(owners, parcels),
+        "marts.owner_daily_summary": marts.owner_daily_summary(owners, parcels, areas),
+        "marts.land_type_daily_summary": marts.land_type_daily_summary(owners, parcels, areas),
     })
 
 

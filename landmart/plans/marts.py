@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from landmart.constants import COMMERCIAL_TYPES, RESIDENTIAL_TYPES
 from landmart.functions.attributes import in_types, report_date
 from landmart.functions.measures import acres, area_change, count_change, ratio
+from landmart.operators.areas import area_per_parcel
 from landmart.operators.holdings import holdings, holdings_per_owner, holdings_per_parcel, land_per_type
 from landmart.schemas import LAND_TYPE_DAILY_SUMMARY, OWNER_DAILY_SUMMARY, conform
 
 
-def owner_daily_summary(owners: DataFrame, parcels: DataFrame) -> DataFrame:
-    """Holdings per owner and day, with the change against the owner's previous snapshot."""
-    per_owner = holdings_per_owner(holdings_per_parcel(holdings(owners, parcels)))
+def owner_daily_summary(owners: DataFrame, parcels: DataFrame, areas: DataFrame | None = None) -> DataFrame:
+    """Holdings per owner and day, with the change against the owner's previous snapshot.
+
+    ``areas`` (one row per parcel and snapshot) saves summing the features of ``parcels``.
+    """
+    per_owner = holdings_per_owner(holdings_per_parcel(holdings(owners, area_per_parcel(parcels) if areas is None else areas)))
     # one row per owner and snapshot here, so a window partition holds at most one row per snapshot
     previous = Window.partitionBy("owner_name").orderBy("report_date")
     summary = per_owner.select(
@@ -36,9 +40,9 @@ def owner_daily_summary(owners: DataFrame, parcels: DataFrame) -> DataFrame:
     return conform(summary, OWNER_DAILY_SUMMARY)
 
 
-def land_type_daily_summary(owners: DataFrame, parcels: DataFrame) -> DataFrame:
+def land_type_daily_summary(owners: DataFrame, parcels: DataFrame, areas: DataFrame | None = None) -> DataFrame:
     """Land use per account type and day, with share of the day's total and change."""
-    per_type = land_per_type(owners, parcels)
+    per_type = land_per_type(owners, area_per_parcel(parcels) if areas is None else areas)
     day = Window.partitionBy("report_date")
     previous = Window.partitionBy("account_type").orderBy("report_date")
     kind = F.col("account_type")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landmart.functions.geometry import has_vertices
-from landmart.operators.ownership import distinct_ownership
 
 PARCEL = ("file_index", "parcel_id")
 
@@ -36,8 +35,9 @@ def unowned_parcels(owners: DataFrame, parcels: DataFrame) -> DataFrame:
 
 
 def overallocated_parcels(owners: DataFrame) -> DataFrame:
-    """Real parcels whose distinct stakes add up to more than the whole."""
-    stakes = distinct_ownership(owners.filter("is_real_property"))
+    """Real parcels whose owners' distinct stakes add up to more than the whole. An owner's stake counts once,
+    also if the parcel is listed under several account types."""
+    stakes = owners.filter("is_real_property").select(*PARCEL, "owner_name", "pct_own").distinct()
     return stakes.groupBy(*PARCEL).agg(F.sum("pct_own").alias("total_stake")).filter("total_stake > 1")
 
 

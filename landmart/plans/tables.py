@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landmart.schemas import LAND_TYPE_DAILY_SUMMARY, OWNER_DAILY_SUMMARY, RAW_OWNERS, RAW_PARCELS, conform
+from landmart.schemas import (
+    LAND_TYPE_DAILY_SUMMARY, OWNER_DAILY_SUMMARY, PARCEL_AREAS, RAW_OWNERS, RAW_PARCELS, conform,
+)
+from landmart.sources.landing import qualified
 
-RAW_TABLES = {"raw.owners": RAW_OWNERS, "raw.parcels": RAW_PARCELS}
+RAW_TABLES = {"raw.owners": RAW_OWNERS, "raw.parcels": RAW_PARCELS, "raw.parcel_areas": PARCEL_AREAS}
 MART_TABLES = {
     "marts.owner_daily_summary": OWNER_DAILY_SUMMARY,
     "marts.land_type_daily_summary": LAND_TYPE_DAILY_SUMMARY,
@@ -22,28 +25,39 @@ def _columns(layout: T.StructType) -> str:
 
 
 def create_tables(spark: SparkSession, warehouse: str) -> None:
-    """Create what is missing. Raw snapshots already in the folder are picked up."""
+    """Create what is missing. Raw snapshots and the latest marts already in the folder are picked up.
+
+    A catalog whose tables lie in another warehouse raises.
+    """
+    warehouse = qualified(spark, warehouse)
     for database in ("raw", "marts"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{warehouse}/{database}'")
-    for name, layout in RAW_TABLES.items():
-        if not spark.catalog.tableExists(name):
-            folder = f"{warehouse}/{name.replace('.', '/')}"
-            # appending nothing makes sure that the folder is there
-            nothing = spark.createDataFrame([], layout)
-            nothing.write.mode("append").partitionBy("file_index").parquet(folder)
-            spark.sql(
-                f"CREATE TABLE {name} ({_columns(layout)}) USING parquet PARTITIONED BY (file_index) "
-                f"LOCATION '{folder}'"
-            )
-            spark.catalog.recoverPartitions(name)
-    for name, layout in MART_TABLES.items():
-        if not spark.catalog.tableExists(name):
+    for name in (*RAW_TABLES, *MART_TABLES):
+        folder = f"{warehouse}/{name.replace('.', '/')}"
+        if spark.catalog.tableExists(name):
+            found = qualified(spark, location(spark, name))
+            if found != folder and not found.startswith(folder + "/"):
+                raise ValueError(f"{name} of this catalog lies at {found}, not in {warehouse}")
+        elif name in RAW_TABLES:
+            _create_raw(spark, name, folder)
+        else:
             spark.sql(
-                f"CREATE TABLE {name} ({_columns(layout)}) USING parquet "
-                f"LOCATION '{warehouse}/{name.replace('.', '/')}/{SLOTS[0]}'"
+                f"CREATE TABLE {name} ({_columns(MART_TABLES[name])}) USING parquet "
+                f"LOCATION '{folder}/{_current_slot(spark, warehouse)}'"
             )
 
 
+def _create_raw(spark: SparkSession, name: str, folder: str) -> None:
+    layout = RAW_TABLES[name]
+    # appending nothing makes sure that the folder is there
+    nothing = spark.createDataFrame([], layout)
+    nothing.write.mode("append").partitionBy("file_index").parquet(folder)
+    spark.sql(
+        f"CREATE TABLE {name} ({_columns(layout)}) USING parquet PARTITIONED BY (file_index) LOCATION '{folder}'"
+    )
+    spark.catalog.recoverPartitions(name)
+
+
 def loaded_snapshots(spark: SparkSession, table: str) -> DataFrame:
     """Snapshots of a raw table, from the catalog's partition list alone."""
     return spark.sql(f"SHOW PARTITIONS {table}").select(
@@ -51,49 +65,74 @@ def loaded_snapshots(spark: SparkSession, table: str) -> DataFrame:
     )
 
 
-def add_snapshots(rows: DataFrame, table: str, mixed: bool) -> None:
-    """Write the rows' snapshots, each as a whole, leaving other snapshots alone.
+def write_snapshots(rows: DataFrame, table: str, replaced: list[str], mixed: bool) -> None:
+    """Write the rows' snapshots, each as a whole, in one job, leaving other snapshots alone.
+
+    Files are staged and take the place of a snapshot's old ones when the whole job has succeeded, so a
+    failing load leaves every snapshot as it was, whatever the session's settings. Of the ``replaced``
+    snapshots those without a row are emptied after that and count as not loaded.
 
     ``mixed`` says that tasks hold rows of many snapshots. These are first brought together by
     snapshot in pieces of even size, so that a snapshot gets few files and a large one many tasks.
     """
-    rows = conform(rows, RAW_TABLES[table])
+    spark = rows.sparkSession
+    written = Observation()
+    rows = conform(rows, RAW_TABLES[table]).observe(written, F.collect_set("file_index").alias("snapshots"))
     if mixed:
         rows = rows.hint("rebalance", "file_index")
-    rows.write.insertInto(table, overwrite=True)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_index").parquet(
+        location(spark, table)
+    )
+    found = sorted(written.get["snapshots"])  # one id per snapshot
+    if found:
+        partitions = " ".join(f"PARTITION (file_index = '{x}')" for x in found)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
+    for snapshot in sorted(set(replaced) - set(found)):
+        empty_snapshot(spark, table, snapshot)
+    spark.catalog.refreshTable(table)
 
 
-def replace_snapshot(spark: SparkSession, rows: DataFrame, table: str, file_index: str) -> None:
-    """Replace one snapshot, also when no row is left; an emptied snapshot counts as not loaded."""
-    layout = RAW_TABLES[table]
-    rows = conform(rows, layout).filter(F.col("file_index") == file_index).drop("file_index")
+def empty_snapshot(spark: SparkSession, table: str, file_index: str) -> None:
+    """Remove a snapshot's rows and its partition."""
     partition = f"PARTITION (file_index = '{file_index}')"
-    view = "_replacement"
-    rows.createOrReplaceTempView(view)
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} {partition} SELECT * FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
-    if spark.table(table).filter(F.col("file_index") == file_index).isEmpty():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partition}")
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in RAW_TABLES[table].fields[:-1])
+    spark.sql(f"INSERT OVERWRITE TABLE {table} {partition} SELECT {columns} WHERE false")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partition}")
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
     return described.first()["data_type"].rstrip("/")
 
 
+def _builds(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The finished builds of the marts in a warehouse, kept beside them: (build, slot)."""
+    folder = f"{warehouse}/marts/builds"
+    nothing = spark.createDataFrame([], "build long, slot string")
+    nothing.write.mode("append").parquet(folder)
+    return spark.read.schema(nothing.schema).parquet(folder)
+
+
+def _current_slot(spark: SparkSession, warehouse: str) -> str:
+    return _builds(spark, warehouse).agg(F.max_by("slot", "build")).first()[0] or SLOTS[0]
+
+
 def replace_marts(spark: SparkSession, builds: dict[str, DataFrame]) -> None:
-    """Write all marts in full, then point their tables at the new files, one after the other.
+    """Write all marts in full, note the build as finished, then point the tables at it.
 
     A failing build leaves every mart as it was, and readers of the previous build are not
-    disturbed. Only the moment between two catalog updates can show marts of different age.
+    disturbed. Only the moment between two catalog updates can show marts of different age. Rows lie in
+    the order of their day, so that a question about one day reads few files.
     """
-    targets = {}
+    warehouse = location(spark, next(iter(builds))).rsplit("/", 3)[0]
+    finished = _builds(spark, warehouse)
+    number = (finished.agg(F.max("build")).first()[0] or 0) + 1
+    slot = SLOTS[1 - SLOTS.index(_current_slot(spark, warehouse))]
+    targets = {table: f"{location(spark, table).rsplit('/', 1)[0]}/{slot}" for table in builds}
     for table, build in builds.items():
-        folder, slot = _location(spark, table).rsplit("/", 1)
-        targets[table] = f"{folder}/{SLOTS[1 - SLOTS.index(slot)]}"
-        conform(build, MART_TABLES[table]).write.mode("overwrite").parquet(targets[table])
+        by_day = conform(build, MART_TABLES[table]).repartitionByRange("report_date").sortWithinPartitions("report_date")
+        by_day.write.mode("overwrite").parquet(targets[table])
+    spark.createDataFrame([(number, slot)], finished.schema).coalesce(1).write.mode("append").parquet(f"{warehouse}/marts/builds")
     for table, target in targets.items():
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
         spark.catalog.refreshTable(table)

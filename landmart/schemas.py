@@ -57,6 +57,13 @@ RAW_PARCELS = _layout(
     ("file_index", T.StringType()),
 )
 
+# one row per parcel of a snapshot: the sum over its features
+PARCEL_AREAS = _layout(
+    ("parcel_id", T.StringType()),
+    ("area_m2", T.DoubleType()),
+    ("file_index", T.StringType()),
+)
+
 OWNER_DAILY_SUMMARY = _layout(
     ("report_date", T.DateType()),
     ("owner_name", T.StringType()),

@@ -8,20 +8,29 @@ from pyspark.sql import functions as F
 SNAPSHOT_PATH = r"/(\d{8})/((?:Parcels/)?[^/]+)$"
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """The root as listings spell it: with its file system, absolute."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+
+
 def snapshot_of(path: Column) -> Column:
     return F.regexp_extract(path, SNAPSHOT_PATH, 1)
 
 
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files of all snapshot folders as (path, file_index, name), without opening any of them.
+    """Files of the snapshot folders right below ``root`` as (path, file_index, name), without opening
+    any of them.
 
-    Hidden names and folders that are no snapshot id are left out. A folder without files does
-    not count as landed.
+    Hidden names, deeper folders and folders that are no snapshot id are left out. A folder without
+    files does not count as landed.
     """
+    top = qualified(spark, root)
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
     )
-    path = F.col("path")
-    return listing.select(
-        "path", snapshot_of(path).alias("file_index"), F.regexp_extract(path, SNAPSHOT_PATH, 2).alias("name")
+    below = F.substr(F.col("path"), F.lit(len(top) + 1))
+    exact = "^" + SNAPSHOT_PATH
+    return listing.filter(F.col("path").startswith(top + "/")).select(
+        "path", F.regexp_extract(below, exact, 1).alias("file_index"), F.regexp_extract(below, exact, 2).alias("name")
     ).filter("file_index <> ''")

@@ -120,7 +120,8 @@ def raw_owner_rows(staged: DataFrame) -> DataFrame:
     c = F.col
     # no later step uses created_date; reading it makes a malformed one raise
     dated = c("created_date").isNull() | (c("created_date") >= F.lit("0001-01-01").cast("timestamp"))
-    return staged.filter(dated).select(
+    bad = F.raise_error(F.concat(F.lit("created_date out of range: "), c("created_date").cast("string")))
+    return staged.filter(F.when(dated, F.lit(True)).otherwise(bad.cast("boolean"))).select(
         c("strap").alias("account_id"),
         c("folio").alias("parcel_id"),
         "lot",

@@ -44,6 +44,7 @@ _COLUMNS = pa.schema(
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+    path = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)  # Arrow's name for the same store
     if path.startswith("file:"):
         path = "/" + path[len("file:"):].lstrip("/")
     if "://" in path:
@@ -85,11 +86,14 @@ class ParcelShapesReader(DataSourceReader):
         for path in self.paths:
             system, local = _file_system(path)
             stem = local.removesuffix(".shp")
-            shapes, index = system.get_file_info([f"{stem}.shp", f"{stem}.shx"])
+            shapes, index, table = system.get_file_info([f"{stem}.shp", f"{stem}.shx", f"{stem}.dbf"])
+            for part in (shapes, index, table):
+                if part.type != fs.FileType.File:
+                    raise FileNotFoundError(f"{part.path} is missing; {path} needs .shp, .shx and .dbf")
             records = (index.size - INDEX_HEADER) // INDEX_ENTRY
             step = max(1, math.ceil(records / max(1, math.ceil(shapes.size / self.split_bytes))))
             ranges += [RecordRange(path, i, min(i + step, records)) for i in range(0, records, step)]
-        return ranges
+        return ranges or [RecordRange(self.paths[0], 0, 0)]  # Spark wants a partition also for no record
 
     def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
         system, local = _file_system(partition.path)
@@ -105,10 +109,10 @@ class ParcelShapesReader(DataSourceReader):
                 entries = index.read_at(count * INDEX_ENTRY, INDEX_HEADER + first * INDEX_ENTRY)
                 extents = np.frombuffer(entries, ">i4").reshape(-1, 2).astype(np.int64) * 2
                 geometry = polygon_array([_polygons(c) for c in _record_contents(shapes, extents)])
-                texts = attributes.read(first, count)
+                live, texts = attributes.read(first, count)
                 yield pa.RecordBatch.from_arrays(
                     [*texts, geometry, pa.array([partition.path] * count, pa.string())], schema=_COLUMNS
-                )
+                ).filter(live)
 
 
 def _record_contents(shapes: pa.NativeFile, extents: np.ndarray) -> list[bytes]:
@@ -139,10 +143,12 @@ class AttributeTable:
             self.fields[name] = (start, entry[16], chr(entry[11]), entry[17])
             start += entry[16]
 
-    def read(self, first: int, count: int) -> list[pa.Array]:
+    def read(self, first: int, count: int) -> tuple[pa.Array, list[pa.Array]]:
+        """Which records are not marked as deleted, and the attributes of all."""
         block = self.file.read_at(count * self.width, self.data_start + first * self.width)
         rows = [block[i * self.width:(i + 1) * self.width] for i in range(count)]
-        return [self._column(rows, *self.fields[name]) for name in ATTRIBUTES]
+        live = pa.array([row[:1] != b"*" for row in rows], pa.bool_())
+        return live, [self._column(rows, *self.fields[name]) for name in ATTRIBUTES]
 
     def _column(self, rows: list[bytes], start: int, width: int, kind: str, places: int) -> pa.Array:
         cells = [row[start:start + width].strip(b" \0") for row in rows]

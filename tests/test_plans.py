@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import bindings, registry
 from landmart.plans import analyst, marts
-from landmart.plans.tables import add_snapshots
+from landmart.plans.tables import write_snapshots
 from tests.test_load_jobs import places  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -112,12 +112,12 @@ def test_raw_tables_prune_snapshots_and_columns(spark, places, skewed):  # noqa:
     owners, parcels = skewed
     missing = ["lot", "status_cd", "address", "address_unit", "city"]
     filled = owners.select("*", *[F.lit(None).cast("string").alias(c) for c in missing])
-    add_snapshots(filled.withColumn("created_at", F.current_timestamp()), "raw.owners", mixed=True)
+    write_snapshots(filled.withColumn("created_at", F.current_timestamp()), "raw.owners", [], mixed=True)
     features = parcels.select(
         "parcel_id", F.col("area_m2").cast("double"), "file_index",
         *[F.lit(None).alias(c) for c in ("object_id", "shape_area", "shape_len", "geom")],
     )
-    add_snapshots(features, "raw.parcels", mixed=True)
+    write_snapshots(features, "raw.parcels", [], mixed=True)
     df = analyst.owners_by_property_count_raw(spark.table("raw.owners"), spark.table("raw.parcels"), "20210526")
     scans = [line for line in plan(df).splitlines() if "FileScan" in line]
     owner_scan = next(line for line in scans if "owner_name" in line)
