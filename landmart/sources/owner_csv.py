@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,11 +39,12 @@ def read_owner_files(spark: SparkSession, paths: list[str]) -> DataFrame:
         .agg(F.max(quotes % 2).alias("spans"), (F.sum(quotes) % 2).alias("unclosed"))
         .collect()  # one row per file
     )
-    unclosed = sorted(f.path for f in files if f.unclosed)
+    # file_path is an URL, in which blanks and the like are escaped
+    unclosed = sorted(unquote(f.path) for f in files if f.unclosed)
     if unclosed:
         raise ValueError(f"unterminated quoted text in {unclosed}")
-    plain = sorted(f.path for f in files if not f.spans)
-    spanning = sorted(f.path for f in files if f.spans)
+    plain = sorted(unquote(f.path) for f in files if not f.spans)
+    spanning = sorted(unquote(f.path) for f in files if f.spans)
     if not spanning:
         return _read_plain(spark, plain or paths)
     rows = _read_spanning(spark, spanning)

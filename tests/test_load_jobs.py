@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landmart.plans import jobs
-from landmart.plans.tables import MART_TABLES, RAW_TABLES, create_tables
+from landmart.plans.tables import MART_TABLES, RAW_TABLES, create_tables, empty_snapshot, write_snapshots
 from landmart.schemas import OWNER_FILE_COLUMNS
 from landmart.sources import shapefile
 from landmart.sources.parcel_features import features_from_wkt
@@ -178,6 +178,40 @@ def test_shapes_in_small_splits(spark, tmp_path):
     assert (rows["12"].geom[1][1][0].x, rows["12"].geom[1][1][0].y) == (-105 + 0.12 + 0.0002, 41.0002)
 
 
+def test_shapes_without_records(spark, places):
+    landing, warehouse = places
+    put_parcels(landing, "20210525")
+    report = jobs.run(spark, landing, warehouse, "all")
+    assert report.parcels_loaded == ["20210525"] and spark.table("raw.parcels").isEmpty()
+
+
+@pytest.mark.parametrize("suffix", ["shx", "dbf"])
+def test_missing_part_of_a_shapefile(spark, tmp_path, suffix):
+    shapefile.register(spark)
+    put_parcels(tmp_path, "20210525", ((1, "P1", 1, 1), [square(-105, 40)]))
+    stem = f"{tmp_path}/20210525/Parcels/Parcels"
+    os.remove(f"{stem}.{suffix}")
+    with pytest.raises(Exception, match=f"{suffix} is missing"):
+        spark.read.format("parcel_shapes").option("paths", f"{stem}.shp").load().collect()
+
+
+def test_deleted_records_are_left_out(spark, tmp_path):
+    shapefile.register(spark)
+    put_parcels(tmp_path, "20210525", ((1, "P1", 1, 1), [square(-105, 40)]), ((2, "P2", 1, 1), [square(-105, 41)]))
+    stem = f"{tmp_path}/20210525/Parcels/Parcels"
+    data = bytearray(open(f"{stem}.dbf", "rb").read())
+    data[int.from_bytes(data[8:10], "little")] = ord("*")
+    open(f"{stem}.dbf", "wb").write(data)
+    assert [r.parcel_no for r in spark.read.format("parcel_shapes").option("paths", f"{stem}.shp").load().collect()] == ["P2"]
+
+
+def test_object_store_names():
+    system, path = shapefile._file_system("file:/tmp/x.shp")
+    assert path == "/tmp/x.shp"
+    system, path = shapefile._file_system("s3a://bucket/a/x.shp?region=us-east-1")
+    assert system.type_name == "s3" and path == "bucket/a/x.shp"
+
+
 def test_features_from_a_table(spark, places):
     create_tables(spark, places[1])
     cell = "POLYGON ((-105 40, -104.999 40, -104.999 40.001, -105 40.001, -105 40))"
@@ -203,6 +237,151 @@ def test_nothing_landed_and_empty_file(spark, places):
     assert spark.table("raw.owners").isEmpty()
 
 
+def parcels_of(spark, day):
+    return sorted(r[0] for r in spark.table("raw.parcels").filter(F.col("file_index") == day).select("parcel_id").collect())
+
+
+def not_a_polygon(landing, day):
+    """The second record of a day's shapes becomes a point."""
+    path = f"{landing}/{day}/Parcels/Parcels.shp"
+    data = bytearray(open(path, "rb").read())
+    second = 100 + 8 + 2 * int.from_bytes(data[104:108], "big")
+    data[second + 8:second + 12] = (1).to_bytes(4, "little")
+    open(path, "wb").write(data)
+
+
+def test_failed_replacement_keeps_the_old_rows(spark, places):
+    landing, warehouse = places
+    put_owners(landing, "20210525", owner("ANN"))
+    put_parcels(landing, "20210525", ((1, "P1", 1, 1), [square(-105, 40)]))
+    jobs.run(spark, landing, warehouse, "all", rebuild_marts=True)
+    put_owners(landing, "20210525", owner("BOB"), "a,b")
+    put_parcels(landing, "20210525", ((1, "P2", 1, 1), [square(-105, 40)]), ((2, "P3", 1, 1), [square(-105, 41)]))
+    not_a_polygon(landing, "20210525")
+    landed = jobs.landed_files(spark, landing)
+    every = landed.select("file_index").distinct()
+    for load in (jobs.load_owners, jobs.load_parcels):
+        with pytest.raises(Exception):
+            load(spark, landed, every, overwrite=True)
+    assert names(spark, "20210525") == ["ANN"] and parcels_of(spark, "20210525") == ["P1"]
+    # a plain run sees both as loaded; marts are as before
+    put_owners(landing, "20210525", owner("CY"))
+    assert jobs.run(spark, landing, warehouse, "all", rebuild_marts=True).owners_loaded == []
+    assert [r.owner_name for r in spark.table("marts.owner_daily_summary").collect()] == ["ANN"]
+    put_parcels(landing, "20210525", ((1, "P2", 1, 1), [square(-105, 40)]))
+    again = jobs.run(spark, landing, warehouse, "all", overwrite=True)
+    assert again.parcels_loaded == ["20210525"] and parcels_of(spark, "20210525") == ["P2"] and names(spark, "20210525") == ["CY"]
+
+
+def test_failing_write_keeps_the_old_rows(spark, places):
+    """An error in the task that writes, after all files were read."""
+    create_tables(spark, places[1])
+    good = spark.createDataFrame([("P1", 1.0, "20210525")], "parcel_id string, area_m2 double, file_index string")
+    write_snapshots(good, "raw.parcel_areas", [], mixed=True)
+    bad = good.withColumn("area_m2", F.when(F.col("parcel_id") == "P1", F.raise_error(F.lit("late")).cast("double")))
+    with pytest.raises(Exception):
+        write_snapshots(bad, "raw.parcel_areas", ["20210525"], mixed=True)
+    assert [tuple(r) for r in spark.table("raw.parcel_areas").collect()] == [("P1", 1.0, "20210525")]
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_writes_do_not_depend_on_the_session(spark, places, mode):
+    create_tables(spark, places[1])
+    cell = "POLYGON ((-105 40, -104.999 40, -104.999 40.001, -105 40.001, -105 40))"
+    columns = "object_id string, parcel_no string, shape_area string, shape_len string, wkt string, file_index string"
+    other = spark.newSession()
+    other.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    for day in ("20210525", "20210526"):
+        rows = other.createDataFrame([("1", "P1", "1", "1", cell, day)], columns)
+        assert jobs.load_features(other, features_from_wkt(rows)) == ([day], 0)
+        other.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    assert sorted(r.file_index for r in spark.table("raw.parcels").collect()) == ["20210525", "20210526"]
+
+
+def test_many_snapshots_are_replaced_in_one_job(spark, places):
+    landing, warehouse = places
+    days = [f"202105{d:02}" for d in range(1, 7)]
+    for day in days:
+        put_owners(landing, day, owner("ANN"))
+    jobs.run(spark, landing, warehouse, "all")
+    for day in days:
+        put_owners(landing, day, *([owner("BOB")] if day != days[2] else []))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("replace", "replace")
+    try:
+        landed = jobs.landed_files(spark, landing)
+        jobs.load_owners(spark, landed, landed.select("file_index").distinct(), overwrite=True)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [names(spark, day) for day in days] == [["BOB"], ["BOB"], [], ["BOB"], ["BOB"], ["BOB"]]
+    assert len(tracker.getJobIdsForGroup("replace")) < 3 * len(days)
+    assert [r.file_index for r in jobs.loaded_snapshots(spark, "raw.owners").orderBy("file_index").collect()] == days[:2] + days[3:]
+
+
+def test_only_folders_right_below_the_root(spark, places, tmp_path):
+    landing, warehouse = places
+    put_owners(landing, "20210525", owner("ANN"))
+    put_owners(f"{landing}/archive", "20210525", owner("OLD"))
+    put_owners(f"{landing}/archive", "20200101", owner("OLD"))
+    put_owners(f"{landing}/20210525", "20210524", owner("OLD"))
+    assert jobs.run(spark, landing, warehouse, "all").owners_loaded == ["20210525"]
+    assert names(spark, "20210525") == ["ANN"]
+
+
+def test_landing_path_with_a_blank(spark, places, tmp_path):
+    landing, warehouse = str(tmp_path / "land here"), places[1]
+    put_owners(landing, "20210525", owner('"ANN\nB"'))
+    put_owners(landing, "20210526", owner("BOB"))
+    put_parcels(landing, "20210525", ((1, "P1", 1, 1), [square(-105, 40)]))
+    report = jobs.run(spark, landing, warehouse, "all")
+    assert report.owners_loaded == ["20210525", "20210526"] and report.parcels_loaded == ["20210525"]
+    assert names(spark, "20210525") == ["ANN\nB"]
+
+
+def test_two_files_for_one_snapshot_raise(spark, places):
+    landed = spark.createDataFrame([("/a/20210525/x", "20210525", "Owner_Address.csv"), ("/b/20210525/x", "20210525", "Owner_Address.csv")],
+                                   "path string, file_index string, name string")
+    create_tables(spark, places[1])
+    with pytest.raises(ValueError, match="two files"):
+        jobs.load_owners(spark, landed, landed.select("file_index").distinct())
+
+
+def test_another_warehouse_raises(spark, places, tmp_path):
+    landing, warehouse = places
+    put_owners(landing, "20210525", owner("ANN"))
+    jobs.run(spark, landing, warehouse, "all")
+    with pytest.raises(ValueError, match="not in"):
+        jobs.run(spark, landing, str(tmp_path / "other"), "all")
+
+
+@pytest.mark.parametrize("rebuilds", [1, 2, 3])
+def test_new_catalog_shows_the_latest_marts(spark, places, rebuilds):
+    landing, warehouse = places
+    for k in range(rebuilds):
+        put_owners(landing, f"2021052{k}", owner("ANN"))
+        put_parcels(landing, f"2021052{k}", ((1, "P1", 1, 1), [square(-105, 40)]))
+        jobs.run(spark, landing, warehouse, "all", rebuild_marts=True)
+    for name in [*RAW_TABLES, *MART_TABLES]:
+        spark.sql(f"DROP TABLE {name}")
+    jobs.run(spark, landing, warehouse, "all")
+    for name in MART_TABLES:
+        assert spark.table(name).count() == rebuilds
+
+
+def test_areas_are_summed_once_and_made_up(spark, places):
+    landing, warehouse = places
+    put_owners(landing, "20210525", owner("ANN"))
+    put_parcels(landing, "20210525", ((1, "P1", 1, 1), [square(-105, 40)]), ((2, "P1", 1, 1), [square(-105, 41)]))
+    jobs.run(spark, landing, warehouse, "all", rebuild_marts=True)
+    area = spark.table("raw.parcel_areas").collect()
+    assert [(r.parcel_id, r.file_index) for r in area] == [("P1", "20210525")]
+    assert area[0].area_m2 == pytest.approx(sum(r.area_m2 for r in spark.table("raw.parcels").collect()))
+    mart = spark.table("marts.owner_daily_summary").collect()
+    empty_snapshot(spark, "raw.parcel_areas", "20210525")  # as after a load that broke off
+    jobs.rebuild(spark)
+    assert spark.table("marts.owner_daily_summary").collect() == mart
+
+
 def test_malformed_file_leaves_tables_alone(spark, places):
     landing, warehouse = places
     put_owners(landing, "20210525", owner("ANN"))

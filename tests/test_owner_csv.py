@@ -34,6 +34,14 @@ def test_malformed_rows_raise(spark, tmp_path, bad, spanning):
         raw_owner_rows(read(spark, tmp_path, "20210526")).collect()
 
 
+@pytest.mark.parametrize("spanning", [False, True])
+def test_date_out_of_range_raises(spark, tmp_path, spanning):
+    """A row must not go because of a column that nothing uses."""
+    put_owners(tmp_path, "20210526", line(owner_name='"A\nB"' if spanning else "A"), line(created_date="0000-01-01"))
+    with pytest.raises(Exception):
+        raw_owner_rows(read(spark, tmp_path, "20210526")).collect()
+
+
 def test_unterminated_quote_raises(spark, tmp_path):
     put_owners(tmp_path, "20210526", line(owner_name='"A'))
     with pytest.raises(ValueError, match="unterminated"):
