@@ -251,6 +251,16 @@ SELECT DISTINCT l_returnflag || '-' || l_linenumber AS account_id, CAST(l_partke
     AS account_type,
   strftime(date_trunc('month', l_shipdate), '%Y%m%d') AS file_index
 FROM lineitem INNER JOIN supplier ON s_suppkey = l_suppkey INNER JOIN part ON p_partkey = l_partkey""",
+    "csv_records": """
+WITH part AS (
+  SELECT doc_id, unnest(string_split(translate(text, 'q', '"'), chr(10))) AS x,
+    generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
+counted AS (SELECT *, sum(length(x) - length(replace(x, '"', ''))) OVER (PARTITION BY doc_id ORDER BY i) AS quotes FROM part),
+numbered AS (
+  SELECT *, coalesce(sum((quotes % 2 = 0)::INTEGER) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS r FROM counted),
+record AS (SELECT doc_id, rtrim(string_agg(x, chr(10) ORDER BY i), chr(13) || chr(10)) AS value FROM numbered GROUP BY doc_id, r)
+SELECT doc_id, count(*) AS records, max(length(value)) AS longest FROM record WHERE value <> '' GROUP BY doc_id""",
     "raw_parcel_rows": f"""WITH {SHAPES}
 SELECT CAST(p_partkey AS VARCHAR) AS object_id, CAST(p_partkey AS VARCHAR) AS parcel_id,
   CAST(p_size AS VARCHAR) AS shape_area, '{SNAPSHOT}' AS file_index, round({SHAPE_AREA}, 2) AS area_m2

@@ -22,6 +22,7 @@ from landmart.operators.snapshots import pending_snapshots, select_snapshots
 from landmart.plans import analyst, marts, quality
 from landmart.session import configure
 from landmart.sources import owner_csv, parcel_features
+from landmart.sources.quoted_records import records_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 SNAPSHOT_DAY = datetime.strptime(b.SNAPSHOT, "%Y%m%d").date()
@@ -202,6 +203,13 @@ def raw_parcel_rows(spark, d):
     )
 
 
+def csv_records(spark, d):
+    """Documents as delimited text, with every q for a quote."""
+    text = F.translate("text", "q", '"')
+    return records_of(b.table(spark, d, "documents").select("doc_id", text.alias("text")), "doc_id", "text").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("records"), F.max(F.length("value")).alias("longest"))
+
+
 def dq_no_geometry(spark, d):
     return quality.features_without_geometry(parcel_features.features_from_wkt(b.landed_features(spark, d)))
 
@@ -252,6 +260,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_pending": snapshot_pending,
     "blank_key_filter": blank_key_filter,
     "raw_owner_rows": raw_owner_rows,
+    "csv_records": csv_records,
     "raw_parcel_rows": raw_parcel_rows,
     "shape_vertices": shape_vertices,
     "geodesic_area": geodesic_areas,

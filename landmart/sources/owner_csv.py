@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landmart.functions.attributes import assemble_address, is_real_account, stake
 from landmart.schemas import OWNER_FILE_SCHEMA
 from landmart.sources.landing import snapshot_of
+from landmart.sources.quoted_records import read_records
 
 DIALECT = {
     "sep": ",",
@@ -59,59 +60,8 @@ def _read_plain(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _read_spanning(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Records rebuilt from lines: a line belongs to the record that is open where it starts.
-
-    Whether a quote is open at a line is the parity of the quotes before it. That count is a
-    window over the lines of one input split (bounded by the split size) plus the counts of the
-    file's earlier splits (one row per split).
-    """
-    in_split = Window.partitionBy("path", "split")
-    up_to_here = in_split.orderBy("pos")
-    earlier = up_to_here.rowsBetween(Window.unboundedPreceding, -1)
-    earlier_splits = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-
-    lines = spark.read.option("lineSep", "\n").text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("pos"),
-        _quotes(F.col("value")).alias("quotes"),
-    )
-    carried = (
-        lines.groupBy("path", "split").agg(F.sum("quotes").alias("quotes"))
-        .select("path", "split", F.coalesce(F.sum("quotes").over(earlier_splits), F.lit(0)).alias("carried"))
-    )
-    before = F.col("carried") + F.coalesce(F.sum("quotes").over(earlier), F.lit(0))
-    marked = (
-        lines.join(carried, ["path", "split"])
-        .withColumn("starts", before % 2 == 0)
-        .withColumn("closed", F.col("starts") & (F.col("quotes") % 2 == 0))
-        .withColumn("record", F.last(F.when(F.col("starts"), F.col("pos")), ignorenulls=True).over(up_to_here))
-        .withColumn("header", (F.col("split") == 0) & (F.col("record") == F.min("pos").over(in_split)))
-    )
-    # lines at the head of a split that continue a record of an earlier split
-    opened = (
-        marked.groupBy("path", "split").agg(F.max("record").alias("record"))
-        .select("path", "split", F.last("record", ignorenulls=True).over(earlier_splits).alias("opened"))
-    )
-    heads = (
-        marked.filter("record IS NULL").join(opened, ["path", "split"])
-        .withColumn("record", F.col("opened"))
-    )
-    columns = ["path", "split", "pos", "value", "record"]
-    pieces = marked.filter("record IS NOT NULL AND NOT closed AND NOT header").select(columns).unionByName(
-        heads.select(columns)
-    )
-    joined = pieces.groupBy("path", "record").agg(
-        F.array_sort(F.collect_list(F.struct("split", "pos", "value"))).alias("lines")
-    )
-    text = F.array_join(F.transform("lines", lambda line: line["value"]), "\n")
-    records = (
-        marked.filter("closed AND NOT header").select("path", "value")
-        .unionByName(joined.select("path", text.alias("value")))
-        .withColumn("value", F.rtrim(F.col("value"), F.lit("\r")))
-        .filter("value <> ''")
-    )
+    """Records put together from lines, then parsed in the same dialect."""
+    records = read_records(spark, paths)
     row = F.from_csv("value", OWNER_FILE_SCHEMA.simpleString()[len("struct<"):-1].replace(":", " "), DIALECT)
     return records.select(row.alias("row"), snapshot_of(F.col("path")).alias("file_index")).select(
         "row.*", "file_index"

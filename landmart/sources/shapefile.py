@@ -43,7 +43,7 @@ _COLUMNS = pa.schema(
 )
 
 
-def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
     path = path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1)  # Arrow's name for the same store
     if path.startswith("file:"):
         path = "/" + path[len("file:"):].lstrip("/")
@@ -84,7 +84,7 @@ class ParcelShapesReader(DataSourceReader):
         """Record ranges of about equal bytes, from the sizes of the files alone."""
         ranges = []
         for path in self.paths:
-            system, local = _file_system(path)
+            system, local = file_system(path)
             stem = local.removesuffix(".shp")
             shapes, index, table = system.get_file_info([f"{stem}.shp", f"{stem}.shx", f"{stem}.dbf"])
             for part in (shapes, index, table):
@@ -96,7 +96,7 @@ class ParcelShapesReader(DataSourceReader):
         return ranges or [RecordRange(self.paths[0], 0, 0)]  # Spark wants a partition also for no record
 
     def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
-        system, local = _file_system(partition.path)
+        system, local = file_system(partition.path)
         stem = local.removesuffix(".shp")
         with (
             system.open_input_file(f"{stem}.shx") as index,

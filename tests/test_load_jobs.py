@@ -206,9 +206,9 @@ def test_deleted_records_are_left_out(spark, tmp_path):
 
 
 def test_object_store_names():
-    system, path = shapefile._file_system("file:/tmp/x.shp")
+    system, path = shapefile.file_system("file:/tmp/x.shp")
     assert path == "/tmp/x.shp"
-    system, path = shapefile._file_system("s3a://bucket/a/x.shp?region=us-east-1")
+    system, path = shapefile.file_system("s3a://bucket/a/x.shp?region=us-east-1")
     assert system.type_name == "s3" and path == "bucket/a/x.shp"
 
 

@@ -9,7 +9,9 @@ from decimal import Decimal
 import pytest
 
 from landmart.schemas import OWNER_FILE_COLUMNS
+from landmart.sources import owner_csv, quoted_records
 from landmart.sources.owner_csv import raw_owner_rows, read_owner_files
+from landmart.sources.quoted_records import read_records
 from tests.test_load_jobs import HEADER, line, put_owners
 
 
@@ -48,34 +50,52 @@ def test_unterminated_quote_raises(spark, tmp_path):
         read(spark, tmp_path, "20210526")
 
 
+@pytest.mark.parametrize("split", [1, 7, 700])
 @pytest.mark.parametrize("newline", ["\n", "\r\n"])
-def test_quoted_line_breaks_across_splits(spark, tmp_path, newline):
+def test_quoted_line_breaks_across_splits(spark, tmp_path, newline, split, monkeypatch):
     """Random text, read in splits far smaller than a record, equals what the csv module reads."""
     rng = random.Random(7)
     pieces = ["a", "b c", ",", '""', "\n", "\r\n", "x" * 30, "é", "'", "1"]
     rows = [
         line(strap=f"R{i}", owner_name='"' + "".join(rng.choices(pieces, k=rng.randrange(8))) + '"', city=str(i))
-        for i in range(200)
-    ]
+        for i in range(200 if split > 100 else 3)
+    ] + [line(strap="R", city="c", owner_name='"A\nB"')]
     put_owners(tmp_path, "20210526", *rows, newline=newline)
     put_owners(tmp_path, "20210527", line(strap="R1", owner_name="plain"))
     parsed = csv.reader(io.StringIO(newline.join([HEADER, *rows]) + newline, newline=""))
     at = OWNER_FILE_COLUMNS.index
     expected = sorted((r[at("strap")], r[at("owner_name")], r[at("city")]) for r in list(parsed)[1:])
-    sizes = {"spark.sql.files.maxPartitionBytes": "700b", "spark.sql.files.openCostInBytes": "1"}
-    kept = {key: spark.conf.get(key) for key in sizes}
-    try:
-        for key, value in sizes.items():
-            spark.conf.set(key, value)
-        df = read(spark, tmp_path, "20210526", "20210527")
-        got = df.select("strap", "owner_name", "city", "file_index").collect()
-    finally:
-        for key, value in kept.items():
-            spark.conf.set(key, value)
+    monkeypatch.setattr(owner_csv, "read_records", lambda spark, paths: read_records(spark, paths, split))
+    df = read(spark, tmp_path, "20210526", "20210527")
+    assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    got = df.select("strap", "owner_name", "city", "file_index").collect()
     assert sorted(tuple(r)[:3] for r in got if r.file_index == "20210526") == expected
     assert [r.owner_name for r in got if r.file_index == "20210527"] == ["plain"]
 
 
+def test_one_pass_over_the_ranges(spark, tmp_path):
+    """The plan reads no text but that of the ranges, and matches nothing between scans."""
+    put_owners(tmp_path, "20210526", line(owner_name='"A\nB"'), line(owner_name="C"))
+    text = read(spark, tmp_path, "20210526")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in text and "Join" not in text and "Window" not in text and text.count("MapInArrow") == 1
+
+
+def test_both_ways_read_a_plain_file_alike(spark, tmp_path):
+    put_owners(tmp_path, "20210526", line(strap="R1", city='""'), "", line(strap="R2", owner_name='"a, ""b"""'), newline="\r\n")
+    path = [f"{tmp_path}/20210526/Owner_Address.csv"]
+    order = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert order(owner_csv._read_plain(spark, path)) == order(owner_csv._read_spanning(spark, path))
+
+
+def test_record_without_an_end_raises(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quoted_records, "RECORD_BYTES", 50)
+    monkeypatch.setattr(quoted_records, "STEP", 20)
+    put_owners(tmp_path, "20210526", line(owner_name='"' + "x\n" * 200 + '"'))
+    row = {"path": f"{tmp_path}/20210526/Owner_Address.csv", "first": 0, "last": 400, "size": 1000, "odd": False}
+    with pytest.raises(ValueError, match="longer than"):
+        list(quoted_records._records(row))
+
+
 def test_raw_rows(spark, tmp_path):
     twin = dict(
         strap="R1", folio="P1", lot="7", street_num="12", street_prefix="N", street="MAIN", street_suffix="ST",
