@@ -78,6 +78,33 @@ def test_antimeridian(spark):
     assert area(spark, across) == pytest.approx(cell_area(0, 10, 0.001, 10.001), rel=1e-8)
 
 
+@pytest.mark.parametrize("steps", [3, 4, 36])
+def test_ring_around_a_pole_raises(spark, steps):
+    points = [(-180 + 360 * i / steps, 80.0) for i in range(steps + 1)]
+    for around in (points, points[::-1], [(x, -y) for x, y in points], points[:-1]):
+        with pytest.raises(Exception, match="pole"):
+            area(spark, f"POLYGON ({text(around)})")
+
+
+def test_empty_rings_have_no_area(spark):
+    schema = "g array<array<array<struct<x:double,y:double>>>>"
+    cell = ring(-105.0, 40.0, 0.001)
+    df = spark.createDataFrame([([[]],), ([[[]]],), ([[cell, []]],), ([],), (None,)], schema)
+    got = [r[0] for r in df.select(geodesic_area(F.col("g"))).collect()]
+    assert got[:2] == [0.0, 0.0] and got[2] == pytest.approx(cell_area(-105, 40, -104.999, 40.001), rel=1e-8) and got[3:] == [0.0, None]
+    assert [r[0] for r in df.select(has_vertices(F.col("g"))).collect()] == [False, False, True, False, False]
+
+
+@pytest.mark.parametrize("wkt, rings", [
+    ("MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), EMPTY)", [1]), ("MULTIPOLYGON (EMPTY, ((0 0, 1 0, 1 1, 0 0)))", [1]),
+    ("multipolygon(empty,((0 0,1 0,1 1,0 0)),empty,((0 0,1 0,1 1,0 0)))", [1, 1]), ("MULTIPOLYGON (EMPTY, EMPTY)", []),
+    ("POLYGON ((0 0, 1 0, 1 1, 0 0), EMPTY)", [1]), ("MULTIPOLYGON Z EMPTY", []), ("MULTIPOLYGON (EMPTY)", []), ("POLYGON EMPTY", []),
+])
+def test_empty_members(spark, wkt, rings):
+    polygons = spark.createDataFrame([(wkt,)], "w string").select(polygons_from_wkt(F.col("w"))).first()[0]
+    assert [len(p) for p in polygons] == rings and all(len(r) == 4 for p in polygons for r in p)
+
+
 @pytest.mark.parametrize("wkt", [
     "POLYGON((0 0,1 0,1 1,0 0))", "polygon (( 0  0 , 1 0,1 1 , 0 0 ))", "SRID=4326;POLYGON ((0 0, 1 0, 1 1, 0 0))",
     "MULTIPOLYGON(((0 0,1 0,1 1,0 0)))", "MULTIPOLYGON ( ( ( 0 0, 1 0, 1 1, 0 0 ) ) )",

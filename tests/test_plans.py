@@ -2,6 +2,7 @@
 
 import contextlib
 import re
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,3 +131,31 @@ def test_raw_tables_prune_snapshots_and_columns(spark, places, skewed):  # noqa:
 def test_several_snapshots_are_rebalanced(spark, skewed):
     hinted = skewed[0].hint("rebalance", "file_index")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(hinted)
+
+
+def test_mart_of_one_day_reads_few_files(spark, places, skewed):  # noqa: F811
+    from landmart.plans.tables import create_tables, replace_marts
+
+    create_tables(spark, places[1])
+    owners, parcels = skewed
+    days = spark.range(30).select(F.concat(F.lit("202106"), F.lpad((F.col("id") + 1).cast("string"), 2, "0")).alias("file_index"))
+    some = owners.filter("owner_name <> 'HOT' AND account_id < 2000").drop("file_index").crossJoin(days)
+    areas = parcels.select("parcel_id", "area_m2").distinct().crossJoin(days)
+    with settings(spark, adaptive__coalescePartitions__enabled="false"):  # or this little data is one file
+        replace_marts(spark, {"marts.owner_daily_summary": marts.owner_daily_summary(some, areas)})
+    mart = spark.table("marts.owner_daily_summary")
+    day = analyst.owners_by_property_count_mart(mart, date(2021, 6, 7))
+    assert "PushedFilters: [IsNotNull(report_date), EqualTo(report_date,2021-06-07)]" in plan(day)
+    # the days of a file are a short range, so its statistics rule most files out
+    ranges = mart.groupBy(F.col("_metadata.file_path")).agg(F.min("report_date").alias("a"), F.max("report_date").alias("z")).collect()
+    assert len(ranges) > 2 and sum(r.a <= date(2021, 6, 7) <= r.z for r in ranges) <= 2
+
+
+def test_rebuild_reads_stored_areas(spark, places):  # noqa: F811
+    from landmart.plans.tables import create_tables
+
+    create_tables(spark, places[1])
+    tables = [spark.table(f"raw.{name}") for name in ("owners", "parcels", "parcel_areas")]
+    for build in (marts.owner_daily_summary, marts.land_type_daily_summary):
+        scans = [line for line in plan(build(*tables)).splitlines() if "FileScan" in line]
+        assert len(scans) == 2 and sum("parcel_areas" in line for line in scans) == 1

@@ -246,15 +246,16 @@ def test_quality_reports(spark):
     o = owners(
         spark,
         ("A", "1", "R1", "1", "X", D1), ("B", "1", "R1", "0.5", "Y", D1), ("B", None, "R1", "1", "Y", D1),
-        ("C", "8", "R1", "1", "X", D1), ("C", "2", "R1", "1", "X", D2),
+        ("C", "8", "R1", "1", "X", D1), ("C", "2", "R1", "1", "X", D2), ("D", "9", "R1", "1", "RESIDENTIAL", D2),
+        ("D", "9", "R2", "1", "NATURAL RESRC", D2),  # one owner holding all of a parcel of two types
     )
-    p = parcels(spark, ("1", 1, D1), ("1", 2, D1), ("2", 1, D1), ("2", 1, D2))
+    p = parcels(spark, ("1", 1, D1), ("1", 2, D1), ("2", 1, D1), ("2", 1, D2), ("9", 1, D2))
     assert [tuple(r) for r in quality.multi_feature_parcels(p).collect()] == [(D1, "1", 2)]
     unknown = {(r.file_index, r.parcel_id): r.owner_rows for r in quality.unknown_parcels(o, p).collect()}
     assert unknown == {(D1, "8"): 1, (D1, None): 1}
     assert [tuple(r) for r in quality.unowned_parcels(o, p).collect()] == [(D1, "2")]
     assert [(r.parcel_id, r.total_stake) for r in quality.overallocated_parcels(o).collect()] == [("1", Decimal("1.5"))]
-    assert [(r.parcel_id, r.account_types) for r in quality.multi_type_parcels(o).collect()] == [("1", 2)]
+    assert [(r.parcel_id, r.account_types) for r in quality.multi_type_parcels(o).orderBy("parcel_id").collect()] == [("1", 2), ("9", 2)]
 
 
 def test_snapshot_dates():
