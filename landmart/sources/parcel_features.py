@@ -26,10 +26,10 @@ def raw_parcel_rows(features: DataFrame, skipped: Observation | None = None) ->
 
     Duplicates stay: features of one parcel add up.
     """
-    if skipped is not None:
-        features = features.observe(
-            skipped, F.count_if(~has_vertices(F.col("geom"))).alias("records_skipped")
-        )
+    # the count also keeps the filter above the step that makes `geom`, so that it is made once
+    features = features.observe(
+        skipped or "features", F.count_if(~has_vertices(F.col("geom"))).alias("records_skipped")
+    )
     kept = features.filter(has_vertices(F.col("geom")) & (F.col("parcel_no") != ""))
     return conform(
         kept.withColumnRenamed("parcel_no", "parcel_id").withColumn("area_m2", geodesic_area(F.col("geom"))),

@@ -10,7 +10,7 @@ from landmart.constants import WGS84_A, WGS84_E2
 from landmart.functions.geodesic import geodesic_area
 from landmart.functions.geometry import has_vertices, polygons_from_wkt
 from landmart.plans.quality import features_without_geometry
-from landmart.sources.parcel_features import features_from_wkt, raw_parcel_rows
+from landmart.sources.parcel_features import features_from_wkb, features_from_wkt, raw_parcel_rows
 from landmart.sources.wkb import polygons_from_wkb
 
 
@@ -179,3 +179,11 @@ def test_wkb_equals_wkt(spark, variant):
     df = spark.createDataFrame([(wkb(polygons, **variant), wkt), (None, None)], "b binary, t string")
     rows = df.select(polygons_from_wkb("b").alias("b"), polygons_from_wkt(F.col("t")).alias("t")).collect()
     assert rows[0].b == rows[0].t and rows[1].b is None
+
+
+def test_geometry_is_decoded_once(spark):
+    df = spark.createDataFrame([("1",) * 5 + ("POLYGON EMPTY", b"")], "object_id string, parcel_no string, "
+                               "shape_area string, shape_len string, file_index string, wkt string, wkb binary")
+    for rows, python in ((features_from_wkb(df), 1), (features_from_wkt(df), 0)):
+        text = raw_parcel_rows(rows)._jdf.queryExecution().executedPlan().toString()
+        assert text.count("ArrowEvalPython") == python and "CollectMetrics" in text
