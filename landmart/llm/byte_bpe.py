@@ -28,8 +28,11 @@ from pyspark.sql import DataFrame
 
 from landmart.llm.common import documents
 
-PIECES_KEPT = 500_000
-PAIRS_KEPT = 2_000_000
+PIECES_KEPT = 300_000
+PAIRS_KEPT = 200_000
+#: Token ids held as Python lists before they leave a task.
+IDS_HELD = 500_000
+NEVER = 1 << 60
 
 
 def read_ranks(path: str) -> bytes:
@@ -48,39 +51,71 @@ class Encoder(dict):
         self.decimal = {rank: str(rank) for rank in self.tokens}
         self.split = regex.compile(pattern).findall
         self.pattern = regex.compile(pattern)
-        self.pairs: dict[tuple[int, int], bool] = {}
-        # tokens that merges can make; others only stand for whole pieces
+        self.before: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+        # tokens that merges can make, with the two parts of their last merge; others only stand for whole pieces
+        self.parts = {r: parts for t, r in self.ranks.items() if (parts := self.last_merge(t)) is not None}
         self.automaton = ahocorasick.Automaton()
-        made = [t for t, r in self.ranks.items() if len(t) == 1 or self.merged(t) == [r]]
-        for token in made:
-            self.automaton.add_word(token.decode("latin-1"), (len(token), self.ranks[token]))
+        for rank in self.parts:
+            token = self.tokens[rank]
+            self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self.automaton.make_automaton()
-        usable = set(made)
-        self.shorter = {}
-        for token in made:
-            cut = next((token[:k] for k in range(len(token) - 1, 0, -1) if token[:k] in usable), None)
-            self.shorter[self.ranks[token]] = None if cut is None else self.ranks[cut]
-
-    def merged(self, data: bytes) -> list[int]:
-        """The merges themselves, lowest rank first; for short strings only."""
+        self.shorter: dict[int, int | None] = {}
+        for rank in self.parts:
+            token = self.tokens[rank]
+            cuts = (self.ranks.get(token[:k]) for k in range(len(token) - 1, 0, -1))
+            self.shorter[rank] = next((r for r in cuts if r in self.parts), None)
+        if any(max(parts) >= rank for rank, parts in self.parts.items() if parts):
+            raise ValueError("a token ranks before its parts")
+        self.first: dict[int, tuple[int, ...]] = {}
+        self.last: dict[int, tuple[int, ...]] = {}
+
+    def last_merge(self, data: bytes) -> tuple[int, ...] | None:
+        """The parts that the merges, lowest rank first, join last; () for a byte, None if they end elsewhere."""
         parts = [data[i:i + 1] for i in range(len(data))]
         rank = self.ranks.get
-        while len(parts) > 1:
-            best, at = min(((rank(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))))
-            if best == 1 << 60:
-                break
+        while len(parts) > 2:
+            best, at = min((rank(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if best == NEVER:
+                return None
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        return tuple(self.ranks[p] for p in parts) if len(parts) == 2 else ()
+
+    def edge(self, token: int, side: int) -> tuple[int, ...]:
+        """What holds the token's first (0) or last (-1) byte as merges go on, from that byte to the token."""
+        known = self.last if side else self.first
+        if token not in known:
+            parts = self.parts[token]
+            known[token] = (*self.edge(parts[side], side), token) if parts else (token,)
+        return known[token]
 
     def compatible(self, left: int, right: int) -> bool:
-        key = (left, right)
+        key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= PAIRS_KEPT:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
+            known = self.pairs[key] = self.stay_apart(left, right)
         return known
 
+    def stay_apart(self, left: int, right: int) -> bool:
+        """Whether merging both tokens' bytes makes just these tokens: at no time may what lies left and
+        right of the border merge before one of them goes on to its own next merge. Of equal ranks the
+        merge further left comes first."""
+        xs, ys, i, j = self.edge(left, -1), self.edge(right, 0), 0, 0
+        while True:
+            across = self.ranks.get(self.tokens[xs[i]] + self.tokens[ys[j]], NEVER)
+            x = xs[i + 1] if i + 1 < len(xs) else NEVER
+            y = ys[j + 1] if j + 1 < len(ys) else NEVER
+            if across < x and across <= y:
+                return False
+            if x == y == NEVER:
+                return True
+            if x <= y:
+                i += 1
+            else:
+                j += 1
+
     def backtrack(self, data: bytes) -> tuple[int, ...]:
         n = len(data)
         longest: list[int] = [0] * n
@@ -105,11 +140,14 @@ class Encoder(dict):
                 token = self.shorter[token]
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode()
-        whole = self.ranks.get(data)
-        ids = (whole,) if whole is not None else self.backtrack(data)
+        ids = self.before.get(piece)
+        if ids is None:
+            data = piece.encode()
+            whole = self.ranks.get(data)
+            ids = (whole,) if whole is not None else self.backtrack(data)
         if len(piece) < 64:
-            if len(self) >= PIECES_KEPT:
+            if len(self) >= PIECES_KEPT:  # what was used lately is still found in `before`
+                self.before = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -127,6 +165,17 @@ def encoder(rank_file: bytes, pattern: str) -> Encoder:
     return Encoder(rank_file, pattern)
 
 
+def parts_of(batch: pa.RecordBatch, bpe: Encoder) -> Iterator[tuple[pa.RecordBatch, list[list[int]]]]:
+    """A batch in parts of about IDS_HELD ids, with the ids of each text."""
+    ids, begin, held = [], 0, 0
+    for at, text in enumerate(batch.column("text"), 1):
+        ids.append(bpe.encode(text.as_py() or ""))
+        held += len(ids[-1])
+        if held >= IDS_HELD or at == batch.num_rows:
+            yield batch.slice(begin, at - begin), ids
+            ids, begin, held = [], at, 0
+
+
 def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and the token ids of each text."""
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
@@ -134,8 +183,8 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(shared.value, pattern)
         for batch in batches:
-            ids = [bpe.encode(text or "") for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            for part, ids in parts_of(batch, bpe):
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return documents(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -161,13 +210,13 @@ def with_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(shared.value, pattern)
         for batch in batches:
-            ids = [bpe.encode(text.as_py() or "") for text in batch.column("text")]
-            of_ids = [hashlib.sha256(",".join(map(bpe.decimal.__getitem__, x)).encode()).hexdigest() for x in ids]
-            of_bytes = [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
-                ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+            for part, ids in parts_of(batch, bpe):
+                of_ids = [hashlib.sha256(",".join(map(bpe.decimal.__getitem__, x)).encode()).hexdigest() for x in ids]
+                of_bytes = [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())),
+                     pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
+                    ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
 
     return documents(docs).mapInArrow(
         run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
