@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,12 @@ TREE = "doc_id long, text string, chars array<int>, tokens array<int>, n_tokens
 
 def leaves_of(pieces: list[str], bpe: Encoder, size: int = LEAF) -> list[tuple[int, int]]:
     """(characters, tokens) of each run of ``size`` pieces."""
-    runs = (pieces[i:i + size] for i in range(0, len(pieces), size))
-    return [(sum(map(len, run)), sum(len(bpe[p]) for p in run)) for run in runs]
+    if not pieces:
+        return []
+    starts = np.arange(0, len(pieces), size)
+    chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    tokens = np.fromiter(map(len, map(bpe.__getitem__, pieces)), np.int64, len(pieces))
+    return list(zip(np.add.reduceat(chars, starts).tolist(), np.add.reduceat(tokens, starts).tolist()))
 
 
 class Tree:
