@@ -22,9 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landmart.llm.common import sample
+
 ORDER = 3
 BUCKETS = 1 << 18
 SAMPLE = 300
@@ -105,15 +107,8 @@ def train(docs: DataFrame) -> Model | None:
     """Learns from text and non-null lang of documents that are not held out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
-    ).withColumn("h", F.xxhash64("doc_id"))
-    # the largest hash that each language's sample reaches; only then are texts read
-    first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ends = rows.select("lang", "h", "doc_id").withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE)
-    limits = {r["lang"]: r["h"] for r in ends.groupBy("lang").agg(F.max("h").alias("h")).collect()}
-    if not limits:
-        return None
-    end = F.create_map(*[F.lit(x) for item in limits.items() for x in item])
-    sample = rows.filter(F.col("h") <= end[F.col("lang")]).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE)
+    )
+    chosen = sample(rows, "lang", SAMPLE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +116,7 @@ def train(docs: DataFrame) -> Model | None:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang"), batch.column("n"), pa.array(found, pa.list_(pa.int32()))], ["lang", "n", "at"])
 
-    got = sample.select("lang", "n", "text").mapInArrow(run, "lang string, n int, at array<int>").orderBy("lang", "n").collect()
+    got = chosen.select("lang", "n", "text").mapInArrow(run, "lang string, n int, at array<int>").orderBy("lang", "n").collect()
     found = [(r["lang"], np.array(r["at"], np.int64)) for r in got if r["at"]]
     return fit(found) if found else None
 

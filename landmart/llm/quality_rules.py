@@ -45,7 +45,7 @@ class Rule:
 
 RULES = (
     Rule("word_length", "word_chars", "n_words", 1.5, 20.0),
-    Rule("symbols", "n_symbols", "n_words", 0.0, 0.5),
+    Rule("symbols", "n_symbols", "n_words", 0.0, 0.25),
     Rule("duplicate_lines", "n_dup_lines", "n_text_lines", 0.0, 0.5),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_text_lines", 0.0, 0.5),
     Rule("letters", "n_letter_words", "n_words", 0.5, 1.0),

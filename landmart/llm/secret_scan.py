@@ -140,3 +140,35 @@ def digest(docs: DataFrame) -> DataFrame:
     return scanned(docs).select(
         "doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
         F.sha2(joined(F.array_sort("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+KINDS_SQL = " UNION ALL ".join(
+    f"SELECT r, {i} AS kind, {_sql(k.name)} AS name, {k.least} AS least, {_sql(k.value)} AS value, "
+    f"regexp_extract_all(t, {_sql(k.pattern)}) AS m, string_split_regex(t, {_sql(k.pattern)}) AS g FROM body"
+    for i, k in enumerate((*BASE, OWNED)))
+
+ORACLE_SQL = f"""
+WITH body AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+kinds AS ({KINDS_SQL}),
+each AS (SELECT r, kind, name, least, value, m, g, unnest(range(1, len(m) + 1)) AS k FROM kinds WHERE len(m) > 0),
+placed AS (
+  SELECT r, kind, name, least, regexp_extract(m[k], value, 1) AS v, length(m[k]) AS size,
+    (list_sum(list_transform(g[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0))::BIGINT AS start
+  FROM each),
+found AS (
+  SELECT *, name || ':' || start || ':' || (start + size) AS span FROM placed
+  WHERE length(v) >= least AND (kind < {len(BASE)} OR regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]'))),
+owners AS (SELECT v, count(DISTINCT coalesce('s' || source, '-')) AS n FROM found JOIN body USING (r) GROUP BY v),
+spans AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY start, kind) FILTER (kind < {len(BASE)}) AS base,
+    string_agg(span, ',' ORDER BY start, kind) FILTER (kind < {len(BASE)} OR n <= {MAX_OWNERS}) AS spans
+  FROM found JOIN owners USING (v) GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM body LEFT JOIN spans USING (r)
+"""

@@ -10,7 +10,7 @@ document, as they are and per word, go through a logistic regression to a score
 Learning uses at most ``TOXIC`` toxic and ``CLEAN`` clean labelled documents, those with the smallest hash of
 doc_id; this bounds lexicon and driver work. Every text is scored whole.
 
-Null and empty texts have no hits and get the score of such texts. If one of the classes has no learnable
+Null and empty texts have no hits and get the score of such texts, which is always below 1/2. If one of the classes has no learnable
 document, every score is 0. Null doc_ids are not held out. Repeated label rows count once, conflicting ones as
 toxic. Repeated rows give repeated results, empty tables empty results; other columns are not read.
 """
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landmart.llm.common import documents
+from landmart.llm.common import documents, sample
 
 FOLDS, HELD = 5, 0
 TOXIC, CLEAN = 1500, 3000
@@ -37,6 +37,8 @@ SHORT, LONG = 4, 9
 MIN_TOXIC = 5
 MIN_ODDS = 2.5
 ENTRIES = 2000
+#: Log odds that a text without hits has at most, so it is never predicted toxic.
+CALM = -1.0
 #: Letters of other scripts, digits and signs that are written for Latin letters.
 LOOKALIKES = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ё": "e", "һ": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "ӏ": "l",
@@ -108,7 +110,7 @@ def sample_of(labels: DataFrame) -> DataFrame:
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    pick = lambda toxic, n: rows.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    pick = lambda toxic, n: sample(rows.filter(F.col("toxic") == toxic), "toxic", n).drop("n")
     return pick(1, TOXIC).unionByName(pick(0, CLEAN))
 
 
@@ -119,7 +121,7 @@ def beginnings(text: str) -> set[str]:
     return out | {w + " " for w in words if len(w) >= SHORT}
 
 
-def learn_lexicon(sample: DataFrame) -> Lexicon | None:
+def learn_lexicon(rows: DataFrame) -> Lexicon | None:
     """From (text, toxic) rows: counts of documents by entry, summed in tasks before they are shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +136,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon | None:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.string()), *(pa.array([c[e] for e in part], pa.int64()) for c in seen)], ["entry", "clean", "toxic"])
 
-    counts = sample.select("text", "toxic").mapInArrow(count, "entry string, clean long, toxic long").groupBy("entry").agg(
+    counts = rows.select("text", "toxic").mapInArrow(count, "entry string, clean long, toxic long").groupBy("entry").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).persist()
     try:
         totals = counts.filter("entry = ''").collect()
@@ -174,9 +176,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Lexicon and logistic regression from labelled documents that are not held out."""
     chosen = sample_of(labels)
-    sample = documents(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).persist()
+    learned = documents(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).persist()
     try:
-        lexicon = learn_lexicon(sample)
+        lexicon = learn_lexicon(learned)
         if lexicon is None:
             return None
 
@@ -187,11 +189,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("toxic"), *(pa.array([f[i] for f in found], pa.float64()) for i in (0, 1))], ["toxic", "a", "b"])
 
-        rows = sample.select("toxic", "text").mapInArrow(rate, "toxic int, a double, b double").orderBy("toxic", "a", "b").collect()
+        rows = learned.select("toxic", "text").mapInArrow(rate, "toxic int, a double, b double").orderBy("toxic", "a", "b").collect()
     finally:
-        sample.unpersist()
+        learned.unpersist()
     x = np.array([[1.0, r["a"], r["b"]] for r in rows])
-    return Model(lexicon, tuple(logistic(x, np.array([float(r["toxic"]) for r in rows]))))
+    found = logistic(x, np.array([float(r["toxic"]) for r in rows]))
+    return Model(lexicon, (min(found[0], CALM), *found[1:]))
 
 
 def scored(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
