@@ -1,7 +1,7 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick over folded text.
 
 Folding lower-cases, takes accents off, and maps look-alike letters of other scripts and digits or signs
-used as letters to a to z. The lexicon is learned: beginnings of words (``SHORT`` to ``LONG`` letters)
+used as letters to a to z; entries that have accents are sought in the text with its accents. The lexicon is learned: beginnings of words (``SHORT`` to ``LONG`` letters)
 weighted by their log odds between toxic and clean labelled documents. Of an entry and its own beginnings the
 one that explains most toxic documents stays. An entry counts where a word begins, unless an exception phrase covers it: fixed phrases with
 harmless meanings, and whole words that clean documents use more than toxic ones. The weights found in a
@@ -33,7 +33,7 @@ from landmart.llm.common import documents, sample
 
 FOLDS, HELD = 5, 0
 TOXIC, CLEAN = 1500, 3000
-SHORT, LONG = 4, 9
+SHORT, LONG = 3, 9
 MIN_TOXIC = 5
 MIN_ODDS = 2.5
 ENTRIES = 2000
@@ -60,6 +60,11 @@ def fold(text: str) -> str:
     return text.lower().translate(FOLD)
 
 
+def with_marks(text: str) -> str:
+    """The lower-cased text with its accents, which tell some words apart that fold to the same."""
+    return unicodedata.normalize("NFC", text).lower()
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
 
@@ -72,26 +77,34 @@ class Lexicon:
     def automaton(self) -> ahocorasick.Automaton:
         out = ahocorasick.Automaton()
         for phrase in self.exceptions:
-            out.add_word(phrase, (len(phrase), None))
+            out.add_word(phrase, (len(phrase), None, not phrase.isascii()))
         for entry, weight in self.weights.items():
-            out.add_word(entry, (len(entry), weight))
+            out.add_word(entry, (len(entry), weight, not entry.isascii()))
         out.make_automaton()
         return out
 
 
-def features(text: str, automaton: ahocorasick.Automaton) -> tuple[float, float]:
-    """The weight of all hits, and that per word, both on a log scale."""
-    if not text or not len(automaton):
-        return 0.0, 0.0
-    folded, hits, spared = fold(text), [], []
-    for end, (size, weight) in automaton.iter(folded):
+def weight_in(form: str, automaton: ahocorasick.Automaton, marked: bool) -> float:
+    """The weight of all hits in one form of a text; in the ``marked`` form only entries with marks count."""
+    hits, spared = [], []
+    for end, (size, weight, has_marks) in automaton.iter(form):
         start = end + 1 - size
-        if start and folded[start - 1].isalpha():
+        if (marked and not has_marks) or (start and form[start - 1].isalpha()):
             continue
         (spared if weight is None else hits).append((start, end, weight))
     if spared:
-        hits = [h for h in hits if not any(s <= h[0] and h[1] <= e and not folded[e + 1:e + 2].isalpha() for s, e, _ in spared)]
-    total = sum(h[2] for h in hits)
+        hits = [h for h in hits if not any(s <= h[0] and h[1] <= e and not form[e + 1:e + 2].isalpha() for s, e, _ in spared)]
+    return sum(h[2] for h in hits)
+
+
+def features(text: str, automaton: ahocorasick.Automaton) -> tuple[float, float]:
+    """The weight of all hits, and that per word, both on a log scale."""
+    if not text or not len(automaton):
+        return 0.0, 0.0
+    folded = fold(text)
+    total = weight_in(folded, automaton, False)
+    if not text.isascii():
+        total += weight_in(with_marks(text), automaton, True)
     return float(np.log1p(total)), float(np.log1p(100 * total / (len(folded) / 6 + 10)))
 
 
@@ -117,6 +130,8 @@ def sample_of(labels: DataFrame) -> DataFrame:
 def beginnings(text: str) -> set[str]:
     """Beginnings of the folded words, and whole words marked by a blank at their end."""
     words = set(WORD.findall(fold(text)))
+    if not text.isascii():
+        words |= {w for w in WORD.findall(with_marks(text)) if not w.isascii()}
     out = {w[:n] for w in words for n in range(SHORT, min(LONG, len(w)) + 1)}
     return out | {w + " " for w in words if len(w) >= SHORT}
 
