@@ -6,8 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What separates words: blank, tab, newline, vertical tab, form feed, carriage return.
@@ -19,23 +20,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=1)
+def local_folder() -> str:
+    """Where no shared folder is set, as in tests: a local one that goes at exit."""
+    folder = tempfile.mkdtemp(prefix="landmart-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; where that is unset (tests), below a local folder
-    that goes at exit."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="landmart-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", base)
+    """A fresh folder below ``spark.checkpoint.dir``."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Few texts at a time are handed to Python, since some are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
+#: Lets Spark drop the shuffle files of a query as soon as the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: a cut of the lineage that outlives
-    executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    executors. The shuffles that made it are not needed any more and go at once."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def documents(docs: DataFrame, *more: str) -> DataFrame:
@@ -43,6 +63,20 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def sample(rows: DataFrame, by: str, size: int) -> DataFrame:
+    """At most ``size`` rows of each value of ``by``, one per doc_id: those with the smallest hash of doc_id,
+    numbered by ``n``. Rows are counted first, so that only about twice as many go on as are wanted, however
+    many tasks there are. The values of ``by`` are few."""
+    space = 2**40
+    counts = {r[by]: r["count"] for r in rows.groupBy(by).count().collect()}
+    if not counts:
+        return rows.withColumn("n", F.lit(0)).limit(0)
+    ends = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(space, 2 * size * space // n + 1))])
+    near = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(space)) < ends[F.col(by)]).dropDuplicates(["doc_id"])
+    order = Window.partitionBy(by).orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(space)), "doc_id")
+    return near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= size)
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANK_RUN), lambda w: w != "")

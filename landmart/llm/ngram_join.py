@@ -7,14 +7,18 @@ T = ceil(3 (a + b) / 7).
 1. Documents with equal sets form a class; from here on there is one representative of each class.
 2. Shingles are ordered: those of short lists by hash, then the long lists (shingles found in more than
    one of ``LONG_SHARE`` documents of some chunk). Only T - 1 shingles may be left out of a merge, so each set
-   brings its first b - ceil(3b/4) + 1 shingles; the smaller of a pair needs only its first a/7 + 1. Long
-   lists are thus merged only where a set has next to nothing else; otherwise they are probed.
-3. The merge: lists meet by shingle. In each list every member is tried against the smallest set, in the
-   list where they share most. Links found so join classes into components.
+   brings its first b - ceil(3b/4) + 1 shingles. Long lists are thus merged only where a set has next to nothing
+   else; otherwise they are probed.
+3. The merge: lists meet by shingle. In a few rounds every member is tried against one leader, that of the
+   lists it shares most of; links join classes into components. Leaders are first the members with most of
+   their shingles in lists (what copies were made from), then others.
 4. Lists that still hold two components or more give the rest of the candidates: pairs of different
-   components whose sizes and first positions allow T. A list within one component has nothing to add, so a large
-   group of near copies costs one candidate per member, not one per pair.
-5. A candidate's overlap is counted by binary probes of the smaller sorted set into the larger one.
+   components whose sizes allow T, met in the shortest lists only: as many of a set's longest lists are skipped
+   as a link has in common at least, less one. A list within one component has nothing to add, so a large
+   group of near copies costs a few candidates per member, not one per pair.
+5. What two sets share of their merged shingles, and all that is left out, must reach T. For candidates that
+   pass this the overlap is counted by binary probes of the smaller sorted set into the
+   larger one.
 
 The order of shingles, and with it ``LONG_SHARE``, changes the cost only; no list, candidate or partner is
 capped. Shingle hashes and class digests have 64 bits.
@@ -29,11 +33,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landmart.llm.common import documents, stored
@@ -42,36 +46,79 @@ WORDS = 5
 #: A shingle's list is long if a chunk has it in one of so many documents.
 LONG_SHARE = 256
 #: Shingles of a chunk: a task counts list lengths over so many at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Long lists known to all tasks: at most 8 bytes for each of these, the longest ones.
 LONG_KEPT = 200_000
-WORDS_KEPT = 500_000
+#: Rounds of candidates that are linear in the members, before what is left is gone through pair by pair.
+ROUNDS = 2
+CLASSES_KEPT = 100_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    """Hash of a word, as a mapping that fills itself."""
+def random_odd(n: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 2**64, n, np.uint64) | np.uint64(1)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
 
+#: A word is hashed as a polynomial in BASE over random values of its bytes, modulo 2 ** 64.
+BYTE = random_odd(256, 1)
+BASE = random_odd(1, 2)[0]
+BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes hashed at a time, up to the end of a word.
+PIECE = 1 << 20
 
-def shingles(text: str | None, known: WordHashes) -> np.ndarray:
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    return np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(n - 1, base))])
+
+
+@lru_cache(maxsize=1)
+def tables() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse, for all places in a piece."""
+    return powers(BASE, PIECE + 1), powers(BASE_INVERSE, PIECE + 1)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words of a lower-cased text, in order. A word longer than a piece is hashed by pieces."""
+    out, up, down = [], *tables()
+    at, n = 0, len(text)
+    while at < n:
+        end = min(n, at + PIECE)
+        if end < n:  # back to the last blank of the piece
+            cut = max(text.rfind(c, at, end) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+            end = cut + 1 if cut > at else end
+        b = np.frombuffer(text, np.uint8, end - at, at)
+        blank = SPACE[b]
+        edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+        start, stop = edge[::2], edge[1::2]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE[b] * up[:len(b)])])
+        h = mixed((sums[stop] - sums[start]) * down[start])
+        if out and len(h) and start[0] == 0 and not SPACE[text[at - 1]]:  # goes on with the word before
+            out[-1][-1:] = mixed(out[-1][-1:] + h[:1])
+            h = h[1:]
+        if len(h):
+            out.append(h)
+        at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def shingles(text: str | None) -> np.ndarray:
     """The sorted hashes of a text's distinct shingles."""
-    found = (text or "").encode().lower().split()  # bytes know only ASCII letters and blanks
-    n = len(found)
-    w = np.fromiter(map(known.__getitem__, found), np.uint64, n)
-    size = min(n, WORDS)
+    w = word_hashes((text or "").encode().lower())  # bytes know only ASCII letters and blanks
+    n = len(w)
     if not n:
         return w
+    size = min(n, WORDS)
     h = np.full(n - size + 1, size, np.uint64)
     for k in range(size):
         h = (h ^ (h >> np.uint64(29))) * MIX + w[k:n - size + 1 + k]
-    h = (h ^ (h >> np.uint64(32))) * MIX
-    return np.unique(h ^ (h >> np.uint64(29)))
+    return np.unique(mixed(h))
 
 
 def class_of(found: np.ndarray) -> int:
@@ -89,7 +136,7 @@ def classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and class of each document; some rows also bring long lists of their task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, chunk, total = WordHashes(), [], 0
+        chunk, total = [], 0
 
         def rows(ids, n, c, at, times):
             longs = pa.list_(pa.int64())
@@ -100,7 +147,7 @@ def classes(docs: DataFrame) -> DataFrame:
         for batch in batches:
             n, c, at, times = [], [], [], []
             for text in batch.column("text"):
-                found = shingles(text.as_py(), known)
+                found = shingles(text.as_py())
                 n.append(len(found))
                 c.append(class_of(found))
                 chunk.append(found)
@@ -120,48 +167,50 @@ def classes(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n_shingles long, c long, long array<long>, times array<long>")
 
 
-def postings(docs: DataFrame, lists: np.ndarray) -> DataFrame:
-    """(token, c, n, place, small) for the first shingles of each class; a class once per task."""
+def firsts(docs: DataFrame, lists: np.ndarray) -> DataFrame:
+    """(c, n, first): the shingles that each class brings to the merge, in order; a class once per task."""
     shared = docs.sparkSession.sparkContext.broadcast(lists)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen, late = WordHashes(), set(), shared.value
+        seen, late = set(), shared.value
         for batch in batches:
-            out: list[tuple[np.ndarray, ...]] = []
-            held = 0
+            classes, sizes, first = [], [], []
             for text in batch.column("text"):
-                found = shingles(text.as_py(), known)
-                n = len(found)
-                if not n:
-                    continue
+                found = shingles(text.as_py())
                 c = class_of(found)
-                if c in seen:
+                if not len(found) or c in seen:
                     continue
-                if len(seen) >= WORDS_KEPT:
+                if len(seen) >= CLASSES_KEPT:
                     seen.clear()
                 seen.add(c)
+                n = len(found)
                 if len(late):
-                    at = np.minimum(np.searchsorted(late, found), len(late) - 1)
-                    is_long = late[at] == found
+                    is_long = late[np.minimum(np.searchsorted(late, found), len(late) - 1)] == found
                     found = np.concatenate([found[~is_long], found[is_long]])
-                size = n // 4 + 1
-                place = np.arange(size)
-                out.append((found[:size].view(np.int64), np.full(size, c), np.full(size, n), place, place <= n // 7))
-                held += size
-                if held >= 200_000:
-                    yield rows(out)
-                    out, held = [], 0
-            if out:
-                yield rows(out)
-
-    def rows(out):
-        token, c, n, place, small = map(np.concatenate, zip(*out))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(token), pa.array(c), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(small)],
-            ["token", "c", "n", "place", "small"])
-
-    return documents(docs).select("text").mapInArrow(
-        run, "token long, c long, n int, place int, small boolean")
+                classes.append(c)
+                sizes.append(n)
+                first.append(found[:n // 4 + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(first, pa.list_(pa.int64()))], ["c", "n", "first"])
+
+    return documents(docs).select("text").mapInArrow(run, "c long, n int, first array<long>")
+
+
+def possible(pairs: DataFrame, first: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose merged shingles allow the overlap. A shingle that two sets share is among
+    both first parts, or beyond the first part of the one that ends earlier in the order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yes = []
+            for x, y, n, m in zip(batch.column("fa"), batch.column("fb"), batch.column("na").to_pylist(), batch.column("nb").to_pylist()):
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                yes.append(7 * (both + max(n - len(x), m - len(y))) >= 3 * (n + m))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(yes, pa.bool_()))
+
+    of = lambda x: first.select(F.col("c").alias(x), F.col("n").alias(f"n{x}"), F.col("first").alias(f"f{x}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "fa", "fb").mapInArrow(run, "a long, b long")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -169,9 +218,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     may repeat with other texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
-            found = [shingles(x.as_py(), known) for x in batch.column("text")]
+            found = [shingles(x.as_py()) for x in batch.column("text")]
             same = [class_of(x) == c for x, c in zip(found, batch.column("c").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("c"), pa.array([x.tobytes() for x in found], pa.binary())], ["c", "set"]).filter(pa.array(same, pa.bool_()))
@@ -236,39 +284,58 @@ def joined(docs: DataFrame) -> DataFrame:
     late = np.sort(np.array([r[0] for r in lists], np.int64).view(np.uint64))
 
     reps = stored(every.filter("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id")), "reps")
-    short = stored(postings(docs, late), "postings")
-    # lists with two classes at least, and the smallest set of each
-    by_list = short.groupBy("token").agg(
-        F.min("c").alias("low"), F.max("c").alias("high"),
-        F.min(F.when(F.col("small"), F.struct("n", "c"))).alias("lead"),
-    ).filter((F.col("low") < F.col("high")) & F.col("lead").isNotNull())
-    by_list = by_list.select("token", F.col("lead.c").alias("lead"), F.col("lead.n").alias("ln"))
-    shared = stored(short.join(by_list, "token").distinct(), "lists")
-
-    tried = (
-        shared.filter((F.col("c") != F.col("lead")) & (F.col("ln") * 4 >= F.col("n") * 3))
-        .groupBy("c", "lead").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("c").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead"))
-        .select(F.least("c", "lead").alias("a"), F.greatest("c", "lead").alias("b")).distinct()
-    )
-    wanted = shared.select("c").distinct().join(reps, "c")
-    sets = stored(sets_of(docs, wanted), "sets")
-    first = stored(linked(tried, sets), "links")
-    part = stored(components(first), "parts")
-
-    member = shared.join(part.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-    member = stored(member.select("token", "c", "n", "place", "small", "root"), "members")
-    mixed = member.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").select("token")
-    member = member.join(mixed, "token")
-    left = member.filter("small").select("token", F.col("c").alias("x"), F.col("n").alias("a"), F.col("place").alias("i"), F.col("root").alias("rx"))
-    right = member.select("token", F.col("c").alias("y"), F.col("n").alias("b"), F.col("place").alias("j"), F.col("root").alias("ry"))
-    need = F.ceil((F.col("a") + F.col("b")) * 3 / 7)
-    met = left.join(right, "token").filter(
+    first = stored(firsts(docs, late).dropDuplicates(["c"]), "firsts")
+    posted = first.select(F.posexplode("first").alias("place", "token"), "c", "n")
+    met = posted.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
+    lists = stored(posted.join(met, "token").select("token", "c", "n", "place"), "lists")
+    in_lists = lists.groupBy("c").agg((F.count(F.lit(1)) / F.first("n")).alias("rank"))
+    member = stored(lists.join(in_lists, "c").withColumn("root", F.col("c")), "members")
+
+    def confirmed(likely: DataFrame) -> DataFrame:
+        likely = stored(likely, "candidates")
+        wanted = likely.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(reps, "c")
+        return stored(linked(likely, stored(sets_of(docs, wanted), "sets")), "links")
+
+    def open_lists(member: DataFrame) -> DataFrame:
+        """The lists that hold several components."""
+        several = member.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+        return member.join(several.select("token"), "token")
+
+    part = spark.createDataFrame([], "node long, root long")
+    for turn in range(ROUNDS):
+        order = F.struct("rank", "c") if turn == 0 else F.struct(F.xxhash64("c", F.lit(turn)), "c")
+        lead = member.groupBy("token").agg(F.max_by(F.struct("c", "n", "root"), order).alias("lead")).select("token", "lead.*")
+        lead = lead.select("token", F.col("c").alias("x"), F.col("n").alias("a"), F.col("root").alias("other"))
+        tried = (
+            member.join(lead, "token")
+            .filter((F.col("root") != F.col("other")) & (F.least("n", "a") * 4 >= F.greatest("n", "a") * 3))
+            .groupBy("c", "x").agg(F.count(F.lit(1)).alias("k"))
+            .groupBy("c").agg(F.max_by("x", F.struct("k", "x")).alias("x"))
+            .select(F.least("x", "c").alias("a"), F.greatest("x", "c").alias("b")).distinct()
+        )
+        links = confirmed(possible(tried, first))
+        if links.isEmpty():
+            break
+        part = components(part.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+        part = stored(part, "parts")
+        found = part.select(F.col("node").alias("c"), F.col("root").alias("new"))
+        member = member.join(found, "c", "left").withColumn("root", F.coalesce("new", "root")).drop("new")
+        member = stored(open_lists(member), "members")
+
+    # Members of different components meet in all lists that both are in. A pair that links shares `least` of
+    # them at least, so each side may skip its `least` - 1 longest lists: the shortest one they share stays.
+    size = member.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+    longest = Window.partitionBy("c").orderBy(F.desc("size"), "token")
+    member = stored(member.join(size, "token").withColumn("skip", F.row_number().over(longest)), "members")
+    left = member.select("token", F.col("c").alias("x"), F.col("n").alias("a"), F.col("skip").alias("i"), F.col("root").alias("rx"))
+    right = member.select("token", F.col("c").alias("y"), F.col("n").alias("b"), F.col("skip").alias("j"), F.col("root").alias("ry"))
+    beyond = F.greatest(F.col("a") - F.floor(F.col("a") / 4), F.col("b") - F.floor(F.col("b") / 4)) - 1
+    least = F.ceil((F.col("a") + F.col("b")) * 3 / 7) - beyond
+    rest = left.join(right, "token").filter(
         (F.col("rx") != F.col("ry")) & (F.col("a") <= F.col("b")) & (F.col("a") * 4 >= F.col("b") * 3)
-        & (F.least(F.col("a") - F.col("i"), F.col("b") - F.col("j")) >= need))
-    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    second = linked(pairs, sets)
-    part = components(first.unionByName(second))
+        & (F.least("i", "j") >= least))
+    more = confirmed(possible(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), first))
+    part = components(part.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
     whole = reps.join(part.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     lowest = whole.groupBy("root").agg(F.min("doc_id").alias("component_id"))

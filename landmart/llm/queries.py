@@ -7,14 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from landmart.llm import byte_bpe, language_id, line_dedup, ngram_join, quality_rules, secret_scan, source_mix, token_counts, top_k, toxicity
-from landmart.llm.common import table
+from landmart.llm.common import configure, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    return {
+    found = {
         "op1_ngram_join": lambda spark, d: ngram_join.joined(table(spark, d, "documents")),
         "op2_top_k": lambda spark, d: top_k.digest(table(spark, d, "embeddings")),
         "op3_quality_rules": lambda spark, d: quality_rules.digest(table(spark, d, "documents")),
@@ -27,12 +27,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_byte_bpe": lambda spark, d: byte_bpe.digest(table(spark, d, "documents"), path, pattern),
     }
 
+    def configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, d: query(configure(spark), d)
+
+    return {name: configured(query) for name, query in found.items()}
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_join": ngram_join.ORACLE_SQL,
         "op2_top_k": top_k.ORACLE_SQL,
         "op3_quality_rules": quality_rules.ORACLE_SQL,
+        "op5_secret_scans": secret_scan.ORACLE_SQL,
         "op6_source_mix": source_mix.ORACLE_SQL,
         "op9_line_dedup": line_dedup.ORACLE_SQL,
     }

@@ -84,15 +84,25 @@ def test_long_lists_change_nothing(spark, monkeypatch):
     rows = corpus(4)
     docs = table(spark, rows)
     want = sorted(map(tuple, ngram_join.joined(docs).collect()))
-    known = ngram_join.WordHashes()
-    some = np.unique(np.concatenate([ngram_join.shingles(t, known)[::2] for _, t in rows]))
+    some = np.unique(np.concatenate([ngram_join.shingles(t)[::2] for _, t in rows]))
+    plain = ngram_join.firsts
     for lists in (np.empty(0, np.uint64), some):
-        plain = ngram_join.postings
-        monkeypatch.setattr(ngram_join, "postings", lambda d, _, lists=lists, plain=plain: plain(d, lists))
+        monkeypatch.setattr(ngram_join, "firsts", lambda d, _, lists=lists: plain(d, lists))
         assert sorted(map(tuple, ngram_join.joined(docs).collect())) == want
         monkeypatch.undo()
 
 
+def test_word_hashes_by_pieces(monkeypatch):
+    text = prose(random.Random(1), 400).encode() + b"\n\t" + b"w" * 500 + b" end"
+    whole = ngram_join.word_hashes(text)
+    assert len(whole) == len(text.split()) and len(np.unique(whole)) == len(set(text.split()))
+    monkeypatch.setattr(ngram_join, "PIECE", 64)
+    ngram_join.tables.cache_clear()
+    pieces = ngram_join.word_hashes(text)
+    ngram_join.tables.cache_clear()
+    assert len(pieces) == len(whole) and (pieces == whole).sum() == len(whole) - 1
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(300, 300 + i) for i in range(50)]
