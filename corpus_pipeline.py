@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landmart.llm import byte_bpe, line_dedup, ngram_join, source_mix, toxicity
-from landmart.llm.common import stored, table
+from landmart.llm.common import configure, stored, table
 from landmart.llm.queries import VOCABULARY
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score does not reject. Learned from the labels of documents in ``docs``."""
+    configure(spark)
     return toxicity.clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -32,6 +33,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near duplicates. Documents without doc_id stay."""
+    configure(spark)
     found = ngram_join.joined(docs)
     stay = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     known = docs.filter(F.col("doc_id").isNotNull()).join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -46,6 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the token ids, and the digests of ids and of the bytes they decode to."""
+    configure(spark)
     return byte_bpe.with_ids(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
