@@ -158,7 +158,8 @@ def learn_lexicon(rows: DataFrame) -> Lexicon | None:
         if not totals or not totals[0]["clean"] or not totals[0]["toxic"]:
             return None
         odds = F.log((F.col("toxic") + 0.5) / (totals[0]["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (totals[0]["clean"] + 1))
-        rated = counts.filter("entry <> ''").withColumn("odds", odds)
+        # the sample is bounded and so are its entries: a few tasks, each of which sends its best to the driver
+        rated = counts.filter("entry <> ''").coalesce(8).withColumn("odds", odds)
         best = rated.filter(~F.col("entry").endswith(" ") & (F.col("toxic") >= MIN_TOXIC) & (F.col("odds") >= MIN_ODDS)).orderBy(
             F.desc(F.col("odds") * F.col("toxic")), F.desc(F.length("entry")), "entry").limit(ENTRIES).collect()
         weights: dict[str, float] = {}
