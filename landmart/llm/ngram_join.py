@@ -46,7 +46,7 @@ WORDS = 5
 #: A shingle's list is long if a chunk has it in one of so many documents.
 LONG_SHARE = 256
 #: Shingles of a chunk: a task counts list lengths over so many at a time.
-CHUNK = 1_000_000
+CHUNK = 500_000
 #: Long lists known to all tasks: at most 8 bytes for each of these, the longest ones.
 LONG_KEPT = 200_000
 #: Rounds of candidates that are linear in the members, before what is left is gone through pair by pair.
@@ -66,7 +66,7 @@ BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes hashed at a time, up to the end of a word.
-PIECE = 1 << 20
+PIECE = 1 << 17
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
