@@ -3,8 +3,10 @@
 Base kinds are found in every text by their patterns. The method adds spans of kind ``owned``: long
 mixed-case tokens with digits that look like credentials. Their hashes are counted over the corpus by
 distinct repositories (host part of ``repo``, here documents) and distinct owners (sources); a value of at
-most ``MAX_OWNERS`` owners is live-looking and becomes a span, a widely copied one is an example and does
-not. Base spans always stay, with their class beside them.
+most ``MAX_DOCS`` documents and ``MAX_OWNERS`` owners is live-looking and becomes a span, a widely copied one
+is an example and does not. Base spans always stay, with their class beside them.
+
+``digest``, the query op5_secret_scans, goes by owners alone, as its SQL does.
 
 Positions come from the patterns' gaps and matches: a text is the alternation of both, so running sums of
 their lengths are the spans, in code points.
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from landmart.llm.common import documents, let, stored
 
 MAX_OWNERS = 2
+MAX_DOCS = 4
 
 
 @dataclass(frozen=True)
@@ -95,22 +98,23 @@ def found_in(docs: DataFrame) -> DataFrame:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Per candidate value (by hash): documents and owners that have it. Counted in two steps that combine
-    before they shuffle, so a value that is everywhere is a few rows per task."""
+    """Per candidate value (by hash): distinct documents and owners that have it. Counted in two steps that
+    combine before they shuffle; no task gets all documents of a value that is everywhere."""
     each = found.select(
         F.explode(F.array_distinct(F.transform(F.concat("base", "more"), lambda x: F.xxhash64(x["value"])))).alias("secret"),
-        "source")
-    return (
-        each.groupBy("secret", "source").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("secret").agg(F.sum("n").alias("n_docs"), F.count(F.lit(1)).alias("n_owners"))
-    )
+        "source", "doc_id", "text_hash")
+    return each.groupBy("secret").agg(  # structs, so that nulls count
+        F.count_distinct(F.struct("doc_id", "text_hash")).alias("n_docs"), F.count_distinct(F.struct("source")).alias("n_owners"))
 
 
-def scanned(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """doc_id, base spans, all spans and the classes of base secrets, one row per row of ``docs``."""
+def scanned(docs: DataFrame, max_owners: int = MAX_OWNERS, max_docs: int | None = MAX_DOCS) -> DataFrame:
+    """doc_id, base spans, all spans and the classes of base secrets, one row per row of ``docs``. Documents are
+    no matter if ``max_docs`` is None."""
     found = stored(found_in(docs), "secrets")
     freq = ownership(found)
     owned = F.col("n_owners") <= max_owners
+    if max_docs is not None:
+        owned &= F.col("n_docs") <= max_docs
     key = ["doc_id", "text_hash"]
     each = (
         found.filter(F.size("base") + F.size("more") > 0)
@@ -137,7 +141,7 @@ def joined(found: Column) -> Column:
 
 def digest(docs: DataFrame) -> DataFrame:
     n = lambda i: F.size(F.filter("base", lambda x: x["kind"] == i)).cast("long")
-    return scanned(docs).select(
+    return scanned(docs, max_docs=None).select(
         "doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
         F.sha2(joined(F.array_sort("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 

@@ -234,6 +234,19 @@ def test_ownership(spark):
     assert got[10] == f"owned:3:{3 + len(own)}" and got[11] == f"owned:0:{len(own)}" and got[0] == ""
 
 
+def test_copies_within_an_owner(spark):
+    """A token in many documents of one source is widely copied; rows that repeat a document are one."""
+    own, copied = "ghp_Abc123Def456Ghi789Jkl", "EXAMPLE_key_1234567890_zZ"
+    rows = [(i, f"use {copied} here", "en", "src1") for i in range(secret_scan.MAX_DOCS + 1)]
+    rows += [(10, f"my {own}!", "en", s) for s in ("src1", "src1", "src2") for _ in range(secret_scan.MAX_DOCS)]
+    rows += [(11, f"token={copied}", "en", "src1"), (12, f"token={own}", "en", None)]
+    got = {r["doc_id"]: r for r in secret_scan.scanned(table(spark, [r for r in rows if r[0] != 12])).collect()}
+    names = lambda i: [x["name"] for x in got[i]["spans"]]
+    assert names(0) == [] and names(10) == ["owned"] and names(11) == ["assign"] and got[11]["n_live"] == 0
+    got = {r["doc_id"]: r for r in secret_scan.scanned(table(spark, rows)).collect()}
+    assert names(10) == [] and names(12) == ["assign"]  # a null source is a third owner
+
+
 # --- mixing
 
 
