@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": lambda spark, d: quality_rules.digest(table(spark, d, "documents")),
         "op4_toxicity": lambda spark, d: toxicity.digest(table(spark, d, "documents"), table(spark, d, "labels")),
         "op5_secret_scans": lambda spark, d: secret_scan.digest(table(spark, d, "documents")),
+        "op5_secret_classes": lambda spark, d: secret_scan.classes(table(spark, d, "documents")),
         "op6_source_mix": lambda spark, d: source_mix.digest(table(spark, d, "documents")),
         "op7_language_id": lambda spark, d: language_id.digest(table(spark, d, "documents")),
         "op8_token_counts": lambda spark, d: token_counts.digest(table(spark, d, "documents"), path, pattern),
@@ -39,6 +40,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_top_k": top_k.ORACLE_SQL,
         "op3_quality_rules": quality_rules.ORACLE_SQL,
         "op5_secret_scans": secret_scan.ORACLE_SQL,
+        "op5_secret_classes": secret_scan.CLASSES_SQL,
         "op6_source_mix": source_mix.ORACLE_SQL,
         "op9_line_dedup": line_dedup.ORACLE_SQL,
     }

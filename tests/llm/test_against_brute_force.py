@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -247,6 +248,21 @@ def test_copies_within_an_owner(spark):
     assert names(10) == [] and names(12) == ["assign"]  # a null source is a third owner
 
 
+def test_secret_classes(spark):
+    """Base secrets come with their class, tokens of one case are candidates, and the SQL says the same."""
+    lower, upper, copied = "zq7xk2mv9tw4jr6yp3nh", "9F3A77C0D1E2B4A5968712AB", "0123456789abcdef01234567"
+    rows = [(i, f"{'é' * i} {copied}", "en", "src1") for i in range(9)] + [(20, f"a {lower} b", "en", "src1"), (21, f"({upper})", "en", None)]
+    rows += [(22, "password=hunter2xyz " + copied, "en", "src2"), (22, "password=hunter2xyz " + copied, "en", "src2"), (23, "b" * 30), (24, None)]
+    got = sorted(map(tuple, secret_scan.classes(table(spark, rows)).collect()))
+    by = {r[0]: r[1:] for r in got}
+    assert by[0] == (0, 1, "hex:1:25:copied") and by[20] == (0, 0, "owned:2:22:live") and by[21] == (0, 0, "owned:1:25:live")
+    assert by[22] == (1, 1, "assign:0:19:live,hex:20:44:copied") and by[23] == (1, 0, "hex:0:30:live") and by[24] == (0, 0, "")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(r[0], r[1], r[3] if len(r) > 3 else "src0") for r in rows])
+    assert got == sorted(con.execute(secret_scan.CLASSES_SQL).fetchall())
+
+
 # --- mixing
 
 
