@@ -32,12 +32,18 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates. Documents without doc_id stay."""
+    """The document with the smallest doc_id of each group of near duplicates. Documents without doc_id stay.
+    Where a doc_id repeats, its rows are told apart by the class of their text: each stands for its own group, and of
+    several rows of a group with its smallest doc_id the one of the smallest class, then of the first JSON text stays."""
     configure(spark)
-    found = ngram_join.joined(docs)
-    stay = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    known = docs.filter(F.col("doc_id").isNotNull()).join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.filter(F.col("doc_id").isNull())).select(docs.columns)
+    found = stored(ngram_join.grouped(docs), "groups").filter(F.col("doc_id").isNotNull())
+    stay = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id", "root").agg(F.min("c").alias("c"))
+    again = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    once = docs.join(stay.join(again, "doc_id", "left_anti"), "doc_id", "left_semi")
+    several = ngram_join.with_class(docs.join(again, "doc_id", "left_semi").select(docs.columns)).join(stay, ["doc_id", "c"], "left_semi")
+    order = F.to_json("row", {"ignoreNullFields": "false"})
+    one = several.groupBy("doc_id", "c").agg(F.min_by("row", order).alias("row")).select("row.*")
+    return once.unionByName(one).unionByName(docs.filter(F.col("doc_id").isNull())).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

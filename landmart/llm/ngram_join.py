@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from landmart.llm.common import documents, stored
 
@@ -274,8 +275,21 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
 
 
-def joined(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+def with_class(docs: DataFrame) -> DataFrame:
+    """doc_id, c and ``row``, the whole row of ``docs``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = [class_of(shingles(x.as_py())) for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(c, pa.int64()), batch.column("row")], ["doc_id", "c", "row"])
+
+    rows = documents(docs, F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("row"))
+    return rows.mapInArrow(run, StructType([StructField("doc_id", LongType()), StructField("c", LongType()), rows.schema["row"]]))
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, class and component of every document. Components of different texts
+    have the same component_id where doc_ids repeat; ``root`` tells them apart. It is null without shingles."""
     spark = docs.sparkSession
     all_rows = stored(classes(docs), "classes")
     every = all_rows.filter("n_shingles >= 0")
@@ -339,9 +353,14 @@ def joined(docs: DataFrame) -> DataFrame:
 
     whole = reps.join(part.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     lowest = whole.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    whole = whole.join(lowest, "root").select("c", "component_id")
+    whole = whole.join(lowest, "root").select("c", "root", "component_id")
     return every.join(whole, "c", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "c", "root")
+
+
+def joined(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    return grouped(docs).select("doc_id", "n_shingles", "component_id")
 
 
 ORACLE_SQL = """

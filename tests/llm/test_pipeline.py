@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import defaultdict
 
@@ -87,6 +88,19 @@ def test_odd_documents_pass(spark, tmp_path):
         assert bool(got) == bool(rows)
 
 
+def test_repeated_ids_keep_their_own_groups(spark):
+    """Rows of one doc_id with other texts are groups of their own, and a duplicate never stays for another row."""
+    from tests.llm.samples import edge_rows, prose, table
+
+    kept = lambda rows: sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(
+        spark, table(spark, rows, ["c", "row", "extra col"]).repartition(3), SMALL).collect()), key=repr)
+    odd = edge_rows()
+    want = {(r[0], r[1]) for r in odd if r[0] is not None and r[0] != 7}
+    assert kept(odd) == sorted([*want, *((r[0], r[1]) for r in odd if r[0] is None)], key=repr)
+    one, two = (prose(random.Random(k), 50) for k in (1, 2))
+    assert kept([(1, one), *[(2, one)] * 5, (2, two), (3, two), (2, None), (2, "")]) == sorted([(1, one), (2, two), (2, "")], key=repr)
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 
