@@ -44,15 +44,15 @@ def configure(spark: SparkSession) -> SparkSession:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: a cut of the lineage that outlives
-    executors. The shuffles that made it are not needed any more and go at once."""
+    executors. The shuffles that made it are not needed any more and go at once. ``options`` are the writer's."""
     spark = df.sparkSession
     path = scratch(spark, name)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from landmart.llm import byte_bpe, language_id, line_dedup, ngram_join, quality_rules, secret_scan, source_mix, token_counts, top_k, toxicity
+from landmart.llm import byte_bpe, language_id, line_dedup, ngram_join, quality_rules, secret_scan, source_mix, token_counts, top_k, toxicity, word_bpe
 from landmart.llm.common import configure, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -26,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": lambda spark, d: token_counts.digest(table(spark, d, "documents"), path, pattern),
         "op9_line_dedup": lambda spark, d: line_dedup.digest(table(spark, d, "documents")),
         "op10_byte_bpe": lambda spark, d: byte_bpe.digest(table(spark, d, "documents"), path, pattern),
+        "op11_word_bpe": lambda spark, d: word_bpe.digest(table(spark, d, "documents"), public_tokenizers.path(WORD_VOCABULARY)),
     }
 
     def configured(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
