@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from landmart.llm import byte_bpe, divergence, language_id, line_dedup, ngram_join, quality_rules, secret_scan, source_mix, token_counts, top_k, toxicity, word_bpe
+from landmart.llm import byte_bpe, divergence, language_id, line_dedup, ngram_join, prefix_trie, quality_rules, secret_scan, source_mix, token_counts, top_k, toxicity, word_bpe
 from landmart.llm.common import configure, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -28,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_dedup": lambda spark, d: line_dedup.digest(table(spark, d, "documents")),
         "op10_byte_bpe": lambda spark, d: byte_bpe.digest(table(spark, d, "documents"), path, pattern),
         "op11_word_bpe": lambda spark, d: word_bpe.digest(table(spark, d, "documents"), public_tokenizers.path(WORD_VOCABULARY)),
+        "op12_prefix_trie": lambda spark, d: prefix_trie.prefixes(table(spark, d, "conversations")),
         "op13_divergence": lambda spark, d: divergence.audit(table(spark, d, "documents")),
     }
 
@@ -46,5 +47,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_secret_classes": secret_scan.CLASSES_SQL,
         "op6_source_mix": source_mix.ORACLE_SQL,
         "op9_line_dedup": line_dedup.ORACLE_SQL,
+        "op12_prefix_trie": prefix_trie.ORACLE_SQL,
         "op13_divergence": divergence.ORACLE_SQL,
     }

@@ -1,0 +1,83 @@
+"""Source divergence against plain Python."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from landmart.llm import divergence
+from tests.llm.samples import CLASH, edge_rows, prose, table
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, min_docs=10):
+    """(doc_id, text, lang, source) rows."""
+    df, counts, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for _, text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        words = TERM.findall((text or "").translate(LOWER))
+        groups.add((lang, source))
+        counts[lang, source].update(words)
+        df[lang].update(set(words))
+    out = []
+    for lang in {x for x, _ in groups}:
+        kept = [t for t, n in df[lang].items() if n >= min_docs]
+        mine = sorted(s for x, s in groups if x == lang)
+        v = len(kept)
+
+        def shares(of):
+            total = sum(of[t] for t in kept)
+            return {t: 1 + 1_000_000_000 * (of[t] + 2) // (total + 2 * v) for t in kept}
+
+        p = {s: shares(counts[lang, s]) for s in mine}
+        q = shares(sum((counts[lang, s] for s in mine), Counter()))
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in mine:
+            pairs = [(-sum(f(p[s][t], p[o][t]) for t in kept), o.encode()) for o in mine if o != s]
+            terms = [(-f(p[s][t], q[t]), t.encode()) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:10])):
+                out += [(lang, s, part, item.decode(), -x, k) for k, (x, item) in enumerate(found, 1)]
+    return sorted(out)
+
+
+def got(df, **more):
+    return sorted(tuple(r) for r in divergence.audit(df, **more).collect())
+
+
+def full(rows):
+    return [(*r, *["en", "src0"][len(r) - 2:]) for r in rows]
+
+
+@pytest.mark.parametrize("blocks", [(8, 16384), (2, 5), (1, 1)])
+def test_against_plain_python(spark, monkeypatch, blocks):
+    monkeypatch.setattr(divergence, "GROUP_BLOCK", blocks[0])
+    monkeypatch.setattr(divergence, "TERM_BLOCK", blocks[1])
+    monkeypatch.setattr(divergence, "HELD", 50)
+    rng = random.Random(3)
+    rows = [
+        (i, prose(rng, rng.randrange(30)) + rng.choice([" É été Ünï", " X-y_z9", ""]), rng.choice(["en", "en", "en", "fr", None]),
+         rng.choice(["src0"] * 6 + [f"s{k}" for k in range(9)] + [None, ""])) for i in range(500)]
+    rows += [(1000, None, "en", "empty"), (1001, "123 456", "de", "a"), (1002, "", "de", "b"), (1003, "alone", "xx", "y")]
+    assert got(table(spark, rows).repartition(4)) == brute(rows)
+
+
+def test_odd_rows(spark):
+    rows = full(edge_rows())
+    docs = table(spark, edge_rows())
+    for least in (1, 2, 10):
+        assert got(docs, min_docs=least) == brute(rows, least)
+    clashing = [x for x in CLASH if x not in ("text", "lang", "source")] + ["p", "q", "block", "terms", "least", "docs"]
+    assert got(table(spark, edge_rows(), clashing), min_docs=1) == brute(rows, 1)
+    assert got(table(spark, [])) == []
+    assert got(table(spark, [(None, None, None, None)] * 3)) == []
+    assert got(table(spark, [(1, "a b", None, "x"), (2, None, "", "y")])) == [("", "x", "pair", "y", 0, 1), ("", "y", "pair", "x", 0, 1)]
+
+
+def test_large_counts_are_exact(spark):
+    """Shares of counts beyond what a long can hold times the scale."""
+    df = spark.createDataFrame([(9_300_000_000, 9_300_000_001, 3)], "n long, total long, terms long")
+    value = df.select(divergence.share(df.n, df.total, df.terms).alias("p")).first()["p"]
+    assert value == 1 + 1_000_000_000 * 9_300_000_002 // 9_300_000_007
