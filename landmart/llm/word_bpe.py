@@ -6,8 +6,9 @@ A text is normalised (NFC, lower case) and cut into words by the vocabulary's pa
    ends at ``CHUNK_WORDS`` distinct words or ``CHUNK_LENGTH`` words in all.
 2. The dictionaries' words make the table of distinct words. Each is encoded once, by its merges, and decoded
    through a join of its ids with the pieces of the vocabulary (``decoded``).
-3. Dictionaries are joined with that table by word, and what they find goes back to the chunk in packs.
-4. Chunk and packs meet, and ids are put together by the positions of the words. Since decoding joins pieces by blanks,
+3. Dictionaries are joined with that table by word, and what they find goes back to the chunk in packs, compressed in
+   the order of the words.
+4. Chunks, which lie in buckets and so stay where they are, and packs meet, and ids are put together by the positions of the words. Since decoding joins pieces by blanks,
    a text decodes to what its words decode to, joined by blanks.
 
 A word's rows in the join are at most as many as chunks, so no word is hot. Memory is bounded by a chunk and by the
@@ -24,6 +25,7 @@ import hashlib
 import heapq
 import json
 import re
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,9 +39,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landmart.llm.common import documents, stored
+from landmart.llm.common import documents, scratch, stored
 
-CHUNK_WORDS = 250_000
+CHUNK_WORDS = 400_000
 CHUNK_LENGTH = 6_000_000
 #: Rows that a task gathers before it packs them by chunk.
 PACKED = 400_000
@@ -48,6 +50,9 @@ KEPT = 100_000
 ASCII_BLANKS = re.compile("[\t\n\x0b\x0c\r ]+")
 #: Up to here NFC changes nothing, and `regex` and the library agree on letters, numbers and blanks.
 UNUSUAL = re.compile("[^\x00-ɏ]")
+#: Between decoded words. Pieces are printable, so none has it.
+LINE = "\n"
+PACK = pa.schema([("chunk", pa.int64()), *((x, pa.binary()) for x in ("codes", "counts", "ids", "texts"))])
 CHUNK = "chunk long, doc_ids array<long>, sizes array<int>, codes binary, words array<string>"
 
 
@@ -161,9 +166,9 @@ class Codes(dict):
         return n
 
 
-def packed(codes: list[int]) -> bytes:
-    """Codes by byte planes, which compress well."""
-    planes = np.array(codes, "<u4").view(np.uint8).reshape(-1, 4).T
+def packed(numbers: list[int] | np.ndarray) -> bytes:
+    """Numbers by byte planes, which compress well."""
+    planes = np.asarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
     return zstandard.ZstdCompressor().compress(planes.tobytes())
 
 
@@ -172,6 +177,18 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def in_buckets(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``key``, so that grouping by ``key`` doesn't shuffle it. The
+    catalog knows the table only while it is made."""
+    spark = df.sparkSession
+    name, path = f"chunks_{uuid.uuid4().hex}", scratch(spark, "chunks")
+    writer = df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    writer.options(path=path, compression="zstd").saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 def chunks(docs: DataFrame, vocabulary: str) -> DataFrame:
     """One row per chunk of documents."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -235,19 +252,22 @@ def word_table(cut: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def packs(cut: DataFrame, words: DataFrame) -> DataFrame:
-    """(chunk, pack): the words' ids and texts under their numbers in the chunk, as compressed Arrow streams."""
+    """Ids and texts of words with their numbers in the chunk. Rows come in the order of words, by which they compress."""
 
     def by_chunk(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(rows).combine_chunks().sort_by([("chunk", "ascending"), ("code", "ascending")])
+        table = pa.Table.from_batches(rows).combine_chunks()
         chunk = table["chunk"].to_numpy()
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(chunk)) + 1, [len(chunk)]])
-        body, out = table.drop_columns(["chunk"]), []
-        for a, z in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, body.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-                stream.write_table(body.slice(a, z - a))
-            out.append(sink.getvalue().to_pybytes())
-        return pa.RecordBatch.from_arrays([pa.array(chunk[edges[:-1]], pa.int64()), pa.array(out, pa.binary())], ["chunk", "pack"])
+        order = np.argsort(chunk, kind="stable")
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(chunk[order])) + 1, [len(chunk)]]).tolist()
+        out = {x: [] for x in ("chunk", "codes", "counts", "ids", "texts")}
+        for a, z in zip(edges, edges[1:]):
+            own = table.take(order[a:z]).combine_chunks()
+            out["chunk"].append(chunk[order[a]])
+            out["codes"].append(packed(own["code"].to_numpy()))
+            out["counts"].append(packed(pc.list_value_length(own["ids"]).to_numpy()))
+            out["ids"].append(packed(pc.list_flatten(own["ids"]).to_numpy()))
+            out["texts"].append(zstandard.ZstdCompressor().compress(LINE.join(own["decoded"].to_pylist()).encode()))
+        return pa.RecordBatch.from_pydict(out, schema=PACK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -264,25 +284,26 @@ def packs(cut: DataFrame, words: DataFrame) -> DataFrame:
 
     each = cut.select("chunk", F.posexplode("words").alias("code", "word"))
     found = each.join(words, "word").select("chunk", "code", "ids", "decoded")
-    return found.mapInArrow(run, "chunk long, pack binary")
+    return found.mapInArrow(run, "chunk long, codes binary, counts binary, ids binary, texts binary")
 
 
 def assembled(docs: DataFrame, path: str, result, schema: str) -> DataFrame:
     """``result(doc_ids, codes, ends, ids, texts)`` of every chunk: its documents, their words' codes in a row with the
     ends of each document's, and ids and decoded text by code."""
     vocabulary = read_vocabulary(path)
-    cut = stored(chunks(docs, vocabulary), "chunks", compression="zstd")
+    cut = in_buckets(chunks(docs, vocabulary), "chunk")
     words = stored(word_table(cut, vocabulary), "words", compression="zstd")
     packed_words = stored(packs(cut, words), "packs")
 
     def meet(chunk: pa.Table, found: pa.Table) -> pa.Table:
-        row = chunk.slice(0, 1)
-        parts = [pa.ipc.open_stream(x.as_buffer()).read_all() for x in found["pack"]]
-        table = pa.concat_tables(parts).sort_by("code") if parts else None
-        ids = table["ids"].combine_chunks() if parts else pa.array([], pa.list_(pa.int32()))
-        texts = table["decoded"].to_pylist() if parts else []
-        ends = np.cumsum(np.array(row["sizes"][0].as_py(), np.int64))
-        return result(row["doc_ids"][0].values, unpacked(row["codes"][0].as_py()), ends, ids, texts)
+        row = {x: chunk[x][0] for x in ("doc_ids", "sizes", "codes")}
+        numbers = {x: np.concatenate([unpacked(v.as_py()) for v in found[x]] or [np.empty(0, "<u4")]) for x in ("codes", "counts", "ids")}
+        texts = [t for v in found["texts"] for t in zstandard.ZstdDecompressor().decompress(v.as_py()).decode().split(LINE)]
+        order = np.argsort(numbers["codes"])  # each number from 0 on is there once
+        offsets = np.concatenate([[0], np.cumsum(numbers["counts"])]).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(numbers["ids"].astype(np.int32))).take(pa.array(order))
+        ends = np.cumsum(np.array(row["sizes"].as_py(), np.int64))
+        return result(row["doc_ids"].values, unpacked(row["codes"].as_py()), ends, ids, [texts[i] for i in order.tolist()])
 
     left = cut.select("chunk", "doc_ids", "sizes", "codes").groupBy("chunk")
     return left.cogroup(packed_words.groupBy("chunk")).applyInArrow(meet, schema)
