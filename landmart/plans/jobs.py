@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -12,7 +13,10 @@ from landmart.constants import OWNER_FILE, PARCEL_FILE
 from landmart.operators.areas import parcel_area
 from landmart.operators.snapshots import parse_snapshot_date, pending_snapshots, select_snapshots
 from landmart.plans import marts
-from landmart.plans.tables import create_tables, empty_snapshot, loaded_snapshots, replace_marts, write_snapshots
+from landmart.plans.tables import (
+    SOURCES, Changes, as_written, clear_unused, commit, create_tables, loaded_snapshots, new_version, read_version,
+    versions, write_snapshots, write_version,
+)
 from landmart.session import configure
 from landmart.sources import shapefile
 from landmart.sources.landing import landed_files, snapshot_of
@@ -52,6 +56,7 @@ def load_owners(
     configure(spark)
     paths = _pick(spark, landed, requested, OWNER_FILE, "raw.owners", overwrite)
     if paths:
+        clear_unused(spark)
         staged = read_owner_files(spark, sorted(paths.values()))
         rows = raw_owner_rows(staged).withColumn("created_at", F.current_timestamp())
         # the grouping of duplicates has spread every snapshot over all tasks
@@ -92,14 +97,17 @@ def load_features(
 
 
 def _write_parcels(spark: SparkSession, features: DataFrame, snapshots: list[str], mixed: bool) -> int:
-    """Replace the snapshots' parcels and, after that, their areas; returns the features without geometry."""
+    """Replace the snapshots' parcels together with their areas; returns the features without geometry."""
     count = Observation()
-    # areas that are about to be out of date go first: what is missing is made up below and by `rebuild`
-    stale = {row.file_index for row in loaded_snapshots(spark, "raw.parcel_areas").collect()}
-    for snapshot in sorted(stale.intersection(snapshots)):
-        empty_snapshot(spark, "raw.parcel_areas", snapshot)
-    write_snapshots(raw_parcel_rows(features, count), "raw.parcels", snapshots, mixed)
-    add_missing_areas(spark)
+    clear_unused(spark)
+    version = new_version()
+    changes: Changes = {}
+    changes["raw.parcels"] = dict.fromkeys(snapshots) | dict.fromkeys(
+        write_version(raw_parcel_rows(features, count), "raw.parcels", version, mixed), version)
+    areas = parcel_area(read_version(spark, "raw.parcels", version))
+    changes["raw.parcel_areas"] = dict.fromkeys(snapshots) | dict.fromkeys(
+        write_version(areas, "raw.parcel_areas", version, mixed=True), version)
+    commit(spark, changes)
     return count.get["records_skipped"]
 
 
@@ -112,15 +120,75 @@ def add_missing_areas(spark: SparkSession) -> None:
         write_snapshots(parcel_area(parcels), "raw.parcel_areas", chosen, mixed=True)
 
 
-def rebuild(spark: SparkSession) -> None:
-    """Recompute both marts from all raw snapshots. Parcel areas are those summed at load."""
+@dataclass(frozen=True)
+class Mart:
+    """How a mart's days are computed, and which columns of a key's last row the next day's change goes by."""
+
+    build: Callable[..., DataFrame]
+    last: str
+    key: str
+    count: str
+
+
+MARTS = {
+    "marts.owner_daily_summary": Mart(marts.owner_days, "marts.owner_last", "owner_name", "total_real_property_owned"),
+    "marts.land_type_daily_summary": Mart(marts.land_type_days, "marts.land_type_last", "account_type", "total_parcels"),
+}
+
+
+def _last_rows(rows: DataFrame, mart: Mart) -> DataFrame:
+    """The last row of each key."""
+    one = F.struct("report_date", mart.count, "exact_m2")
+    return rows.groupBy(mart.key).agg(F.max_by(one, "report_date").alias("row")).select(mart.key, "row.*")
+
+
+def rows_before(spark: SparkSession, name: str, first: str) -> DataFrame | None:
+    """The last row of each key before a snapshot: those noted by the last build or, where an older day is replaced, from
+    the mart's earlier days. None if there are none."""
+    mart = MARTS[name]
+    noted = versions(spark).get(mart.last)
+    if not noted:
+        return None
+    if max(noted) < first:
+        return spark.table(mart.last).drop("part")
+    earlier = as_written(spark, name).filter(F.col("report_date") < F.to_date(F.lit(first), "yyyyMMdd"))
+    return _last_rows(earlier.select(mart.key, "report_date", mart.count, "exact_m2"), mart)
+
+
+def days_from(spark: SparkSession, name: str, first: str, before: DataFrame | None) -> DataFrame:
+    """A mart's rows from a snapshot on, from the raw snapshots from there on and the last rows before."""
+    owners, parcels, areas = (
+        spark.table(f"raw.{x}").filter(F.col("file_index") >= first) for x in ("owners", "parcels", "parcel_areas"))
+    return MARTS[name].build(owners, parcels, areas, before)
+
+
+def rebuild(spark: SparkSession, full: bool = False) -> str | None:
+    """Bring both marts to the raw snapshots, from the first snapshot on that was added, replaced or emptied since the last
+    build (``full``: from the first of all); returns that snapshot. Earlier days are neither read nor written.
+    All days of both marts switch at once."""
     configure(spark)
     add_missing_areas(spark)
-    owners, parcels, areas = (spark.table(f"raw.{name}") for name in ("owners", "parcels", "parcel_areas"))
-    replace_marts(spark, {
-        "marts.owner_daily_summary": marts.owner_daily_summary(owners, parcels, areas),
-        "marts.land_type_daily_summary": marts.land_type_daily_summary(owners, parcels, areas),
-    })
+    used = versions(spark)
+    owners, areas, built = (used.get(x, {}) for x in ("raw.owners", "raw.parcel_areas", SOURCES))
+    now = {x: f"{owners.get(x, '')}/{areas.get(x, '')}" for x in owners.keys() | areas.keys()}
+    changed = sorted(x for x in now.keys() | built.keys() if full or now.get(x) != built.get(x))
+    if not changed:
+        return None
+    clear_unused(spark)
+    first, version = changed[0], new_version()
+    day = date.fromisoformat(f"{first[:4]}-{first[4:6]}-{first[6:]}").isoformat()
+    changes: Changes = {SOURCES: {x: now.get(x) for x in changed}}
+    for name, mart in MARTS.items():
+        before = rows_before(spark, name, first)
+        found = write_version(days_from(spark, name, first, before), name, version, mixed=True)
+        changes[name] = {x: None for x in used.get(name, {}) if x >= day} | dict.fromkeys(found, version)
+        rows = read_version(spark, name, version).select(mart.key, "report_date", mart.count, "exact_m2")
+        last = _last_rows(rows if before is None else rows.unionByName(before), mart)
+        part = max(now, default=first)
+        parts = write_version(last.withColumn("part", F.lit(part)), mart.last, version, mixed=False)
+        changes[mart.last] = dict.fromkeys(used.get(mart.last, {})) | dict.fromkeys(parts, version)
+    commit(spark, changes)
+    return first
 
 
 def run(

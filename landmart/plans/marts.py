@@ -1,7 +1,9 @@
-"""The two reporting marts, fully recomputed from the raw tables."""
+"""The two reporting marts, computed from the raw tables: all days, or the days that follow ``before``."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,14 +12,23 @@ from landmart.functions.attributes import in_types, report_date
 from landmart.functions.measures import acres, area_change, count_change, ratio
 from landmart.operators.areas import area_per_parcel
 from landmart.operators.holdings import holdings, holdings_per_owner, holdings_per_parcel, land_per_type
-from landmart.schemas import LAND_TYPE_DAILY_SUMMARY, OWNER_DAILY_SUMMARY, conform
+from landmart.schemas import EXACT_AREA, LAND_TYPE_DAILY_SUMMARY, OWNER_DAILY_SUMMARY, conform
 
 
-def owner_daily_summary(owners: DataFrame, parcels: DataFrame, areas: DataFrame | None = None) -> DataFrame:
+def owner_daily_summary(
+    owners: DataFrame, parcels: DataFrame, areas: DataFrame | None = None, before: DataFrame | None = None,
+) -> DataFrame:
     """Holdings per owner and day, with the change against the owner's previous snapshot.
 
-    ``areas`` (one row per parcel and snapshot) saves summing the features of ``parcels``.
+    ``areas`` (one row per parcel and snapshot) saves summing the features of ``parcels``. ``before`` has the last
+    row (owner_name, report_date, total_real_property_owned, exact_m2) of each owner before the days of ``owners``.
     """
+    return conform(owner_days(owners, parcels, areas, before), OWNER_DAILY_SUMMARY)
+
+
+def owner_days(owners: DataFrame, parcels: DataFrame, areas: DataFrame | None, before: DataFrame | None) -> DataFrame:
+    """The owner mart's rows with the area as computed."""
+    area = "total_real_property_land_area_owned_m2"
     per_owner = holdings_per_owner(holdings_per_parcel(holdings(owners, area_per_parcel(parcels) if areas is None else areas)))
     # one row per owner and snapshot here, so a window partition holds at most one row per snapshot
     previous = Window.partitionBy("owner_name").orderBy("report_date")
@@ -33,15 +44,33 @@ def owner_daily_summary(owners: DataFrame, parcels: DataFrame, areas: DataFrame
         acres(F.col("residential_m2")).alias("total_residential_land_area_owned_acres"),
         F.col("real_mean_stake").alias("avg_real_property_investment_stake"),
         F.col("building_mean_stake").alias("avg_building_property_investment_stake"),
-    ).withColumns({
+    )
+    return _after(before, summary, area, lambda days: days.withColumns({
         "real_property_gain_loss": count_change(F.col("total_real_property_owned"), previous),
-        "pct_land_area_gain_loss": area_change(F.col("total_real_property_land_area_owned_m2"), previous),
-    })
-    return conform(summary, OWNER_DAILY_SUMMARY)
+        "pct_land_area_gain_loss": area_change(F.col(area), previous),
+    }))
+
+
+def _after(before: DataFrame | None, days: DataFrame, area: str, changes: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``changes`` of the days, for which the rows of ``before`` are the earliest ones."""
+    if before is None:
+        changed = changes(days)
+    else:
+        known = before.withColumnRenamed(EXACT_AREA.name, area).drop("part").withColumn("earlier", F.lit(True))
+        changed = changes(days.unionByName(known, allowMissingColumns=True)).filter("earlier IS NULL").drop("earlier")
+    return changed.withColumn(EXACT_AREA.name, F.col(area).cast("double"))
+
+
+def land_type_daily_summary(
+    owners: DataFrame, parcels: DataFrame, areas: DataFrame | None = None, before: DataFrame | None = None,
+) -> DataFrame:
+    """Land use per account type and day, with share of the day's total and change. ``before`` as for owners, with
+    account_type and total_parcels."""
+    return conform(land_type_days(owners, parcels, areas, before), LAND_TYPE_DAILY_SUMMARY)
 
 
-def land_type_daily_summary(owners: DataFrame, parcels: DataFrame, areas: DataFrame | None = None) -> DataFrame:
-    """Land use per account type and day, with share of the day's total and change."""
+def land_type_days(owners: DataFrame, parcels: DataFrame, areas: DataFrame | None, before: DataFrame | None) -> DataFrame:
+    """The land type mart's rows with the area as computed."""
     per_type = land_per_type(owners, area_per_parcel(parcels) if areas is None else areas)
     day = Window.partitionBy("report_date")
     previous = Window.partitionBy("account_type").orderBy("report_date")
@@ -55,9 +84,9 @@ def land_type_daily_summary(owners: DataFrame, parcels: DataFrame, areas: DataFr
         F.col("owners").alias("total_owners"),
         F.col("area_m2").alias("land_area_m2"),
         acres(F.col("area_m2")).alias("land_area_acres"),
-    ).withColumns({
+    )
+    return _after(before, summary, "land_area_m2", lambda days: days.withColumns({
         "pct_total_land_area": ratio(F.col("land_area_m2"), F.sum("land_area_m2").over(day)),
         "total_parcel_gain_loss": count_change(F.col("total_parcels"), previous),
         "pct_land_area_gain_loss": area_change(F.col("land_area_m2"), previous),
-    })
-    return conform(summary, LAND_TYPE_DAILY_SUMMARY)
+    }))

@@ -1,13 +1,30 @@
-"""Raw and mart tables in the session catalog, below one warehouse folder."""
+"""Raw and mart tables in the session catalog, below one warehouse folder, in versions.
+
+A table's rows lie in ``<table>_versions``, a table partitioned by version and key (a snapshot or a day). A load or
+build writes its rows to a version of its own, which nobody reads yet. Which version of each key is in use stands in one
+view, ``raw.versions_in_use``; ``raw.owners`` and the others are views that join it. So:
+
+1. rows are written below fresh folders, for all tables that change together;
+2. one line file in the warehouse's log makes the change final;
+3. one statement replaces the view, which switches all tables and keys at once;
+4. partitions that are not in use any more leave the catalog; the next write deletes their files.
+
+A failure before 2 leaves everything as it was, one after 2 is made good by the next run. No data is ever renamed,
+and readers of the version before are not disturbed until the write after the next one. One job writes at a time.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import json
+import uuid
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landmart.schemas import (
-    LAND_TYPE_DAILY_SUMMARY, OWNER_DAILY_SUMMARY, PARCEL_AREAS, RAW_OWNERS, RAW_PARCELS, conform,
+    EXACT_AREA, LAND_TYPE_DAILY_SUMMARY, LAND_TYPE_LAST, OWNER_DAILY_SUMMARY, OWNER_LAST, PARCEL_AREAS, RAW_OWNERS, RAW_PARCELS, conform,
 )
 from landmart.sources.landing import qualified
 
@@ -16,123 +33,217 @@ MART_TABLES = {
     "marts.owner_daily_summary": OWNER_DAILY_SUMMARY,
     "marts.land_type_daily_summary": LAND_TYPE_DAILY_SUMMARY,
 }
-# a mart is written beside the one in use, then the table is pointed at it
-SLOTS = ("build=a", "build=b")
+#: The last row of each owner and type, from which a build goes on.
+STATE_TABLES = {"marts.owner_last": OWNER_LAST, "marts.land_type_last": LAND_TYPE_LAST}
+#: What is read by the tables' names; the marts' files have one column more.
+TABLES = RAW_TABLES | MART_TABLES | STATE_TABLES
+WRITTEN = TABLES | {name: T.StructType([*layout.fields, EXACT_AREA]) for name, layout in MART_TABLES.items()}
+KEYS = dict.fromkeys(RAW_TABLES, "file_index") | dict.fromkeys(MART_TABLES, "report_date") | dict.fromkeys(STATE_TABLES, "part")
+IN_USE = "raw.versions_in_use"
+#: Which versions of the raw tables a mart's days were built from, by snapshot.
+SOURCES = "marts.sources"
+LOG = "commit long, name string, part string, version string"
 
+#: By table: the version of each key, None for keys that go.
+Changes = dict[str, dict[str, str | None]]
 
-def _columns(layout: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in layout.fields)
 
+def _columns(fields: Iterable[T.StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
-def create_tables(spark: SparkSession, warehouse: str) -> None:
-    """Create what is missing. Raw snapshots and the latest marts already in the folder are picked up.
 
-    A catalog whose tables lie in another warehouse raises.
-    """
+def create_tables(spark: SparkSession, warehouse: str) -> None:
+    """Create what is missing, and bring the catalog to what the warehouse's log says: a new catalog, or one left behind by
+    a run that broke off. A catalog whose tables lie in another warehouse raises."""
     warehouse = qualified(spark, warehouse)
     for database in ("raw", "marts"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{warehouse}/{database}'")
-    for name in (*RAW_TABLES, *MART_TABLES):
-        folder = f"{warehouse}/{name.replace('.', '/')}"
-        if spark.catalog.tableExists(name):
+    new = []
+    for name, layout in WRITTEN.items():
+        folder, key = f"{warehouse}/{name.replace('.', '/')}", KEYS[name]
+        if spark.catalog.tableExists(f"{name}_versions"):
             found = qualified(spark, location(spark, name))
-            if found != folder and not found.startswith(folder + "/"):
+            if found != folder:
                 raise ValueError(f"{name} of this catalog lies at {found}, not in {warehouse}")
-        elif name in RAW_TABLES:
-            _create_raw(spark, name, folder)
         else:
+            fields = [f for f in layout.fields if f.name != key]
+            kind = next(f.dataType.simpleString() for f in layout.fields if f.name == key)
             spark.sql(
-                f"CREATE TABLE {name} ({_columns(MART_TABLES[name])}) USING parquet "
-                f"LOCATION '{folder}/{_current_slot(spark, warehouse)}'"
-            )
+                f"CREATE TABLE {name}_versions ({_columns(fields)}, `version` string, `{key}` {kind}) "
+                f"USING parquet PARTITIONED BY (version, `{key}`) LOCATION '{folder}'")
+            new.append(name)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{warehouse}/log")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    used = in_use(_log(spark, warehouse))
+    shown = {tuple(r) for r in spark.table(IN_USE).collect()} if spark.catalog.tableExists(IN_USE) else None
+    if shown != {(name, part, version) for name, parts in used.items() for part, version in parts.items()}:
+        for name in TABLES:
+            _add_partitions(spark, name, used.get(name, {}))
+        _show(spark, used)
+    for name in new:
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {_used_rows(name, TABLES[name])}")
 
 
-def _create_raw(spark: SparkSession, name: str, folder: str) -> None:
-    layout = RAW_TABLES[name]
-    # appending nothing makes sure that the folder is there
-    nothing = spark.createDataFrame([], layout)
-    nothing.write.mode("append").partitionBy("file_index").parquet(folder)
-    spark.sql(
-        f"CREATE TABLE {name} ({_columns(layout)}) USING parquet PARTITIONED BY (file_index) LOCATION '{folder}'"
-    )
-    spark.catalog.recoverPartitions(name)
+def drop_tables(spark: SparkSession) -> None:
+    """Forget all tables in the catalog; the warehouse stays as it is."""
+    for name in TABLES:
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}_versions")
+    spark.sql(f"DROP VIEW IF EXISTS {IN_USE}")
+
+
+def _used_rows(name: str, layout: T.StructType) -> str:
+    kind = next(f.dataType.simpleString() for f in layout.fields if f.name == KEYS[name])
+    return (
+        f"SELECT {', '.join(f'r.`{f.name}`' for f in layout.fields)} FROM {name}_versions r LEFT SEMI JOIN {IN_USE} v "
+        f"ON v.name = '{name}' AND r.version = v.version AND r.`{KEYS[name]}` = CAST(v.part AS {kind})")
+
+
+def as_written(spark: SparkSession, table: str) -> DataFrame:
+    """A table's rows with the columns that its view leaves out."""
+    return spark.sql(_used_rows(table, WRITTEN[table]))
+
+
+def location(spark: SparkSession, table: str) -> str:
+    """The folder of a table's versions."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}_versions").collect()
+    return next(r.data_type for r in described if r.col_name == "Location").rstrip("/")
+
+
+def _warehouse(spark: SparkSession) -> str:
+    return location(spark, "raw.owners").rsplit("/", 2)[0]
+
+
+def _log(spark: SparkSession, warehouse: str) -> list[Row]:
+    """All changes so far, in order: one row per commit, table and key."""
+    return sorted(spark.read.schema(LOG).parquet(f"{warehouse}/log").collect(), key=lambda r: r.commit)
+
+
+def in_use(log: list[Row]) -> dict[str, dict[str, str]]:
+    """The version in use of each table and key."""
+    used: dict[str, dict[str, str]] = {}
+    for row in log:
+        used.setdefault(row.name, {})[row.part] = row.version
+    return {name: {part: version for part, version in parts.items() if version} for name, parts in used.items()}
+
+
+def versions(spark: SparkSession) -> dict[str, dict[str, str]]:
+    """The version in use of each table and key, as the warehouse's log has it."""
+    return in_use(_log(spark, _warehouse(spark)))
 
 
 def loaded_snapshots(spark: SparkSession, table: str) -> DataFrame:
-    """Snapshots of a raw table, from the catalog's partition list alone."""
-    return spark.sql(f"SHOW PARTITIONS {table}").select(
-        F.regexp_extract("partition", "file_index=(.*)$", 1).alias("file_index")
-    )
+    """Snapshots of a raw table, without reading it."""
+    return spark.table(IN_USE).filter(F.col("name") == table).select(F.col("part").alias("file_index"))
 
 
-def write_snapshots(rows: DataFrame, table: str, replaced: list[str], mixed: bool) -> None:
-    """Write the rows' snapshots, each as a whole, in one job, leaving other snapshots alone.
+def new_version() -> str:
+    return uuid.uuid4().hex
+
 
-    Files are staged and take the place of a snapshot's old ones when the whole job has succeeded, so a
-    failing load leaves every snapshot as it was, whatever the session's settings. Of the ``replaced``
-    snapshots those without a row are emptied after that and count as not loaded.
+def write_version(rows: DataFrame, table: str, version: str, mixed: bool) -> list[str]:
+    """Write rows as a version that is not in use yet; returns its keys.
 
-    ``mixed`` says that tasks hold rows of many snapshots. These are first brought together by
-    snapshot in pieces of even size, so that a snapshot gets few files and a large one many tasks.
+    ``mixed`` says that tasks hold rows of many keys. These are first brought together by key in pieces of even
+    size, so that a key gets few files and a large one many tasks.
     """
-    spark = rows.sparkSession
-    written = Observation()
-    rows = conform(rows, RAW_TABLES[table]).observe(written, F.collect_set("file_index").alias("snapshots"))
+    spark, key = rows.sparkSession, KEYS[table]
+    rows = conform(rows, WRITTEN[table])
     if mixed:
-        rows = rows.hint("rebalance", "file_index")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_index").parquet(
-        location(spark, table)
-    )
-    found = sorted(written.get["snapshots"])  # one id per snapshot
-    if found:
-        partitions = " ".join(f"PARTITION (file_index = '{x}')" for x in found)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
-    for snapshot in sorted(set(replaced) - set(found)):
-        empty_snapshot(spark, table, snapshot)
-    spark.catalog.refreshTable(table)
+        rows = rows.hint("rebalance", key)
+    folder = f"{location(spark, table)}/version={version}"
+    rows.write.partitionBy(key).parquet(folder)
+    return sorted(_value(spark, path) for path in _listed(spark, f"{folder}/{key}=*"))
 
 
-def empty_snapshot(spark: SparkSession, table: str, file_index: str) -> None:
-    """Remove a snapshot's rows and its partition."""
-    partition = f"PARTITION (file_index = '{file_index}')"
-    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in RAW_TABLES[table].fields[:-1])
-    spark.sql(f"INSERT OVERWRITE TABLE {table} {partition} SELECT {columns} WHERE false")
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partition}")
+def _listed(spark: SparkSession, pattern: str) -> list:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [x.getPath() for x in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or ()]
 
 
-def location(spark: SparkSession, table: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
-    return described.first()["data_type"].rstrip("/")
+def _value(spark: SparkSession, path) -> str:
+    """The value in a folder's name, as Spark wrote it."""
+    name = path.getName().split("=", 1)[1]
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name)
 
 
-def _builds(spark: SparkSession, warehouse: str) -> DataFrame:
-    """The finished builds of the marts in a warehouse, kept beside them: (build, slot)."""
-    folder = f"{warehouse}/marts/builds"
-    nothing = spark.createDataFrame([], "build long, slot string")
-    nothing.write.mode("append").parquet(folder)
-    return spark.read.schema(nothing.schema).parquet(folder)
+def read_version(spark: SparkSession, table: str, version: str) -> DataFrame:
+    """The rows of one version, also before it is in use."""
+    path = f"{location(spark, table)}/version={version}"
+    return spark.read.schema(WRITTEN[table]).parquet(path)
 
 
-def _current_slot(spark: SparkSession, warehouse: str) -> str:
-    return _builds(spark, warehouse).agg(F.max_by("slot", "build")).first()[0] or SLOTS[0]
+def commit(spark: SparkSession, changes: Changes) -> None:
+    """Put versions in use: all tables and keys at once."""
+    log = _log(spark, warehouse := _warehouse(spark))
+    before = in_use(log)
+    for name, parts in changes.items():
+        _add_partitions(spark, name, {part: version for part, version in parts.items() if version})
+    number = max((row.commit for row in log), default=0) + 1
+    rows = [(number, name, part, version) for name, parts in changes.items() for part, version in parts.items()]
+    if not rows:
+        return
+    _append(spark.createDataFrame(rows, LOG), f"{warehouse}/log")
+    after = {name: dict(parts) for name, parts in before.items()}
+    for name, parts in changes.items():
+        now = after.get(name, {}) | parts
+        after[name] = {part: version for part, version in now.items() if version}
+    _show(spark, after)
+    for name, parts in before.items():
+        gone = {part: version for part, version in parts.items() if after.get(name, {}).get(part) != version}
+        _partitions(spark, name, "DROP IF EXISTS", gone, ", ")
+    for name in changes:
+        if name in TABLES:
+            spark.catalog.refreshTable(f"{name}_versions")
 
 
-def replace_marts(spark: SparkSession, builds: dict[str, DataFrame]) -> None:
-    """Write all marts in full, note the build as finished, then point the tables at it.
+def _append(rows: DataFrame, folder: str) -> None:
+    """One file, which is there as a whole or not at all."""
+    rows.coalesce(1).write.mode("append").parquet(folder)
 
-    A failing build leaves every mart as it was, and readers of the previous build are not
-    disturbed. Only the moment between two catalog updates can show marts of different age. Rows lie in
-    the order of their day, so that a question about one day reads few files.
-    """
-    warehouse = location(spark, next(iter(builds))).rsplit("/", 3)[0]
-    finished = _builds(spark, warehouse)
-    number = (finished.agg(F.max("build")).first()[0] or 0) + 1
-    slot = SLOTS[1 - SLOTS.index(_current_slot(spark, warehouse))]
-    targets = {table: f"{location(spark, table).rsplit('/', 1)[0]}/{slot}" for table in builds}
-    for table, build in builds.items():
-        by_day = conform(build, MART_TABLES[table]).repartitionByRange("report_date").sortWithinPartitions("report_date")
-        by_day.write.mode("overwrite").parquet(targets[table])
-    spark.createDataFrame([(number, slot)], finished.schema).coalesce(1).write.mode("append").parquet(f"{warehouse}/marts/builds")
-    for table, target in targets.items():
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
-        spark.catalog.refreshTable(table)
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _partitions(spark: SparkSession, name: str, verb: str, parts: dict[str, str], between: str) -> None:
+    """One statement for all partitions."""
+    if name in TABLES and parts:
+        listed = between.join(
+            f"PARTITION (version = {_quoted(version)}, `{KEYS[name]}` = {_quoted(part)})" for part, version in sorted(parts.items()))
+        spark.sql(f"ALTER TABLE {name}_versions {verb} {listed}")
+
+
+def _add_partitions(spark: SparkSession, name: str, parts: dict[str, str]) -> None:
+    _partitions(spark, name, "ADD IF NOT EXISTS", parts, " ")
+
+
+def _show(spark: SparkSession, used: dict[str, dict[str, str]]) -> None:
+    """Replace the view of the versions in use."""
+    rows = [{"name": name, "part": part, "version": v} for name, parts in used.items() for part, v in parts.items()]
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {IN_USE} AS SELECT inline(from_json({_quoted(json.dumps(rows))}, "
+        "'array<struct<name:string,part:string,version:string>>'))")
+
+
+def clear_unused(spark: SparkSession) -> None:
+    """Delete the files of versions that are not in use: replaced before the last write, or left by a failed one."""
+    used = versions(spark)
+    for name in TABLES:
+        keep = {(version, part) for part, version in used.get(name, {}).items()}
+        for path in _listed(spark, f"{location(spark, name)}/version=*/{KEYS[name]}=*"):
+            if (_value(spark, path.getParent()), _value(spark, path)) not in keep:
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def write_snapshots(rows: DataFrame, table: str, replaced: list[str], mixed: bool) -> None:
+    """Write the rows' snapshots to one table, each as a whole, leaving other snapshots alone. Of the ``replaced`` ones
+    those without a row are emptied and count as not loaded."""
+    version = new_version()
+    found = write_version(rows, table, version, mixed)
+    commit(rows.sparkSession, {table: dict.fromkeys(replaced) | dict.fromkeys(found, version)})
+
+
+def empty_snapshot(spark: SparkSession, table: str, file_index: str) -> None:
+    """Take a snapshot out of use."""
+    commit(spark, {table: {file_index: None}})

@@ -94,6 +94,25 @@ LAND_TYPE_DAILY_SUMMARY = _layout(
     ("pct_land_area_gain_loss", MEASURE),
 )
 
+#: With the marts' rows: the area as computed, which the next day's change goes by.
+EXACT_AREA = T.StructField("exact_m2", T.DoubleType())
+
+# the last row of every owner or type so far; part is the last snapshot
+OWNER_LAST = _layout(
+    ("report_date", T.DateType()),
+    ("owner_name", T.StringType()),
+    ("total_real_property_owned", T.IntegerType()),
+    ("exact_m2", T.DoubleType()),
+    ("part", T.StringType()),
+)
+LAND_TYPE_LAST = _layout(
+    ("report_date", T.DateType()),
+    ("account_type", T.StringType()),
+    ("total_parcels", T.IntegerType()),
+    ("exact_m2", T.DoubleType()),
+    ("part", T.StringType()),
+)
+
 
 def conform(df: DataFrame, layout: T.StructType) -> DataFrame:
     """Project to the layout's columns, order and types; overflow raises under ANSI."""

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landmart.plans import jobs
-from landmart.plans.tables import MART_TABLES, RAW_TABLES, create_tables, empty_snapshot, write_snapshots
+from landmart.plans.tables import MART_TABLES, create_tables, drop_tables, empty_snapshot, write_snapshots
 from landmart.schemas import OWNER_FILE_COLUMNS
 from landmart.sources import shapefile
 from landmart.sources.parcel_features import features_from_wkt
@@ -41,8 +41,7 @@ def places(spark, tmp_path):
     landing, warehouse = str(tmp_path / "data"), str(tmp_path / "warehouse")
     os.makedirs(landing)
     yield landing, warehouse
-    for name in [*RAW_TABLES, *MART_TABLES]:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drop_tables(spark)
 
 
 def owner(name, parcel="P1", account="R1", pct="1", kind="RESIDENTIAL", **more):
@@ -150,7 +149,7 @@ def test_tables_are_found_again(spark, places):
     landing, warehouse = places
     put_owners(landing, "20210525", owner("ANN"))
     jobs.run(spark, landing, warehouse, "all")
-    spark.sql("DROP TABLE raw.owners")
+    drop_tables(spark)
     assert jobs.run(spark, landing, warehouse, "all").owners_loaded == []
     assert names(spark, "20210525") == ["ANN"]
 
@@ -361,8 +360,7 @@ def test_new_catalog_shows_the_latest_marts(spark, places, rebuilds):
         put_owners(landing, f"2021052{k}", owner("ANN"))
         put_parcels(landing, f"2021052{k}", ((1, "P1", 1, 1), [square(-105, 40)]))
         jobs.run(spark, landing, warehouse, "all", rebuild_marts=True)
-    for name in [*RAW_TABLES, *MART_TABLES]:
-        spark.sql(f"DROP TABLE {name}")
+    drop_tables(spark)
     jobs.run(spark, landing, warehouse, "all")
     for name in MART_TABLES:
         assert spark.table(name).count() == rebuilds
