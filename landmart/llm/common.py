@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,20 +46,35 @@ def configure(spark: SparkSession) -> SparkSession:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffles of what is run within go at once."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: a cut of the lineage that outlives
     executors. The shuffles that made it are not needed any more and go at once. ``options`` are the writer's."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with dropped_shuffles(spark):
         df.write.options(**options).parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(table: DataFrame) -> None:
+    """Deletes the files of a ``stored`` table that no step needs any more."""
+    spark = table.sparkSession
+    for folder in {x.rsplit("/", 1)[0] for x in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def documents(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, text and the columns of ``more``, whatever else ``docs`` has."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)

@@ -39,12 +39,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landmart.llm.common import documents, scratch, stored
+from landmart.llm.common import documents, dropped_shuffles, forget, scratch, stored
 
 CHUNK_WORDS = 400_000
 CHUNK_LENGTH = 6_000_000
 #: Rows that a task gathers before it packs them by chunk.
 PACKED = 400_000
+#: A word's place is its chunk and, in so many bits, its number there.
+CODE_BITS = 30
 #: Unusual words whose cut is remembered, for speed only.
 KEPT = 100_000
 ASCII_BLANKS = re.compile("[\t\n\x0b\x0c\r ]+")
@@ -178,12 +180,13 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def in_buckets(df: DataFrame, key: str) -> DataFrame:
-    """``df`` written to the shared folder in buckets of ``key``, so that grouping by ``key`` doesn't shuffle it. The
+    """``df`` written to the shared folder in buckets of ``key``, so that grouping or joining by ``key`` doesn't shuffle it. The
     catalog knows the table only while it is made."""
     spark = df.sparkSession
-    name, path = f"chunks_{uuid.uuid4().hex}", scratch(spark, "chunks")
-    writer = df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
-    writer.options(path=path, compression="zstd").saveAsTable(name)
+    name, path = f"buckets_{uuid.uuid4().hex}", scratch(spark, "buckets")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with dropped_shuffles(spark):
+        df.write.bucketBy(n, key).sortBy(key).options(path=path, compression="zstd").saveAsTable(name)
     found = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return found
@@ -194,7 +197,7 @@ def chunks(docs: DataFrame, vocabulary: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, number = cutter(shared.value).words, TaskContext.get().partitionId() << 32
+        words, number = cutter(shared.value).words, TaskContext.get().partitionId() << 12
         known, codes, ids, sizes = Codes(), [], [], []
 
         def row() -> pa.RecordBatch:
@@ -232,13 +235,13 @@ def decoded(rows: DataFrame, key: str, vocabulary: str) -> DataFrame:
     spark = rows.sparkSession
     each = rows.select(key, F.posexplode("ids").alias("at", "id"))
     found = each.join(F.broadcast(pieces(spark, vocabulary)), "id")
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "piece"))), lambda x: x["piece"]), " ")
-    return found.groupBy(key).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("at", "id"))), lambda x: x["id"]).alias("ids"), text.alias("decoded"))
+    put = found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("at", "id", "piece"))).alias("put"))
+    return put.select(
+        key, F.transform("put", lambda x: x["id"]).alias("ids"), F.array_join(F.transform("put", lambda x: x["piece"]), " ").alias("decoded"))
 
 
 def word_table(cut: DataFrame, vocabulary: str) -> DataFrame:
-    """(word, ids, decoded) of each distinct word of the chunks."""
+    """(word, ids, decoded) of each distinct word of the chunks, in buckets by word."""
     shared = cut.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +251,10 @@ def word_table(cut: DataFrame, vocabulary: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
 
     distinct = cut.select(F.explode("words").alias("word")).distinct()
-    return decoded(distinct.mapInArrow(run, "word string, ids array<int>"), "word", vocabulary)
+    table = stored(distinct.mapInArrow(run, "word string, ids array<int>"), "distinct", compression="zstd")
+    words = in_buckets(decoded(table, "word", vocabulary), "word")
+    forget(table)
+    return words
 
 
 def packs(cut: DataFrame, words: DataFrame) -> DataFrame:
@@ -256,14 +262,15 @@ def packs(cut: DataFrame, words: DataFrame) -> DataFrame:
 
     def by_chunk(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
-        chunk = table["chunk"].to_numpy()
+        place = table["place"].to_numpy()
+        chunk, code = place >> CODE_BITS, place & ((1 << CODE_BITS) - 1)
         order = np.argsort(chunk, kind="stable")
         edges = np.concatenate([[0], np.flatnonzero(np.diff(chunk[order])) + 1, [len(chunk)]]).tolist()
         out = {x: [] for x in ("chunk", "codes", "counts", "ids", "texts")}
         for a, z in zip(edges, edges[1:]):
             own = table.take(order[a:z]).combine_chunks()
             out["chunk"].append(chunk[order[a]])
-            out["codes"].append(packed(own["code"].to_numpy()))
+            out["codes"].append(packed(code[order[a:z]]))
             out["counts"].append(packed(pc.list_value_length(own["ids"]).to_numpy()))
             out["ids"].append(packed(pc.list_flatten(own["ids"]).to_numpy()))
             out["texts"].append(zstandard.ZstdCompressor().compress(LINE.join(own["decoded"].to_pylist()).encode()))
@@ -283,7 +290,8 @@ def packs(cut: DataFrame, words: DataFrame) -> DataFrame:
             yield by_chunk(held)
 
     each = cut.select("chunk", F.posexplode("words").alias("code", "word"))
-    found = each.join(words, "word").select("chunk", "code", "ids", "decoded")
+    place = F.shiftleft("chunk", CODE_BITS).bitwiseOR(F.col("code").cast("long"))
+    found = each.select(place.alias("place"), "word").join(words, "word").select("place", "ids", "decoded")
     return found.mapInArrow(run, "chunk long, codes binary, counts binary, ids binary, texts binary")
 
 
@@ -292,7 +300,7 @@ def assembled(docs: DataFrame, path: str, result, schema: str) -> DataFrame:
     ends of each document's, and ids and decoded text by code."""
     vocabulary = read_vocabulary(path)
     cut = in_buckets(chunks(docs, vocabulary), "chunk")
-    words = stored(word_table(cut, vocabulary), "words", compression="zstd")
+    words = word_table(cut, vocabulary)
     packed_words = stored(packs(cut, words), "packs")
 
     def meet(chunk: pa.Table, found: pa.Table) -> pa.Table:
