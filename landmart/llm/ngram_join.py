@@ -9,16 +9,15 @@ T = ceil(3 (a + b) / 7).
    one of ``LONG_SHARE`` documents of some chunk). Only T - 1 shingles may be left out of a merge, so each set
    brings its first b - ceil(3b/4) + 1 shingles. Long lists are thus merged only where a set has next to nothing
    else; otherwise they are probed.
-3. The merge: lists meet by shingle. In a few rounds every member is tried against one leader, that of the
-   lists it shares most of; links join classes into components. Leaders are first the members with most of
-   their shingles in lists (what copies were made from), then others.
-4. Lists that still hold two components or more give the rest of the candidates: pairs of different
-   components whose sizes allow T, met in the shortest lists only: as many of a set's longest lists are skipped
-   as a link has in common at least, less one. A list within one component has nothing to add, so a large
-   group of near copies costs a few candidates per member, not one per pair.
-5. What two sets share of their merged shingles, and all that is left out, must reach T. For candidates that
-   pass this the overlap is counted by binary probes of the smaller sorted set into the
-   larger one.
+3. Lists meet by shingle. In a few rounds every member is tried against one leader, that of the lists it shares most
+   of; links join classes into components. Leaders are first the members with most of their shingles in lists (what
+   copies were made from), then others. Copies are thus linked by a few candidates each.
+4. What is in a list with another component yet is searched in shards: members with a common leader lie together, and a
+   shard has the inverted lists of its whole sets. A member visits the shards that it meets in a list, be it in one or
+   in many, where sizes allow a link; as many of its longest lists are skipped as a link has in common at least, less one.
+5. The search (``Index.search``) sets the longest lists aside, merges the short ones counting how often each set
+   occurs, and probes the long ones, by bisection, for the sets that may still reach T (DivideSkip). No pair
+   of sets leaves a shard but links, and no set is sent for a pair.
 
 The order of shingles, and with it ``LONG_SHARE``, changes the cost only; no list, candidate or partner is
 capped. Shingle hashes and class digests have 64 bits.
@@ -37,7 +36,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -50,8 +49,15 @@ LONG_SHARE = 256
 CHUNK = 500_000
 #: Long lists known to all tasks: at most 8 bytes for each of these, the longest ones.
 LONG_KEPT = 200_000
-#: Rounds of candidates that are linear in the members, before what is left is gone through pair by pair.
+#: Rounds of candidates that are linear in the members, before the rest is searched in shards.
 ROUNDS = 2
+#: Shingles of a shard, and of the visitors that are searched in it at a time.
+SHARD = 500_000
+VISITORS = 2_000_000
+#: Sizes are told apart by steps of a natural logarithm's part when shards to visit are sought.
+SIZE_STEPS = 40
+#: What a probe into a long list costs, next to a step of the merge.
+LONG_COST = 0.02
 CLASSES_KEPT = 100_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -246,6 +252,115 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def leaders(member: DataFrame, order: Column) -> DataFrame:
+    """(token, x, a, other): the leader of each list with its size and component."""
+    lead = member.groupBy("token").agg(F.max_by(F.struct("c", "n", "root"), order).alias("lead")).select("token", "lead.*")
+    return stored(lead.select("token", F.col("c").alias("x"), F.col("n").alias("a"), F.col("root").alias("other")), "leaders")
+
+
+def shards_of(member: DataFrame) -> DataFrame:
+    """(c, n, root, shard): members that have most of their lists' leaders in common lie together, in shards of about
+    ``SHARD`` shingles."""
+    lead = leaders(member, F.struct("rank", "c"))
+    home = member.join(lead, "token").groupBy("c", "n", "root", "x").agg(F.count(F.lit(1)).alias("k")).groupBy("c", "n", "root").agg(
+        F.max_by("x", F.struct("k", "x")).alias("x"))
+    home = stored(home, "homes")
+    parts = stored(home.groupBy("x").agg(F.ceil(F.sum("n") / SHARD).alias("parts")), "parts")
+    return home.join(parts, "x").select("c", "n", "root", F.struct("x", F.pmod(F.xxhash64("c"), F.col("parts")).alias("part")).alias("shard"))
+
+
+def visits(member: DataFrame, placed: DataFrame) -> DataFrame:
+    """(c, n, root, shard): the shards that each member has to be searched in, those of other components and of its size or
+    larger that it meets in a list. Both sides skip their longest lists, one less than a link has in common at least."""
+    size = stored(member.groupBy("token").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    longest = Window.partitionBy("c").orderBy(F.desc("size"), "token")
+    rows = stored(
+        member.join(size, "token").withColumn("skip", F.row_number().over(longest)).join(placed.select("c", "shard"), "c")
+        .select("token", "c", "n", "root", "skip", "shard"), "members")
+    alike = F.floor(F.log("n") * SIZE_STEPS)
+    here = stored(rows.groupBy("token", F.col("shard").alias("to"), alike.alias("alike")).agg(
+        F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("skip").alias("most_skip"),
+        F.min("root").alias("low"), F.max("root").alias("high")), "places")
+    a, b = F.col("n"), F.least(F.col("most_n"), F.floor(F.col("n") * 4 / 3))
+    # two linked sets of a <= b shingles share so many and one more among their first parts; fewer the larger b is, give or take one
+    least = F.greatest(F.ceil((a + b) * 3 / 7) - (b - F.floor(b / 4)), F.lit(1))
+    return (
+        rows.join(here, "token")
+        .filter((a <= F.col("most_n")) & (F.col("least_n") * 3 <= a * 4) & ~((F.col("low") == F.col("root")) & (F.col("high") == F.col("root")))
+                & (F.least("skip", "most_skip") >= least))
+        .select("c", "n", "root", F.col("to").alias("shard")).distinct()
+    )
+
+
+class Index:
+    """Inverted lists over the sets of a shard."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        tokens = np.concatenate(sets)
+        order = np.argsort(tokens, kind="stable")
+        self.sizes = np.array([len(x) for x in sets])
+        self.owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.tokens, self.start = np.unique(tokens[order], return_index=True)
+        self.stop = np.append(self.start[1:], len(tokens))
+
+    def search(self, query: np.ndarray) -> np.ndarray:
+        """The sets that link with the query, by T-occurrence: the longest lists are set aside, the short ones are merged and
+        counted, and who may reach the overlap is sought in the long ones by bisection."""
+        at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
+        at = at[self.tokens[at] == query]
+        need = -(-3 * (len(query) + self.sizes) // 7)  # T of each set
+        fits = (4 * self.sizes >= 3 * len(query)) & (3 * self.sizes <= 4 * len(query))
+        if not fits.any() or len(at) < need[fits].min():
+            return np.empty(0, np.int64)
+        length = self.stop[at] - self.start[at]
+        order = np.argsort(length, kind="stable")
+        at, length = at[order], length[order]
+        aside = int(need[fits].min() / (LONG_COST * np.log2(max(length[-1], 2)) + 1))
+        short, long = at[:len(at) - aside], at[len(at) - aside:]
+        n = length[:len(short)]
+        place = np.repeat(self.start[short] - np.concatenate([[0], np.cumsum(n[:-1])]), n) + np.arange(n.sum())
+        count = np.bincount(self.owner[place], minlength=len(self.sizes))
+        maybe = np.flatnonzero(fits & (count >= need - len(long)))
+        found = count[maybe]
+        for k in long:
+            if not len(maybe):
+                break
+            members = self.owner[self.start[k]:self.stop[k]]  # ascending, for the sort is stable
+            found = found + (members[np.minimum(np.searchsorted(members, maybe), len(members) - 1)] == maybe)
+        return maybe[found >= need[maybe]]
+
+
+def searched(docs: DataFrame, reps: DataFrame, member: DataFrame) -> DataFrame:
+    """The links (a, b) between components: every member is a query to the shards it has to visit. Visitors of a shard come
+    in groups of about ``VISITORS`` shingles, each with a copy of the shard."""
+
+    def run(visitors: pa.Table, shard: pa.Table) -> pa.Table:
+        a, b = [], []
+        sets = lambda t: [np.frombuffer(x.as_py(), np.uint64) for x in t["set"]]
+        if len(visitors) and len(shard):
+            index = Index(sets(shard))
+            classes, roots = shard["c"].to_numpy(), shard["root"].to_numpy()
+            for c, root, query in zip(visitors["c"].to_pylist(), visitors["root"].to_pylist(), sets(visitors)):
+                found = index.search(query)
+                found = found[(roots[found] != root) & (index.sizes[found] >= len(query))]
+                a += [c] * len(found)
+                b += classes[found].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    placed = stored(shards_of(member), "shards")
+    going = stored(visits(member, placed), "visits")
+    groups = stored(going.groupBy("shard").agg(F.ceil(F.sum("n") / VISITORS).alias("groups")), "groups")
+    placed = stored(placed.join(groups, "shard", "left_semi"), "homes")
+    wanted = placed.select("c").union(going.select("c")).distinct().join(reps, "c").select("c", "doc_id")
+    sets = stored(sets_of(docs, wanted), "sets")
+    visitors = going.join(groups, "shard").join(sets, "c").select(
+        "shard", F.pmod(F.xxhash64("c"), F.col("groups")).alias("turn"), "c", "root", "set")
+    each = groups.select("shard", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("turn"))
+    homes = placed.join(sets, "c").join(each, "shard").select("shard", "turn", "c", "root", "set")
+    homes = homes.toDF(*homes.columns)  # other names for the same columns of `sets`
+    return visitors.groupBy("shard", "turn").cogroup(homes.groupBy("shard", "turn")).applyInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of an edge list (a, b): alternating large and small stars, each round
     written to the shared folder, until nothing changes. The root is the smallest node."""
@@ -299,9 +414,9 @@ def grouped(docs: DataFrame) -> DataFrame:
 
     reps = stored(every.filter("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id")), "reps")
     first = stored(firsts(docs, late).dropDuplicates(["c"]), "firsts")
-    posted = first.select(F.posexplode("first").alias("place", "token"), "c", "n")
-    met = posted.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
-    lists = stored(posted.join(met, "token").select("token", "c", "n", "place"), "lists")
+    posted = first.select(F.explode("first").alias("token"), "c", "n")
+    met = stored(posted.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token"), "tokens")
+    lists = stored(posted.join(met, "token").select("token", "c", "n"), "lists")
     in_lists = lists.groupBy("c").agg((F.count(F.lit(1)) / F.first("n")).alias("rank"))
     member = stored(lists.join(in_lists, "c").withColumn("root", F.col("c")), "members")
 
@@ -313,13 +428,11 @@ def grouped(docs: DataFrame) -> DataFrame:
     def open_lists(member: DataFrame) -> DataFrame:
         """The lists that hold several components."""
         several = member.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-        return member.join(several.select("token"), "token")
+        return member.join(stored(several.select("token"), "tokens"), "token")
 
     part = spark.createDataFrame([], "node long, root long")
     for turn in range(ROUNDS):
-        order = F.struct("rank", "c") if turn == 0 else F.struct(F.xxhash64("c", F.lit(turn)), "c")
-        lead = member.groupBy("token").agg(F.max_by(F.struct("c", "n", "root"), order).alias("lead")).select("token", "lead.*")
-        lead = lead.select("token", F.col("c").alias("x"), F.col("n").alias("a"), F.col("root").alias("other"))
+        lead = leaders(member, F.struct("rank", "c") if turn == 0 else F.struct(F.xxhash64("c", F.lit(turn)), "c"))
         tried = (
             member.join(lead, "token")
             .filter((F.col("root") != F.col("other")) & (F.least("n", "a") * 4 >= F.greatest("n", "a") * 3))
@@ -336,20 +449,9 @@ def grouped(docs: DataFrame) -> DataFrame:
         member = member.join(found, "c", "left").withColumn("root", F.coalesce("new", "root")).drop("new")
         member = stored(open_lists(member), "members")
 
-    # Members of different components meet in all lists that both are in. A pair that links shares `least` of
-    # them at least, so each side may skip its `least` - 1 longest lists: the shortest one they share stays.
-    size = member.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
-    longest = Window.partitionBy("c").orderBy(F.desc("size"), "token")
-    member = stored(member.join(size, "token").withColumn("skip", F.row_number().over(longest)), "members")
-    left = member.select("token", F.col("c").alias("x"), F.col("n").alias("a"), F.col("skip").alias("i"), F.col("root").alias("rx"))
-    right = member.select("token", F.col("c").alias("y"), F.col("n").alias("b"), F.col("skip").alias("j"), F.col("root").alias("ry"))
-    beyond = F.greatest(F.col("a") - F.floor(F.col("a") / 4), F.col("b") - F.floor(F.col("b") / 4)) - 1
-    least = F.ceil((F.col("a") + F.col("b")) * 3 / 7) - beyond
-    rest = left.join(right, "token").filter(
-        (F.col("rx") != F.col("ry")) & (F.col("a") <= F.col("b")) & (F.col("a") * 4 >= F.col("b") * 3)
-        & (F.least("i", "j") >= least))
-    more = confirmed(possible(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), first))
-    part = components(part.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    if not member.isEmpty():
+        more = stored(searched(docs, reps, member), "links")
+        part = components(part.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
     whole = reps.join(part.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     lowest = whole.groupBy("root").agg(F.min("doc_id").alias("component_id"))
