@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -24,16 +25,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @lru_cache(maxsize=1)
 def local_folder() -> str:
-    """Where no shared folder is set, as in tests: a local one that goes at exit."""
+    """For a local session without a shared folder, as in tests: one that goes at exit."""
     folder = tempfile.mkdtemp(prefix="landmart-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or local_folder()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below ``spark.checkpoint.dir``. Without one, a cluster's tasks have no folder in common: that raises."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(base or local_folder()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -67,10 +70,10 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def forget(table: DataFrame) -> None:
-    """Deletes the files of a ``stored`` table that no step needs any more."""
-    spark = table.sparkSession
-    for folder in {x.rsplit("/", 1)[0] for x in table.inputFiles()}:
+def forget(*tables: DataFrame) -> None:
+    """Deletes the files of ``stored`` tables that no step needs any more."""
+    spark = tables[0].sparkSession
+    for folder in {x.rsplit("/", 1)[0] for table in tables for x in table.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -82,16 +85,17 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
 
 def sample(rows: DataFrame, by: str, size: int) -> DataFrame:
     """At most ``size`` rows of each value of ``by``, one per doc_id: those with the smallest hash of doc_id,
-    numbered by ``n``. Rows are counted first, so that only about twice as many go on as are wanted, however
-    many tasks there are. The values of ``by`` are few."""
+    numbered by ``n``. Of rows that repeat a doc_id the least one is taken, whatever their order. Doc_ids are counted first,
+    so that only about twice as many go on as are wanted, however many tasks there are. The values of ``by`` are few."""
     space = 2**40
-    counts = {r[by]: r["count"] for r in rows.groupBy(by).count().collect()}
+    counts = {r[by]: r["n"] for r in rows.groupBy(by).agg(F.count_distinct("doc_id").alias("n")).collect()}
     if not counts:
         return rows.withColumn("n", F.lit(0)).limit(0)
     ends = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(space, 2 * size * space // n + 1))])
-    near = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(space)) < ends[F.col(by)]).dropDuplicates(["doc_id"])
+    near = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(space)) < ends[F.col(by)])
+    one = near.groupBy("doc_id").agg(F.min(F.struct(by, *[x for x in rows.columns if x not in (by, "doc_id")])).alias("row"))
     order = Window.partitionBy(by).orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(space)), "doc_id")
-    return near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= size)
+    return one.select("doc_id", "row.*").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= size)
 
 
 def words(text: Column) -> Column:

@@ -9,9 +9,9 @@ T = ceil(3 (a + b) / 7).
    one of ``LONG_SHARE`` documents of some chunk). Only T - 1 shingles may be left out of a merge, so each set
    brings its first b - ceil(3b/4) + 1 shingles. Long lists are thus merged only where a set has next to nothing
    else; otherwise they are probed.
-3. Lists meet by shingle. In a few rounds every member is tried against one leader, that of the lists it shares most
-   of; links join classes into components. Leaders are first the members with most of their shingles in lists (what
-   copies were made from), then others. Copies are thus linked by a few candidates each.
+3. Lists meet by shingle. Every member is tried against one leader, that of the lists it shares most of; links join
+   classes into components. A list's leader is the member with most of its shingles in lists, what copies were made
+   from. Copies are thus linked by one candidate each.
 4. What is in a list with another component yet is searched in shards: members with a common leader lie together, and a
    shard has the inverted lists of its whole sets. A member visits the shards that it meets in a list, be it in one or
    in many, where sizes allow a link; as many of its longest lists are skipped as a link has in common at least, less one.
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from landmart.llm.common import documents, stored
+from landmart.llm.common import documents, forget, stored
 
 WORDS = 5
 #: A shingle's list is long if a chunk has it in one of so many documents.
@@ -49,8 +49,6 @@ LONG_SHARE = 256
 CHUNK = 500_000
 #: Long lists known to all tasks: at most 8 bytes for each of these, the longest ones.
 LONG_KEPT = 200_000
-#: Rounds of candidates that are linear in the members, before the rest is searched in shards.
-ROUNDS = 2
 #: Shingles of a shard, and of the visitors that are searched in it at a time.
 SHARD = 500_000
 VISITORS = 2_000_000
@@ -252,19 +250,41 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def leaders(member: DataFrame, order: Column) -> DataFrame:
+def leaders(member: DataFrame) -> DataFrame:
     """(token, x, a, other): the leader of each list with its size and component."""
+    order = F.struct("rank", "c")
     lead = member.groupBy("token").agg(F.max_by(F.struct("c", "n", "root"), order).alias("lead")).select("token", "lead.*")
     return stored(lead.select("token", F.col("c").alias("x"), F.col("n").alias("a"), F.col("root").alias("other")), "leaders")
 
 
+def by_leaders(docs: DataFrame, reps: DataFrame, first: DataFrame, member: DataFrame) -> DataFrame:
+    """The links (a, b) of members with the leader of the lists that they share most of: the member of a list with most of
+    its shingles in lists, which copies were made from."""
+    lead = leaders(member)
+    tried = (
+        member.join(lead, "token")
+        .filter((F.col("root") != F.col("other")) & (F.least("n", "a") * 4 >= F.greatest("n", "a") * 3))
+        .groupBy("c", "x").agg(F.count(F.lit(1)).alias("k"))
+        .groupBy("c").agg(F.max_by("x", F.struct("k", "x")).alias("x"))
+        .select(F.least("x", "c").alias("a"), F.greatest("x", "c").alias("b")).distinct()
+    )
+    likely = stored(possible(tried, first), "candidates")
+    forget(lead)
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(reps, "c")
+    sets = stored(sets_of(docs, wanted), "sets")
+    links = stored(linked(likely, sets), "links")
+    forget(likely, sets)
+    return links
+
+
 def shards_of(member: DataFrame) -> DataFrame:
     """(c, n, root, shard): members that have most of their lists' leaders in common lie together, in shards of about
     ``SHARD`` shingles."""
-    lead = leaders(member, F.struct("rank", "c"))
+    lead = leaders(member)
     home = member.join(lead, "token").groupBy("c", "n", "root", "x").agg(F.count(F.lit(1)).alias("k")).groupBy("c", "n", "root").agg(
         F.max_by("x", F.struct("k", "x")).alias("x"))
     home = stored(home, "homes")
+    forget(lead)
     parts = stored(home.groupBy("x").agg(F.ceil(F.sum("n") / SHARD).alias("parts")), "parts")
     return home.join(parts, "x").select("c", "n", "root", F.struct("x", F.pmod(F.xxhash64("c"), F.col("parts")).alias("part")).alias("shard"))
 
@@ -276,7 +296,7 @@ def visits(member: DataFrame, placed: DataFrame) -> DataFrame:
     longest = Window.partitionBy("c").orderBy(F.desc("size"), "token")
     rows = stored(
         member.join(size, "token").withColumn("skip", F.row_number().over(longest)).join(placed.select("c", "shard"), "c")
-        .select("token", "c", "n", "root", "skip", "shard"), "members")
+        .select("token", "c", "n", "root", "skip", "shard"), "rows")
     alike = F.floor(F.log("n") * SIZE_STEPS)
     here = stored(rows.groupBy("token", F.col("shard").alias("to"), alike.alias("alike")).agg(
         F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("skip").alias("most_skip"),
@@ -284,12 +304,13 @@ def visits(member: DataFrame, placed: DataFrame) -> DataFrame:
     a, b = F.col("n"), F.least(F.col("most_n"), F.floor(F.col("n") * 4 / 3))
     # two linked sets of a <= b shingles share so many and one more among their first parts; fewer the larger b is, give or take one
     least = F.greatest(F.ceil((a + b) * 3 / 7) - (b - F.floor(b / 4)), F.lit(1))
-    return (
+    found = stored(
         rows.join(here, "token")
         .filter((a <= F.col("most_n")) & (F.col("least_n") * 3 <= a * 4) & ~((F.col("low") == F.col("root")) & (F.col("high") == F.col("root")))
                 & (F.least("skip", "most_skip") >= least))
-        .select("c", "n", "root", F.col("to").alias("shard")).distinct()
-    )
+        .select("c", "n", "root", F.col("to").alias("shard")).distinct(), "visits")
+    forget(size, rows, here)
+    return found
 
 
 class Index:
@@ -348,17 +369,19 @@ def searched(docs: DataFrame, reps: DataFrame, member: DataFrame) -> DataFrame:
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     placed = stored(shards_of(member), "shards")
-    going = stored(visits(member, placed), "visits")
+    going = visits(member, placed)
     groups = stored(going.groupBy("shard").agg(F.ceil(F.sum("n") / VISITORS).alias("groups")), "groups")
-    placed = stored(placed.join(groups, "shard", "left_semi"), "homes")
-    wanted = placed.select("c").union(going.select("c")).distinct().join(reps, "c").select("c", "doc_id")
+    visited = stored(placed.join(groups, "shard", "left_semi"), "visited")
+    wanted = visited.select("c").union(going.select("c")).distinct().join(reps, "c").select("c", "doc_id")
     sets = stored(sets_of(docs, wanted), "sets")
     visitors = going.join(groups, "shard").join(sets, "c").select(
         "shard", F.pmod(F.xxhash64("c"), F.col("groups")).alias("turn"), "c", "root", "set")
     each = groups.select("shard", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("turn"))
-    homes = placed.join(sets, "c").join(each, "shard").select("shard", "turn", "c", "root", "set")
+    homes = visited.join(sets, "c").join(each, "shard").select("shard", "turn", "c", "root", "set")
     homes = homes.toDF(*homes.columns)  # other names for the same columns of `sets`
-    return visitors.groupBy("shard", "turn").cogroup(homes.groupBy("shard", "turn")).applyInArrow(run, "a long, b long")
+    links = stored(visitors.groupBy("shard", "turn").cogroup(homes.groupBy("shard", "turn")).applyInArrow(run, "a long, b long"), "links")
+    forget(placed, going, visited, sets)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -419,39 +442,21 @@ def grouped(docs: DataFrame) -> DataFrame:
     lists = stored(posted.join(met, "token").select("token", "c", "n"), "lists")
     in_lists = lists.groupBy("c").agg((F.count(F.lit(1)) / F.first("n")).alias("rank"))
     member = stored(lists.join(in_lists, "c").withColumn("root", F.col("c")), "members")
-
-    def confirmed(likely: DataFrame) -> DataFrame:
-        likely = stored(likely, "candidates")
-        wanted = likely.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(reps, "c")
-        return stored(linked(likely, stored(sets_of(docs, wanted), "sets")), "links")
-
-    def open_lists(member: DataFrame) -> DataFrame:
-        """The lists that hold several components."""
-        several = member.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-        return member.join(stored(several.select("token"), "tokens"), "token")
-
-    part = spark.createDataFrame([], "node long, root long")
-    for turn in range(ROUNDS):
-        lead = leaders(member, F.struct("rank", "c") if turn == 0 else F.struct(F.xxhash64("c", F.lit(turn)), "c"))
-        tried = (
-            member.join(lead, "token")
-            .filter((F.col("root") != F.col("other")) & (F.least("n", "a") * 4 >= F.greatest("n", "a") * 3))
-            .groupBy("c", "x").agg(F.count(F.lit(1)).alias("k"))
-            .groupBy("c").agg(F.max_by("x", F.struct("k", "x")).alias("x"))
-            .select(F.least("x", "c").alias("a"), F.greatest("x", "c").alias("b")).distinct()
-        )
-        links = confirmed(possible(tried, first))
-        if links.isEmpty():
-            break
-        part = components(part.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
-        part = stored(part, "parts")
-        found = part.select(F.col("node").alias("c"), F.col("root").alias("new"))
-        member = member.join(found, "c", "left").withColumn("root", F.coalesce("new", "root")).drop("new")
-        member = stored(open_lists(member), "members")
-
-    if not member.isEmpty():
-        more = stored(searched(docs, reps, member), "links")
+    forget(met, lists)
+
+    links = by_leaders(docs, reps, first, member)
+    forget(first)
+    part = stored(components(links), "parts")
+    found = part.select(F.col("node").alias("c"), F.col("root").alias("new"))
+    apart = stored(member.join(found, "c", "left").withColumn("root", F.coalesce("new", "root")).drop("new"), "members")
+    several = stored(
+        apart.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("token"), "tokens")
+    open_lists = stored(apart.join(several, "token"), "members")  # those that hold several components
+    forget(member, apart, several)
+    if not open_lists.isEmpty():
+        more = searched(docs, reps, open_lists)
         part = components(part.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    forget(open_lists)
 
     whole = reps.join(part.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
     lowest = whole.groupBy("root").agg(F.min("doc_id").alias("component_id"))
