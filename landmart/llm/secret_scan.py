@@ -6,9 +6,8 @@ distinct repositories (host part of ``repo``, here documents) and distinct owner
 most ``MAX_DOCS`` documents and ``MAX_OWNERS`` owners is live-looking and becomes a span, a widely copied one
 is an example and does not. Base spans always stay, with their class beside them.
 
-``classes``, the query op5_secret_classes, returns this whole. ``digest``, the query op5_secret_scans, goes by
-owners alone, has no classes and knows mixed-case tokens only, as its SQL does. An ``owned`` span can lie in a
-base span or be the same.
+``digest``, the query op5_secret_scans, returns the contract's columns and the classes; ``classes``, the query
+op5_secret_classes, spans with their class. An ``owned`` span can lie in a base span or be the same.
 
 Positions come from the patterns' gaps and matches: a text is the alternation of both, so running sums of
 their lengths are the spans, in code points.
@@ -52,15 +51,12 @@ BASE = (
     Kind("access", "AKIA[A-Z0-9]+", 20, "AKIA"),
     Kind("hex", "[0-9a-f]+", 24, "[0-9a-f]{24}"),
 )
-OWNED = Kind(
-    "owned", "[A-Za-z0-9_+/-]+", 20,
-    "(?=[A-Za-z0-9_+/-]{20})(?=[A-Za-z_+/-]*[0-9])(?=[A-Z0-9_+/-]*[a-z])(?=[a-z0-9_+/-]*[A-Z])[A-Za-z0-9_+/-]{20}")
-#: As ``OWNED``, with letters in any case. Only the start of a run is tried.
+#: Letters in any case with a digit. Only the start of a run is tried.
 TOKEN = Kind(
-    "owned", OWNED.pattern, OWNED.least,
+    "owned", "[A-Za-z0-9_+/-]+", 20,
     "(?<![A-Za-z0-9_+/-])(?=[A-Za-z0-9_+/-]{20})(?=[A-Za-z_+/-]*[0-9])(?=[0-9_+/-]*[A-Za-z])[A-Za-z0-9_+/-]")
 #: What the value of a candidate has besides its length.
-LIVE = {OWNED: ("[0-9]", "[a-z]", "[A-Z]"), TOKEN: ("[0-9]", "[A-Za-z]")}
+LIVE = ("[0-9]", "[A-Za-z]")
 SPAN = "array<struct<start:int,kind:int,name:string,stop:int,value:string>>"
 
 
@@ -95,15 +91,15 @@ def spans(text: Column, kind: Kind, number: int) -> Column:
     return F.when(text.rlike(kind.hint), let(gaps, with_gaps)).otherwise(F.array().cast(SPAN))
 
 
-def found_in(docs: DataFrame, more: Kind = TOKEN) -> DataFrame:
+def found_in(docs: DataFrame) -> DataFrame:
     """doc_id, source, the digest of the text, and per document its base spans and credential-like tokens."""
     text = F.col("text")
-    live = lambda x: reduce(and_, (x["value"].rlike(p) for p in LIVE[more]))
+    live = lambda x: reduce(and_, (x["value"].rlike(p) for p in LIVE))
     rows = documents(docs, F.col("source").cast("string").alias("source")).withColumn("text", F.coalesce("text", F.lit("")))
     return rows.select(
         "doc_id", "source", F.xxhash64("text").alias("text_hash"),
         F.concat(*[spans(text, k, i) for i, k in enumerate(BASE)]).alias("base"),
-        F.filter(spans(text, more, len(BASE)), live).alias("more"),
+        F.filter(spans(text, TOKEN, len(BASE)), live).alias("more"),
     )
 
 
@@ -117,25 +113,26 @@ def ownership(found: DataFrame) -> DataFrame:
         F.count_distinct(F.struct("doc_id", "text_hash")).alias("n_docs"), F.count_distinct(F.struct("source")).alias("n_owners"))
 
 
-def scanned(docs: DataFrame, max_owners: int = MAX_OWNERS, max_docs: int | None = MAX_DOCS, more: Kind = TOKEN) -> DataFrame:
+def scanned(docs: DataFrame, max_owners: int = MAX_OWNERS, max_docs: int = MAX_DOCS) -> DataFrame:
     """doc_id, base spans, all spans with their class and the number of owner-specific base secrets, one row per
-    row of ``docs``. Documents are no matter if ``max_docs`` is None."""
-    found = stored(found_in(docs, more), "secrets")
-    freq = ownership(found)
-    owned = F.col("n_owners") <= max_owners
-    if max_docs is not None:
-        owned &= F.col("n_docs") <= max_docs
+    row of ``docs``.
+
+    Spans are joined with the owner-specific values only, which lie in a table of their own: a value that is
+    everywhere finds nothing, and Spark can split its rows."""
+    found = stored(found_in(docs), "secrets")
+    rare = stored(ownership(found).filter((F.col("n_owners") <= max_owners) & (F.col("n_docs") <= max_docs)).select(
+        "secret", F.lit(True).alias("live")), "rare-secrets")
     key = ["doc_id", "text_hash"]
     each = (
         found.filter(F.size("base") + F.size("more") > 0)
         .select(*key, F.explode(F.concat("base", "more")).alias("x"))
         .withColumn("secret", F.xxhash64("x.value"))
-        .join(freq, "secret").withColumn("live", owned)
+        .join(rare, "secret", "left").withColumn("live", F.coalesce("live", F.lit(False)))
         .filter((F.col("x.kind") < len(BASE)) | F.col("live"))
         .groupBy(*key)
         .agg(F.array_sort(F.collect_set(F.struct("x.start", "x.kind", "x.name", "x.stop", "live"))).alias("spans"))
     )
-    each = each.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
+    each = stored(each.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans"), "spans")
     classed = "array<struct<start:int,kind:int,name:string,stop:int,live:boolean>>"
     return found.join(
         each, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left"
@@ -147,18 +144,25 @@ def joined(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["name"], x["start"], x["stop"])), ",")
 
 
+def labelled(found: Column) -> Column:
+    return F.array_join(F.transform(found, lambda x: F.concat_ws(
+        ":", x["name"], x["start"], x["stop"], F.when(x["live"], "live").otherwise("copied"))), ",")
+
+
 def digest(docs: DataFrame) -> DataFrame:
+    """The contract's columns, how many base secrets are owner-specific and how many widely copied, and the class of
+    every span."""
     n = lambda i: F.size(F.filter("base", lambda x: x["kind"] == i)).cast("long")
-    return scanned(docs, max_docs=None, more=OWNED).select(
+    return scanned(docs).select(
         "doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
-        F.sha2(joined(F.array_sort("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+        F.sha2(joined(F.array_sort("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        "n_live", (F.size("base") - F.col("n_live")).alias("n_copied"), labelled(F.col("spans")).alias("classes"))
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """Every span with its class, and how many base secrets are owner-specific and how many widely copied."""
-    labelled = F.transform("spans", lambda x: F.concat_ws(":", x["name"], x["start"], x["stop"], F.when(x["live"], "live").otherwise("copied")))
     return scanned(docs).select(
-        "doc_id", "n_live", (F.size("base") - F.col("n_live")).alias("n_copied"), F.array_join(labelled, ",").alias("spans"))
+        "doc_id", "n_live", (F.size("base") - F.col("n_live")).alias("n_copied"), labelled(F.col("spans")).alias("spans"))
 
 
 def _sql(text: str) -> str:
@@ -168,31 +172,9 @@ def _sql(text: str) -> str:
 KINDS_SQL = " UNION ALL ".join(
     f"SELECT r, {i} AS kind, {_sql(k.name)} AS name, {k.least} AS least, {_sql(k.value)} AS value, "
     f"regexp_extract_all(t, {_sql(k.pattern)}) AS m, string_split_regex(t, {_sql(k.pattern)}) AS g FROM body"
-    for i, k in enumerate((*BASE, OWNED)))
+    for i, k in enumerate((*BASE, TOKEN)))
 
-ORACLE_SQL = f"""
-WITH body AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
-kinds AS ({KINDS_SQL}),
-each AS (SELECT r, kind, name, least, value, m, g, unnest(range(1, len(m) + 1)) AS k FROM kinds WHERE len(m) > 0),
-placed AS (
-  SELECT r, kind, name, least, regexp_extract(m[k], value, 1) AS v, length(m[k]) AS size,
-    (list_sum(list_transform(g[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda x: length(x))), 0))::BIGINT AS start
-  FROM each),
-found AS (
-  SELECT *, name || ':' || start || ':' || (start + size) AS span FROM placed
-  WHERE length(v) >= least AND (kind < {len(BASE)} OR regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]'))),
-owners AS (SELECT v, count(DISTINCT coalesce('s' || source, '-')) AS n FROM found JOIN body USING (r) GROUP BY v),
-spans AS (
-  SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
-    string_agg(span, ',' ORDER BY start, kind) FILTER (kind < {len(BASE)}) AS base,
-    string_agg(span, ',' ORDER BY start, kind) FILTER (kind < {len(BASE)} OR n <= {MAX_OWNERS}) AS spans
-  FROM found JOIN owners USING (v) GROUP BY r)
-SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
-FROM body LEFT JOIN spans USING (r)
-"""
-
-CLASSES_SQL = f"""
+SPANS_SQL = f"""
 WITH body AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
 kinds AS ({KINDS_SQL}),
 each AS (SELECT r, kind, name, least, value, m, g, unnest(range(1, len(m) + 1)) AS k FROM kinds WHERE len(m) > 0),
@@ -208,10 +190,23 @@ owners AS (
     AND count(DISTINCT coalesce('d' || doc_id, '-') || ' ' || md5(t)) <= {MAX_DOCS} AS live
   FROM found JOIN body USING (r) GROUP BY v),
 spans AS (
-  SELECT r, count(*) FILTER (kind < {len(BASE)} AND live) AS n_live, count(*) FILTER (kind < {len(BASE)} AND NOT live) AS n_copied,
+  SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY start, kind) FILTER (kind < {len(BASE)}) AS base,
+    count(*) FILTER (kind < {len(BASE)} AND live) AS n_live, count(*) FILTER (kind < {len(BASE)} AND NOT live) AS n_copied,
+    string_agg(span, ',' ORDER BY start, kind) FILTER (kind < {len(BASE)} OR live) AS spans,
     string_agg(span || CASE WHEN live THEN ':live' ELSE ':copied' END, ',' ORDER BY start, kind)
-      FILTER (kind < {len(BASE)} OR live) AS spans
+      FILTER (kind < {len(BASE)} OR live) AS classes
   FROM found JOIN owners USING (v) GROUP BY r)
-SELECT doc_id, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, coalesce(spans, '') AS spans
+"""
+
+ORACLE_SQL = f"""{SPANS_SQL}
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, coalesce(classes, '') AS classes
+FROM body LEFT JOIN spans USING (r)
+"""
+
+CLASSES_SQL = f"""{SPANS_SQL}
+SELECT doc_id, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, coalesce(classes, '') AS spans
 FROM body LEFT JOIN spans USING (r)
 """
