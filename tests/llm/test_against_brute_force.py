@@ -211,6 +211,25 @@ def test_line_runs_by_batches(spark):
     assert {r["row"]["doc_id"]: (r["n_lines"], r["n_dropped"], hashlib.sha256(r["kept_text"].encode()).hexdigest()) for r in got} == want
 
 
+@pytest.mark.parametrize("batches", [1, 6, 9])
+def test_lines_of_repeated_and_null_ids(spark, batches):
+    """Rows of one doc_id are one document, rows without one are told apart by their text; the SQL says the same."""
+    four, five, null, more = (f"{c} " * 30 for c in "abcd")
+    rows = [(i, f"{four}\nx{i}\n {five.upper()}") for i in (1, 2, 3, 4)] + [(4, f"other\n{four}"), (9, five)]
+    rows += [(None, f"{null}\n{k}") for k in range(6)] + [(None, f"{more}\n{k % 3}") for k in range(9)] + [(7, more), (8, more), (7, f"again\n{more}")]
+    docs = table(spark, rows)
+    got = sorted((tuple(r) for r in line_dedup.in_batches(docs, batches).select("row.doc_id", "n_lines", "n_dropped", "kept_text").collect()), key=repr)
+    by = [(r[0], r[2]) for r in got]
+    assert by.count((4, 1)) == 1 and by.count((4, 0)) == 1  # five has five documents, four only four
+    assert (9, 0) in by and by.count((7, 1)) == 2 and (8, 0) in by
+    assert by.count((None, 1)) == 9 and by.count((None, 0)) == 6  # only rows without an id have `null`
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    hashed = sorted(((i, n, d, hashlib.sha256(t.encode()).hexdigest()) for i, n, d, t in got), key=repr)
+    assert hashed == sorted(con.execute(line_dedup.ORACLE_SQL).fetchall(), key=repr)
+
+
 ASSIGN = re.compile(r'((?i:password|passwd|secret|token|api_?key))["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)')
 
 
