@@ -6,13 +6,14 @@ what is cut off is shared again by weight. A source first gives all its document
 epochs fit, then those with the smallest keys until the rest is used up; the last one gives only the
 words still wanted.
 
-The order within a source is never one window over the source: keys fall into bands, about
-``band_docs`` documents each however large the source is, words are summed by band, bands are
-prefix-summed, and only inside a band are documents sorted one by one. Bands of a source are themselves
-summed in blocks, so no window sees more than a few thousand rows.
+The order within a source is never one window over the source: keys fall into bands of about ``BAND_DOCS`` documents,
+words are summed by band, bands are prefix-summed, and only inside a band are documents sorted one by one. A band
+is a part of the key's expected ranks: a document of weight w is below a key with a known chance, and the mean of
+these chances over the weights of the source, kept in ``WEIGHT_STEPS`` steps, grows evenly from 0 to 1 whatever the weights
+are. Bands of a source are themselves summed in blocks, so no window sees more than a few thousand rows.
 
 Null text has size 0, takes nothing. Null sources are one source, last in the order. Rows that repeat
-a doc_id and text have equal keys and are taken one after the other. Null doc_ids are keys like others.
+a doc_id and text have equal keys and one band, and are taken one after the other. Null doc_ids are keys like others.
 Empty tables give empty results.
 """
 
@@ -27,6 +28,8 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 BAND_DOCS = 2000
 BLOCK = 1024
+#: Steps in which a source's weights are counted.
+WEIGHT_STEPS = 64
 SEED = "mix-1"
 #: 52 bits of the digest become u.
 SCALE = 2**52
@@ -48,6 +51,11 @@ def uniform(doc_id: Column, text: Column) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(SCALE))
 
 
+def expected_rank(at: Column, weights: Column) -> Column:
+    """How many documents of a source, given as (weight, number), have a key below ``at`` on average. It grows with ``at``."""
+    return F.aggregate(weights, F.lit(0.0), lambda sum_, x: sum_ + x["n"] * (F.lit(1.0) - F.pow(F.lit(1.0) - at, x["w"])))
+
+
 def targets(sizes: DataFrame, total: Column | None = None) -> DataFrame:
     """(source, source_size) with the target of each source. The windows run over sources, not documents."""
     everything = Window.partitionBy()
@@ -77,24 +85,22 @@ def mixed(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     sized = docs.select(
         F.struct(*[F.col(f"`{x}`") for x in keep or docs.columns]).alias("row"),
         F.col("doc_id").cast("long").alias("_id"), F.col("source").cast("string").alias("_src"),
-        size_of(text).alias("size"),
-        # the exponential key as a number from 0 to 1: 1 - u ** (1 / w)
-        (F.lit(1.0) - F.pow(uniform(F.col("doc_id").cast("long"), text), F.lit(1.0) / quality_weight(text))).alias("_at"),
-    )
-    source = (
-        sized.groupBy("_src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_docs"))
-    )
-    source = stored(source.withColumnRenamed("_src", "source"), "mix-sources")
+        size_of(text).alias("size"), quality_weight(text).alias("_w"), uniform(F.col("doc_id").cast("long"), text).alias("_u"),
+    ).withColumn("_at", F.lit(1.0) - F.pow("_u", F.lit(1.0) / F.col("_w")))  # the exponential key as a number from 0 to 1
+    steps = sized.groupBy("_src", F.floor(F.col("_w") * WEIGHT_STEPS)).agg(
+        F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.avg("_w").alias("w"))
+    source = stored(steps.groupBy(F.col("_src").alias("source")).agg(
+        F.sum("size").alias("source_size"), F.sum("n").alias("_docs"), F.collect_list(F.struct("w", "n")).alias("_weights")), "mix-sources")
     goal = targets(source.select("source", "source_size")).join(
-        source.select(F.col("source").alias("_s"), "_docs"), F.col("source").eqNullSafe(F.col("_s"))
+        source.select(F.col("source").alias("_s"), "_docs", "_weights"), F.col("source").eqNullSafe(F.col("_s"))
     ).select(
-        "source", "source_size", "target",
+        "source", "source_size", "target", "_docs", "_weights",
         F.ceil(F.col("_docs") / BAND_DOCS).alias("_bands"),
         F.least(F.lit(MAX_EPOCHS), F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)).cast("long").alias("_epochs"),
     ).withColumn("_rest", F.round(F.col("target") - F.col("_epochs") * F.col("source_size")).cast("long"))
     goal = stored(goal, "mix-goals").withColumnRenamed("source", "_gs")
     banded = sized.join(goal, F.col("_src").eqNullSafe(F.col("_gs"))).withColumn(
-        "_band", F.least(F.floor(F.col("_at") * F.col("_bands")), F.col("_bands") - 1))
+        "_band", F.least(F.floor(expected_rank(F.col("_at"), F.col("_weights")) / F.col("_docs") * F.col("_bands")), F.col("_bands") - 1))
     bands = starts(
         banded.groupBy("_gs", "_band").agg(F.sum("size").alias("_words")), "_gs", "_band", "_words")
     bands = stored(bands, "mix-bands").select(F.col("_gs").alias("_bs"), F.col("_band").alias("_bb"), "_start")
