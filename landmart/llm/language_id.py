@@ -10,18 +10,19 @@ Learning uses at most ``SAMPLE`` texts per language, those with the smallest has
 of them as landmarks; this bounds the driver's work. Every text is scored whole.
 
 Null text and text without a letter are ``und`` with score 0, as is everything if nothing can be learned.
-Rows with null doc_id are not held out and not learned from. Ties go to the smaller language name.
+Rows with null doc_id are not held out and not learned from. Of rows that repeat a
+doc_id only the least (by language, then text) is learned from, so that the order of rows doesn't matter. Ties go to the smaller language name.
 Repeated rows give repeated results; empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ LANDMARKS = 48
 RIDGE = 1e-3
 FOLDS, HELD = 4, 2
 BATCH = 128
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UND = "und"
 
 

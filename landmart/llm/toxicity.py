@@ -36,7 +36,6 @@ TOXIC, CLEAN = 1500, 3000
 SHORT, LONG = 3, 9
 MIN_TOXIC = 5
 MIN_ODDS = 2.5
-ENTRIES = 2000
 #: Log odds that a text without hits has at most, so it is never predicted toxic.
 CALM = -1.0
 #: Letters of other scripts, digits and signs that are written for Latin letters.
@@ -158,17 +157,19 @@ def learn_lexicon(rows: DataFrame) -> Lexicon | None:
         if not totals or not totals[0]["clean"] or not totals[0]["toxic"]:
             return None
         odds = F.log((F.col("toxic") + 0.5) / (totals[0]["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (totals[0]["clean"] + 1))
-        # the sample is bounded and so are its entries: a few tasks, each of which sends its best to the driver
+        # the labelled sample is bounded, and nothing else bounds its entries: a few tasks, which send their best to the driver
         rated = counts.filter("entry <> ''").coalesce(8).withColumn("odds", odds)
         best = rated.filter(~F.col("entry").endswith(" ") & (F.col("toxic") >= MIN_TOXIC) & (F.col("odds") >= MIN_ODDS)).orderBy(
-            F.desc(F.col("odds") * F.col("toxic")), F.desc(F.length("entry")), "entry").limit(ENTRIES).collect()
+            F.desc(F.col("odds") * F.col("toxic")), F.desc(F.length("entry")), "entry").collect()
         weights: dict[str, float] = {}
+        started: set[str] = set()  # what entries begin with
         for r in best:
             e = r["entry"]
-            if not any(e[:n] in weights for n in range(SHORT, len(e))) and not any(w.startswith(e) for w in weights):
+            if e not in started and not any(e[:n] in weights for n in range(SHORT, len(e))):
                 weights[e] = r["odds"]
+                started.update(e[:n] for n in range(SHORT, len(e) + 1))
         harmless = rated.filter(F.col("entry").endswith(" ") & (F.col("odds") < 0) & (F.col("clean") >= 1)).filter(
-            F.substring("entry", 1, SHORT).isin(sorted({w[:SHORT] for w in weights}))).orderBy("odds", "entry").limit(ENTRIES).collect()
+            F.substring("entry", 1, SHORT).isin(sorted({w[:SHORT] for w in weights}))).select("entry").collect()
     finally:
         counts.unpersist()
     spared = {r["entry"][:-1] for r in harmless if any(r["entry"].startswith(w) for w in weights)}
@@ -192,7 +193,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Lexicon and logistic regression from labelled documents that are not held out."""
     chosen = sample_of(labels)
-    learned = documents(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).persist()
+    # of rows that repeat a doc_id the least text is learned, whatever their order
+    learned = documents(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct("text", "toxic")).alias("row")).select("doc_id", "row.*").persist()
     try:
         lexicon = learn_lexicon(learned)
         if lexicon is None:
