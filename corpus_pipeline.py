@@ -23,9 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many share; n_chars follows the text."""
-    runs = line_dedup.LineRuns(spark)
-    runs.add(docs)
-    left = line_dedup.kept_lines(docs, runs)
+    left = line_dedup.in_batches(docs)
     shorter = F.when(F.col("n_dropped") > 0, F.length("kept_text")).otherwise(F.col("row.n_chars"))
     new = {"text": F.col("kept_text"), "n_chars": shorter}
     return left.select(*[new.get(x, F.col(f"row.`{x}`")).cast(t).alias(x) for x, t in docs.dtypes])
