@@ -90,6 +90,42 @@ def parcel_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select(F.col("p_partkey").cast("string").alias("parcel_id"), wkt.alias("wkt"))
 
 
+def parcel_wkb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as WKB in whole degrees: a square, with a hole for even sizes and a second square for sizes by 5. Parts of
+    type MEDIUM have their big end first."""
+    parts = table(spark, sf_dir, "part")
+    big = F.col("p_type") == "MEDIUM"
+
+    def ordered(digits: Column, size: int) -> Column:
+        little = F.concat(*[F.substring(digits, 2 * k + 1, 2) for k in reversed(range(size))])
+        return F.when(big, digits).otherwise(little)
+
+    def whole(n: Column) -> Column:
+        return ordered(F.lpad(F.hex(n), 8, "0"), 4)
+
+    def real(n: Column) -> Column:
+        """A whole number from 0 on as a double: exponent, then the digits after the first one."""
+        n = n.cast("long")
+        exponent = F.length(F.bin(n)) - 1
+        first = F.call_function("shiftleft", F.lit(1).cast("long"), exponent)
+        bits = F.shiftleft((exponent + 1023).cast("long"), 52) + F.call_function("shiftleft", n - first, 52 - exponent)
+        return ordered(F.when(n == 0, "0" * 16).otherwise(F.lpad(F.hex(bits), 16, "0")), 8)
+
+    def ring(x: Column, y: Column, side: int) -> Column:
+        corners = ((0, 0), (side, 0), (side, side), (0, side), (0, 0))
+        return F.concat(whole(F.lit(5)), *[real(v) for dx, dy in corners for v in (x + dx, y + dy)])
+
+    def head(kind: int, parts: Column) -> Column:
+        return F.concat(F.when(big, "00").otherwise("01"), whole(F.lit(kind)), whole(parts))
+
+    x, y, one = F.col("p_partkey") % 100, F.col("p_size"), F.lit(1)
+    hole = F.when(y % 2 == 0, ring(x + 1, y + 1, 2)).otherwise("")
+    square = F.concat(head(3, F.when(y % 2 == 0, 2).otherwise(1)), ring(x, y, 4), hole)
+    both = F.concat(head(6, one * 2), square, head(3, one), ring(x, y + 50, 2))
+    return parts.select(
+        F.col("p_partkey").cast("string").alias("parcel_id"), F.unhex(F.when(y % 5 == 0, both).otherwise(square)).alias("wkb"))
+
+
 def tenfold_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ownership with stakes ten times the discount, so that some parcels exceed the whole."""
     return owners(spark, sf_dir).withColumn("pct_own", (F.col("pct_own") * 10).cast("decimal(10,3)"))

@@ -285,7 +285,17 @@ SELECT file_index, parcel_id, count(*) AS owner_rows FROM owners
 WHERE (file_index, parcel_id) NOT IN (SELECT (file_index, parcel_id) FROM drawn) GROUP BY ALL""",
     "dq_unowned_parcel": f"""{RAW}, {DRAWN}
 SELECT file_index, parcel_id FROM drawn
-EXCEPT SELECT file_index, parcel_id FROM owners WHERE is_real_property""",
+EXCEPT SELECT file_index, parcel_id FROM owners""",
+    "wkb_vertices": """
+WITH shapes AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS parcel_id, p_partkey % 100 AS x, p_size AS y, p_size % 2 = 0 AS hole, p_size % 5 = 0 AS island
+  FROM part)
+SELECT parcel_id, CAST(1 + CAST(island AS INT) AS INT) AS polygons,
+  CAST(1 + CAST(hole AS INT) + CAST(island AS INT) AS INT) AS rings,
+  CAST(5 * (1 + CAST(hole AS INT) + CAST(island AS INT)) AS INT) AS vertices,
+  CAST(5 * x + 8 + CASE WHEN hole THEN 5 * (x + 1) + 4 ELSE 0 END + CASE WHEN island THEN 5 * x + 4 ELSE 0 END AS DOUBLE) AS sum_x,
+  CAST(5 * y + 8 + CASE WHEN hole THEN 5 * (y + 1) + 4 ELSE 0 END + CASE WHEN island THEN 5 * (y + 50) + 4 ELSE 0 END AS DOUBLE) AS sum_y
+FROM shapes""",
     "dq_overallocated": f"""{RAW}
 SELECT file_index, parcel_id, {_dbl('10 * sum(pct_own)')} AS total_stake
 FROM (SELECT DISTINCT file_index, parcel_id, owner_name, pct_own FROM owners WHERE is_real_property)

@@ -179,6 +179,15 @@ def shape_vertices(spark, d):
     )
 
 
+def wkb_vertices(spark, d):
+    geom = parcel_features.features_from_wkb(b.parcel_wkb(spark, d))
+    rings = F.flatten("geom")
+    total = lambda axis: F.aggregate(F.flatten(rings), F.lit(0.0), lambda acc, v: acc + v[axis])
+    return geom.select(
+        "parcel_id", F.size("geom").alias("polygons"), F.size(rings).alias("rings"), F.size(F.flatten(rings)).alias("vertices"),
+        total("x").alias("sum_x"), total("y").alias("sum_y"))
+
+
 def geodesic_areas(spark, d):
     area = F.round(geodesic_area(F.col("geom")), 2)
     return _shapes(spark, d).select("parcel_id", area.alias("area_m2"))
@@ -263,13 +272,12 @@ QUERIES: dict[str, Query] = {
     "csv_records": csv_records,
     "raw_parcel_rows": raw_parcel_rows,
     "shape_vertices": shape_vertices,
+    "wkb_vertices": wkb_vertices,
     "geodesic_area": geodesic_areas,
     "dq_multi_feature": lambda s, d: quality.multi_feature_parcels(b.parcels(s, d)),
     "dq_no_geometry": dq_no_geometry,
     "dq_unknown_parcel": lambda s, d: quality.unknown_parcels(b.owners(s, d), _drawn(s, d)),
-    "dq_unowned_parcel": lambda s, d: quality.unowned_parcels(
-        b.owners(s, d).filter("is_real_property"), _drawn(s, d)
-    ),
+    "dq_unowned_parcel": lambda s, d: quality.unowned_parcels(b.owners(s, d), _drawn(s, d)),
     "dq_overallocated": lambda s, d: comparable(quality.overallocated_parcels(b.tenfold_owners(s, d))),
     "dq_multi_type": lambda s, d: quality.multi_type_parcels(b.owners_by_brand(s, d)),
 }

@@ -50,20 +50,32 @@ def _turn(a: Column, b: Column) -> Column:
     return step - F.rint(step / (2 * math.pi)) * (2 * math.pi)
 
 
+def _full_turn(ring: Column) -> Column:
+    """Whether the ring goes once around in longitude."""
+    lon = lambda vertex: F.radians(vertex["x"])
+    turned = F.aggregate(
+        ring,
+        F.struct(lon(F.get(ring, F.size(ring) - 1)).alias("lon"), F.lit(0.0).alias("turn")),
+        lambda acc, v: F.struct(lon(v).alias("lon"), (acc["turn"] + _turn(acc, F.struct(lon(v).alias("lon")))).alias("turn")),
+        lambda acc: F.abs(acc["turn"]) >= math.pi,
+    )
+    # a ring within half a circle can't, and its extent is cheap
+    return F.when(F.array_max(ring["x"]) - F.array_min(ring["x"]) < 180, F.lit(False)).otherwise(turned)
+
+
 def _ring_area(ring: Column) -> Column:
     """Absolute area of one ring; an unclosed ring is closed from its last vertex, an empty one has none."""
     last = _to_sphere(F.get(ring, F.size(ring) - 1))
     total = F.aggregate(
         F.transform(ring, _to_sphere),
-        F.struct(last["lon"].alias("lon"), last["t"].alias("t"), F.lit(0.0).alias("total"), F.lit(0.0).alias("turn")),
+        F.struct(last["lon"].alias("lon"), last["t"].alias("t"), F.lit(0.0).alias("total")),
         lambda acc, p: F.struct(
-            p["lon"].alias("lon"), p["t"].alias("t"), (acc["total"] + _excess(acc, p)).alias("total"),
-            (acc["turn"] + _turn(acc, p)).alias("turn"),
+            p["lon"].alias("lon"), p["t"].alias("t"), (acc["total"] + _excess(acc, p)).alias("total")
         ),
-        lambda acc: F.when(F.abs(acc["turn"]) < math.pi, acc["total"]).otherwise(
-            F.raise_error(F.lit("a ring around a pole has no area here")).cast("double")),
+        lambda acc: acc["total"],
     )
-    return F.when(F.size(ring) > 0, F.abs(total) * AUTHALIC_RADIUS_SQUARED).otherwise(0.0)
+    pole = F.raise_error(F.lit("a ring around a pole has no area here")).cast("double")
+    return F.when(F.size(ring) == 0, 0.0).when(_full_turn(ring), pole).otherwise(F.abs(total) * AUTHALIC_RADIUS_SQUARED)
 
 
 def _polygon_area(polygon: Column) -> Column:

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landmart.functions.attributes import assemble_address, is_real_account, stake
 from landmart.schemas import OWNER_FILE_SCHEMA
 from landmart.sources.landing import snapshot_of
-from landmart.sources.quoted_records import read_records
+from landmart.sources.quoted_records import read_records, scanned
 
 DIALECT = {
     "sep": ",",
@@ -23,32 +21,21 @@ DIALECT = {
 }
 
 
-def _quotes(line: Column) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit('"')))
-
-
 def read_owner_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Rows of the given files with their snapshot id.
 
-    Every file is read in splits. Files whose quoted text spans lines take the longer way of
-    putting those lines together first; one pass over the text finds out which ones.
+    Every file is read in splits. Files whose quoted text spans lines are cut into records by quotes; one pass over the
+    bytes finds out which ones, and how many quotes lie before each split.
     """
-    quotes = _quotes(F.col("value"))
-    files = (
-        spark.read.text(paths)
-        .groupBy(F.col("_metadata.file_path").alias("path"))
-        .agg(F.max(quotes % 2).alias("spans"), (F.sum(quotes) % 2).alias("unclosed"))
-        .collect()  # one row per file
-    )
-    # file_path is an URL, in which blanks and the like are escaped
-    unclosed = sorted(unquote(f.path) for f in files if f.unclosed)
+    known = scanned(spark, paths)
+    unclosed = sorted(path for path, (_, _, odd) in known.items() if odd)
     if unclosed:
         raise ValueError(f"unterminated quoted text in {unclosed}")
-    plain = sorted(unquote(f.path) for f in files if not f.spans)
-    spanning = sorted(unquote(f.path) for f in files if f.spans)
+    plain = sorted(path for path, (_, spans, _) in known.items() if not spans)
+    spanning = sorted(path for path, (_, spans, _) in known.items() if spans)
     if not spanning:
-        return _read_plain(spark, plain or paths)
-    rows = _read_spanning(spark, spanning)
+        return _read_plain(spark, plain)
+    rows = _parsed(read_records(spark, spanning, known=known))
     return rows.unionByName(_read_plain(spark, plain)) if plain else rows
 
 
@@ -59,9 +46,8 @@ def _read_plain(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reader.csv(paths).withColumn("file_index", snapshot_of(F.col("_metadata.file_path")))
 
 
-def _read_spanning(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Records put together from lines, then parsed in the same dialect."""
-    records = read_records(spark, paths)
+def _parsed(records: DataFrame) -> DataFrame:
+    """Records parsed in the same dialect."""
     row = F.from_csv("value", OWNER_FILE_SCHEMA.simpleString()[len("struct<"):-1].replace(":", " "), DIALECT)
     return records.select(row.alias("row"), snapshot_of(F.col("path")).alias("file_index")).select(
         "row.*", "file_index"

@@ -36,6 +36,8 @@ INDEX_HEADER, INDEX_ENTRY, RECORD_HEADER, POLYGON_HEADER = 100, 8, 8, 44
 
 SPLIT_BYTES = 32 * 1024 * 1024
 BATCH_RECORDS = 2000
+#: Points times edges that are tested at a time.
+CELLS = 1_000_000
 
 _COLUMNS = pa.schema(
     [(name, pa.string()) for name in ("object_id", "parcel_no", "shape_area", "shape_len")]
@@ -184,29 +186,45 @@ def _clockwise(ring: Ring) -> bool:
     return float(x @ np.roll(y, -1) - y @ np.roll(x, -1)) < 0
 
 
-def _inside(point: np.ndarray, ring: Ring) -> bool:
-    """Even-odd rule along the horizontal ray to the right of the point."""
-    (px, py), nxt = point, np.roll(ring, -1, axis=0)
-    crossing = (ring[:, 1] > py) != (nxt[:, 1] > py)
-    a, b = ring[crossing], nxt[crossing]
-    at = a[:, 0] + (py - a[:, 1]) / (b[:, 1] - a[:, 1]) * (b[:, 0] - a[:, 0])
-    return bool(np.count_nonzero(at > px) % 2)
+def _inside(points: np.ndarray, ring: Ring) -> np.ndarray:
+    """Which points lie inside, by the even-odd rule along the horizontal ray to the right. Only edges that reach the
+    points' heights are looked at, some points at a time."""
+    nxt = np.roll(ring, -1, axis=0)
+    low, high = np.minimum(ring[:, 1], nxt[:, 1]), np.maximum(ring[:, 1], nxt[:, 1])
+    near = (low <= points[:, 1].max()) & (high > points[:, 1].min())
+    a, b = ring[near], nxt[near]
+    out = np.zeros(len(points), bool)
+    step = max(1, CELLS // max(1, len(a)))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for i in range(0, len(points), step):
+            px, py = points[i:i + step, 0, None], points[i:i + step, 1, None]
+            crossing = (a[:, 1] > py) != (b[:, 1] > py)
+            at = a[:, 0] + (py - a[:, 1]) / (b[:, 1] - a[:, 1]) * (b[:, 0] - a[:, 0])
+            out[i:i + step] = np.count_nonzero(crossing & (at > px), axis=1) % 2
+    return out
 
 
 def _group_rings(rings: list[Ring]) -> list[Polygon]:
-    """Shells with their holes. A hole goes to the smallest shell around it; a hole outside of
-    every shell becomes a polygon of its own."""
-    shells = [[ring] for ring in rings if _clockwise(ring)]
-    for hole in (ring for ring in rings if not _clockwise(ring)):
-        around = [
-            polygon for polygon in shells
-            if 2 * sum(_inside(vertex, polygon[0]) for vertex in hole) > len(hole)
-        ]
-        if around:
-            min(around, key=lambda polygon: np.ptp(polygon[0], axis=0).prod()).append(hole)
+    """Shells with their holes. A hole goes to the smallest shell around it, that which more than half of its vertices
+    lie inside of; a hole outside of every shell becomes a polygon of its own.
+
+    Such a shell's box holds the middle one of the hole's vertices in each direction, which leaves few shells to try, the
+    smallest first."""
+    clockwise = [_clockwise(ring) for ring in rings]
+    shells = [[ring] for ring, shell in zip(rings, clockwise) if shell]
+    boxes = np.array([(*polygon[0].min(axis=0), *polygon[0].max(axis=0)) for polygon in shells]).reshape(-1, 4)
+    order = np.argsort((boxes[:, 2] - boxes[:, 0]) * (boxes[:, 3] - boxes[:, 1]), kind="stable")
+    left, bottom, right, top = boxes[order].T
+    alone = []
+    for hole in (ring for ring, shell in zip(rings, clockwise) if not shell):
+        x, y = np.sort(hole, axis=0)[len(hole) // 2]
+        around = order[(left <= x) & (x <= right) & (bottom <= y) & (y <= top)]
+        home = next((k for k in around if 2 * np.count_nonzero(_inside(hole, shells[k][0])) > len(hole)), None)
+        if home is None:
+            alone.append([hole])
         else:
-            shells.append([hole])
-    return shells
+            shells[home].append(hole)
+    return shells + alone
 
 
 def register(spark: SparkSession) -> None:

@@ -1,8 +1,12 @@
 """Area against the closed form of latitude/longitude cells, and the WKT reader."""
 
 import math
+import random
 import struct
+import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +15,8 @@ from landmart.functions.geodesic import geodesic_area
 from landmart.functions.geometry import has_vertices, polygons_from_wkt
 from landmart.plans.quality import features_without_geometry
 from landmart.sources.parcel_features import features_from_wkb, features_from_wkt, raw_parcel_rows
-from landmart.sources.wkb import polygons_from_wkb
+from landmart.sources import shapefile
+from landmart.sources.wkb import decode, polygons_from_wkb
 
 
 def cell_area(x0, y0, x1, y1):
@@ -187,3 +192,83 @@ def test_geometry_is_decoded_once(spark):
     for rows, python in ((features_from_wkb(df), 1), (features_from_wkt(df), 0)):
         text = raw_parcel_rows(rows)._jdf.queryExecution().executedPlan().toString()
         assert text.count("ArrowEvalPython") == python and "CollectMetrics" in text
+
+
+def packed_polygon(rings, order, numbers, srid, iso):
+    kind = 3 + ({2: 0, 3: 1000, 4: 3000}[numbers] if iso else 0)
+    if not iso:
+        kind |= {2: 0, 3: 0x80000000, 4: 0xC0000000}[numbers]
+    out = struct.pack(order + "BI", order == "<", kind | (0x20000000 if srid else 0)) + (struct.pack(order + "I", 4326) if srid else b"")
+    out += struct.pack(order + "I", len(rings))
+    for points in rings:
+        out += struct.pack(order + "I", len(points)) + b"".join(struct.pack(order + "d" * numbers, *v, *[9.0] * (numbers - 2)) for v in points)
+    return out
+
+
+def random_geometries(seed, n):
+    """Cells of all make-ups, and what they hold."""
+    rng = random.Random(seed)
+    some = lambda: [[(rng.random(), rng.random()) for _ in range(rng.randrange(6))] for _ in range(rng.randrange(4))]
+    for _ in range(n):
+        order, numbers, iso, chance = rng.choice("<>"), rng.choice([2, 2, 3, 4]), rng.random() < 0.5, rng.random()
+        if chance < 0.1:
+            yield None, None
+        elif chance < 0.5:
+            rings = some()
+            yield packed_polygon(rings, order, numbers, rng.random() < 0.3, iso), [rings] if rings else []
+        else:
+            polygons = [some() for _ in range(rng.randrange(4))]
+            body = b"".join(packed_polygon(p, rng.choice("<>"), numbers, False, iso) for p in polygons)
+            yield struct.pack(order + "BII", order == "<", 6, len(polygons)) + body, polygons
+
+
+def test_wkb_of_all_make_ups_in_one_buffer():
+    cells, want = zip(*random_geometries(1, 1500))
+    plain = lambda a: [g and [[[(v["x"], v["y"]) for v in r] for r in p] for p in g] for g in a.to_pylist()]
+    assert plain(decode(pa.array(cells, pa.binary()))) == list(want)
+    assert plain(decode(pa.array([b"zz", *cells], pa.binary()).slice(1, 300))) == list(want[:300])
+    assert plain(decode(pa.array([], pa.binary()))) == [] and plain(decode(pa.array([None], pa.binary()))) == [None]
+    for bad in (b"", b"\1\1\0\0\0" + bytes(16), struct.pack("<BII", 1, 6, 1) + struct.pack("<BII", 1, 2, 0)):
+        with pytest.raises(ValueError):
+            decode(pa.array([cells[0], bad], pa.binary()))
+
+
+def brute_groups(rings):
+    """Every hole's vertices one by one against every shell."""
+    def inside(point, points):
+        (px, py), after = point, np.roll(points, -1, axis=0)
+        crossing = (points[:, 1] > py) != (after[:, 1] > py)
+        a, b = points[crossing], after[crossing]
+        at = a[:, 0] + (py - a[:, 1]) / (b[:, 1] - a[:, 1]) * (b[:, 0] - a[:, 0])
+        return np.count_nonzero(at > px) % 2
+
+    shells = [[x] for x in rings if shapefile._clockwise(x)]
+    found = list(shells)
+    for hole in (x for x in rings if not shapefile._clockwise(x)):
+        around = [p for p in shells if 2 * sum(inside(v, p[0]) for v in hole) > len(hole)]
+        if around:
+            min(around, key=lambda p: np.ptp(p[0], axis=0).prod()).append(hole)
+        else:
+            found.append([hole])
+    return found
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_rings_are_grouped_as_one_by_one(seed, monkeypatch):
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(shapefile, "CELLS", 7 if seed % 2 else 1_000_000)
+    rings = [
+        np.round(rng.random(2) * 6 + rng.random((rng.integers(3, 9), 2)) * rng.choice([0.5, 2, 6]), rng.integers(0, 4))
+        for _ in range(rng.integers(1, 25))
+    ]
+    got, want = shapefile._group_rings(rings), brute_groups(rings)
+    assert [[x.tolist() for x in p] for p in got] == [[x.tolist() for x in p] for p in want]
+
+
+def test_many_rings_take_seconds():
+    square = lambda x, y, side: np.array([(x, y), (x, y + side), (x + side, y + side), (x + side, y), (x, y)], float)
+    rings = [r for i in range(100) for j in range(50) for r in (square(i * 10, j * 10, 8), square(i * 10 + 2, j * 10 + 2, 3)[::-1])]
+    random.Random(1).shuffle(rings)
+    start = time.perf_counter()
+    groups = shapefile._group_rings(rings)
+    assert len(groups) == 5000 and {len(p) for p in groups} == {2} and time.perf_counter() - start < 10

@@ -327,6 +327,21 @@ def test_only_folders_right_below_the_root(spark, places, tmp_path):
     assert names(spark, "20210525") == ["ANN"]
 
 
+def test_two_levels_are_listed(spark, places):
+    """Nothing below the parcels' folder is listed, and of a folder's files only names are read."""
+    landing, _ = places
+    put_owners(landing, "20210525", owner("ANN"))
+    put_parcels(landing, "20210525", ((1, "P1", 1, 1), [square(-105, 40)]))
+    os.makedirs(f"{landing}/20210525/Parcels/old/deep")
+    for name in ("20210525/Parcels/old/x", "20210525/.hidden", "20210525/_tmp", "20210525/Parcels/.crc", "20210525/notes.txt"):
+        open(f"{landing}/{name}", "w").close()
+    os.makedirs(f"{landing}/20210526")  # empty
+    os.makedirs(f"{landing}/2021052７")  # not an id
+    found = sorted((r.file_index, r.name) for r in jobs.landed_files(spark, landing).collect())
+    assert found == [("20210525", x) for x in ("Owner_Address.csv", "Parcels/Parcels.dbf", "Parcels/Parcels.shp", "Parcels/Parcels.shx", "notes.txt")]
+    assert os.path.samefile(jobs.landed_files(spark, landing).filter("name = 'notes.txt'").first().path.removeprefix("file:"), f"{landing}/20210525/notes.txt")
+
+
 def test_landing_path_with_a_blank(spark, places, tmp_path):
     landing, warehouse = str(tmp_path / "land here"), places[1]
     put_owners(landing, "20210525", owner('"ANN\nB"'))

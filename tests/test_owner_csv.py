@@ -65,7 +65,7 @@ def test_quoted_line_breaks_across_splits(spark, tmp_path, newline, split, monke
     parsed = csv.reader(io.StringIO(newline.join([HEADER, *rows]) + newline, newline=""))
     at = OWNER_FILE_COLUMNS.index
     expected = sorted((r[at("strap")], r[at("owner_name")], r[at("city")]) for r in list(parsed)[1:])
-    monkeypatch.setattr(owner_csv, "read_records", lambda spark, paths: read_records(spark, paths, split))
+    monkeypatch.setattr(quoted_records, "SPLIT_BYTES", split)
     df = read(spark, tmp_path, "20210526", "20210527")
     assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
     got = df.select("strap", "owner_name", "city", "file_index").collect()
@@ -77,23 +77,49 @@ def test_one_pass_over_the_ranges(spark, tmp_path):
     """The plan reads no text but that of the ranges, and matches nothing between scans."""
     put_owners(tmp_path, "20210526", line(owner_name='"A\nB"'), line(owner_name="C"))
     text = read(spark, tmp_path, "20210526")._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan" not in text and "Join" not in text and "Window" not in text and text.count("MapInArrow") == 1
+    assert "FileScan" not in text and "Join" not in text and "Window" not in text and text.count("BatchScan") == 1
 
 
 def test_both_ways_read_a_plain_file_alike(spark, tmp_path):
     put_owners(tmp_path, "20210526", line(strap="R1", city='""'), "", line(strap="R2", owner_name='"a, ""b"""'), newline="\r\n")
     path = [f"{tmp_path}/20210526/Owner_Address.csv"]
     order = lambda df: sorted(map(tuple, df.collect()), key=repr)
-    assert order(owner_csv._read_plain(spark, path)) == order(owner_csv._read_spanning(spark, path))
+    assert order(owner_csv._read_plain(spark, path)) == order(owner_csv._parsed(read_records(spark, path)))
 
 
 def test_record_without_an_end_raises(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(quoted_records, "RECORD_BYTES", 50)
     monkeypatch.setattr(quoted_records, "STEP", 20)
     put_owners(tmp_path, "20210526", line(owner_name='"' + "x\n" * 200 + '"'))
-    row = {"path": f"{tmp_path}/20210526/Owner_Address.csv", "first": 0, "last": 400, "size": 1000, "odd": False}
+    data = (tmp_path / "20210526" / "Owner_Address.csv").read_bytes()
     with pytest.raises(ValueError, match="longer than"):
-        list(quoted_records._records(row))
+        list(quoted_records.records_in(lambda n, at: data[at:at + n], 0, 400, len(data), False, "file"))
+
+
+def test_sums_of_ranges_tell_what_the_whole_tells(monkeypatch):
+    """Parity before each range, spanning lines and open quotes, against the text as a whole, for any cut."""
+    rng = random.Random(11)
+    for _ in range(2000):
+        data = "".join(rng.choices(['"', "\n", "a", "é"], [2, 2, 3, 1], k=rng.randrange(0, 30))).encode()
+        step = rng.choice([1, 2, 3, 5, 100])
+        monkeypatch.setattr(quoted_records, "STEP", rng.choice([1, 2, 4, 50]))
+        read = lambda n, at: data[at:at + n]  # noqa: B023,E731
+        cuts = range(0, len(data), step)
+        before, spans, odd = quoted_records.parities(quoted_records.summed(read, a, min(a + step, len(data))) for a in cuts)
+        assert before == [data[:a].count(b'"') % 2 == 1 for a in cuts]
+        assert spans == any(x.count(b'"') % 2 for x in data.split(b"\n")) and odd == (data.count(b'"') % 2 == 1)
+
+
+def test_one_range_per_task_and_two_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quoted_records, "SPLIT_BYTES", 64)
+    put_owners(tmp_path, "20210526", *[line(strap=f"R{i}", owner_name='"A\nB"') for i in range(40)])
+    path = f"{tmp_path}/20210526/Owner_Address.csv"
+    size = (tmp_path / "20210526" / "Owner_Address.csv").stat().st_size
+    assert read_records(spark, [path]).rdd.getNumPartitions() == -(-size // 64)
+    opened = []
+    monkeypatch.setattr(quoted_records, "scanned", lambda *a, f=quoted_records.scanned: opened.append(a) or f(*a))
+    monkeypatch.setattr(owner_csv, "scanned", quoted_records.scanned)
+    assert read(spark, tmp_path, "20210526").count() == 40 and len(opened) == 1
 
 
 def test_raw_rows(spark, tmp_path):
