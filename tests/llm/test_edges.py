@@ -21,6 +21,7 @@ DIGESTS = {
     "quality_rules": quality_rules.digest,
     "toxicity": lambda docs: toxicity.digest(docs, labels(docs.sparkSession)),
     "secret_scan": secret_scan.digest,
+    "secret_classes": secret_scan.classes,
     "source_mix": source_mix.digest,
     "language_id": language_id.digest,
     "token_counts": lambda docs: token_counts.digest(docs, PATH, PATTERN),
