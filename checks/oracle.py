@@ -296,6 +296,35 @@ SELECT parcel_id, CAST(1 + CAST(island AS INT) AS INT) AS polygons,
   CAST(5 * x + 8 + CASE WHEN hole THEN 5 * (x + 1) + 4 ELSE 0 END + CASE WHEN island THEN 5 * x + 4 ELSE 0 END AS DOUBLE) AS sum_x,
   CAST(5 * y + 8 + CASE WHEN hole THEN 5 * (y + 1) + 4 ELSE 0 END + CASE WHEN island THEN 5 * (y + 50) + 4 ELSE 0 END AS DOUBLE) AS sum_y
 FROM shapes""",
+    "dq_profile": f"""{RAW},
+profile AS (
+  SELECT coalesce(f.file_index, o.file_index) AS file_index, coalesce(n, 0) AS n, coalesce(lost, 0) AS lost,
+    coalesce(owner_rows, 0) AS owner_rows, coalesce(types, 0) AS types, total
+  FROM (SELECT file_index, parcel_id, count(*) AS n, count(*) FILTER (area_m2 % 7 = 0) AS lost FROM parcels GROUP BY ALL) f
+  FULL JOIN (
+    SELECT file_index, parcel_id, count(*) AS owner_rows, count(DISTINCT account_type) FILTER (is_real_property) AS types
+    FROM owners GROUP BY ALL) o USING (file_index, parcel_id)
+  LEFT JOIN (
+    SELECT file_index, parcel_id, 10 * sum(pct_own) AS total
+    FROM (SELECT DISTINCT file_index, parcel_id, owner_name, pct_own FROM owners WHERE is_real_property) GROUP BY ALL
+  ) s USING (file_index, parcel_id))
+SELECT file_index, report, count(*) AS parcels FROM (
+  SELECT file_index, unnest([CASE WHEN n > 1 THEN 'multi_feature' END, CASE WHEN lost > 0 THEN 'no_geometry' END,
+    CASE WHEN owner_rows > 0 AND n = 0 THEN 'unknown' END, CASE WHEN owner_rows = 0 THEN 'unowned' END,
+    CASE WHEN total > 1 THEN 'overallocated' END, CASE WHEN types > 1 THEN 'multi_type' END]) AS report FROM profile)
+WHERE report IS NOT NULL GROUP BY ALL""",
+    "landed_owner_rows": """
+SELECT DISTINCT l_returnflag || '-' || l_linenumber AS account_id, CAST(l_partkey AS VARCHAR) AS parcel_id,
+  CAST(NULL AS VARCHAR) AS lot, l_returnflag = 'R' AS is_real_property, l_linestatus AS status_cd,
+  p_size || ' ' || CASE WHEN p_type = 'PROMO' THEN p_brand || ' ' ELSE '' END || p_name || ' '
+    || CASE WHEN p_type <> 'SMALL' THEN p_type ELSE '' END AS address,
+  CAST(NULL AS VARCHAR) AS address_unit, '' AS city, s_name || chr(10) || '"' || l_linestatus || '", heir' AS owner_name,
+  CAST(CAST(l_discount AS DECIMAL(10,3)) AS DOUBLE) AS pct_own,
+  CASE p_type WHEN 'ECONOMY' THEN 'RESIDENTIAL' WHEN 'SMALL' THEN 'APARTMENT' WHEN 'MEDIUM' THEN 'MIXED USE'
+    WHEN 'PROMO' THEN 'COMMERCIAL' WHEN 'LARGE' THEN 'NATURAL RESRC' WHEN 'STANDARD' THEN 'EXEMPT' END
+    AS account_type,
+  strftime(date_trunc('year', l_shipdate), '%Y%m%d') AS file_index
+FROM lineitem INNER JOIN supplier ON s_suppkey = l_suppkey INNER JOIN part ON p_partkey = l_partkey""",
     "dq_overallocated": f"""{RAW}
 SELECT file_index, parcel_id, {_dbl('10 * sum(pct_own)')} AS total_stake
 FROM (SELECT DISTINCT file_index, parcel_id, owner_name, pct_own FROM owners WHERE is_real_property)
@@ -307,5 +336,10 @@ WHERE is_real_property GROUP BY ALL HAVING count(DISTINCT account_type) > 1""",
 }
 
 
+# a mart rebuilt step by step is the mart of all snapshots
+ORACLE["owner_mart_after_replacement"] = ORACLE["owner_daily_summary"]
+ORACLE["type_mart_after_replacement"] = ORACLE["land_type_daily_summary"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import bindings as b
+from checks import loads
 from landmart.constants import COMMERCIAL_TYPES, RESIDENTIAL_TYPES
 from landmart.functions.attributes import assemble_address, in_types, is_real_account, report_date, stake
 from landmart.functions.geodesic import geodesic_area
@@ -280,6 +281,10 @@ QUERIES: dict[str, Query] = {
     "dq_unowned_parcel": lambda s, d: quality.unowned_parcels(b.owners(s, d), _drawn(s, d)),
     "dq_overallocated": lambda s, d: comparable(quality.overallocated_parcels(b.tenfold_owners(s, d))),
     "dq_multi_type": lambda s, d: quality.multi_type_parcels(b.owners_by_brand(s, d)),
+    "dq_profile": lambda s, d: loads.parcel_profile(s, d),
+    "owner_mart_after_replacement": lambda s, d: comparable(loads.marts_after_replacement(s, d, "marts.owner_daily_summary")),
+    "type_mart_after_replacement": lambda s, d: comparable(loads.marts_after_replacement(s, d, "marts.land_type_daily_summary")),
+    "landed_owner_rows": lambda s, d: comparable(loads.landed_owner_rows(s, d)),
 }
 
 

@@ -23,20 +23,15 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landmart.schemas import (
-    EXACT_AREA, LAND_TYPE_DAILY_SUMMARY, LAND_TYPE_LAST, OWNER_DAILY_SUMMARY, OWNER_LAST, PARCEL_AREAS, RAW_OWNERS, RAW_PARCELS, conform,
-)
+from landmart.schemas import EXACT_AREA, TABLES_BY_NAME, conform
 from landmart.sources.landing import qualified
 
-RAW_TABLES = {"raw.owners": RAW_OWNERS, "raw.parcels": RAW_PARCELS, "raw.parcel_areas": PARCEL_AREAS}
-MART_TABLES = {
-    "marts.owner_daily_summary": OWNER_DAILY_SUMMARY,
-    "marts.land_type_daily_summary": LAND_TYPE_DAILY_SUMMARY,
-}
+RAW_TABLES = {name: layout for name, layout in TABLES_BY_NAME.items() if name.startswith("raw.")}
+MART_TABLES = {name: layout for name, layout in TABLES_BY_NAME.items() if name.endswith("_summary")}
 #: The last row of each owner and type, from which a build goes on.
-STATE_TABLES = {"marts.owner_last": OWNER_LAST, "marts.land_type_last": LAND_TYPE_LAST}
+STATE_TABLES = {name: layout for name, layout in TABLES_BY_NAME.items() if name.endswith("_last")}
 #: What is read by the tables' names; the marts' files have one column more.
-TABLES = RAW_TABLES | MART_TABLES | STATE_TABLES
+TABLES = TABLES_BY_NAME
 WRITTEN = TABLES | {name: T.StructType([*layout.fields, EXACT_AREA]) for name, layout in MART_TABLES.items()}
 KEYS = dict.fromkeys(RAW_TABLES, "file_index") | dict.fromkeys(MART_TABLES, "report_date") | dict.fromkeys(STATE_TABLES, "part")
 IN_USE = "raw.versions_in_use"

@@ -113,6 +113,12 @@ LAND_TYPE_LAST = _layout(
     ("part", T.StringType()),
 )
 
+TABLES_BY_NAME = {
+    "raw.owners": RAW_OWNERS, "raw.parcels": RAW_PARCELS, "raw.parcel_areas": PARCEL_AREAS,
+    "marts.owner_daily_summary": OWNER_DAILY_SUMMARY, "marts.land_type_daily_summary": LAND_TYPE_DAILY_SUMMARY,
+    "marts.owner_last": OWNER_LAST, "marts.land_type_last": LAND_TYPE_LAST,
+}
+
 
 def conform(df: DataFrame, layout: T.StructType) -> DataFrame:
     """Project to the layout's columns, order and types; overflow raises under ANSI."""
