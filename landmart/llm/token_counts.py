@@ -1,10 +1,12 @@
 """Edit-aware token counting with a segment tree of pre-tokens per document.
 
-A document's leaves are runs of ``LEAF`` pre-tokens with their characters and tokens; inner nodes are sums.
-An edit replaces the characters from ``start`` to ``stop`` (of the text before all edits) by ``new``. Per
-group of touched leaves the text is split anew from a few characters before the edit, until a new pre-token
+A document's leaves are runs of about ``LEAF`` pre-tokens with their characters and tokens; inner nodes are sums.
+An edit replaces the characters from ``start`` to ``stop`` (of the text before all edits) by ``new``. Its leaf is
+found from the root. The text is split anew from a few characters before the edit, until a new pre-token
 begins where an untouched leaf begins: from there on the split depends on later text only, so it is the old
-one. Only that region is encoded again; sums are renewed on the paths above it.
+one. Only that region is encoded again. Its pre-tokens are dealt to the leaves that it had, and sums are renewed on
+the paths above these, so an edit costs the leaves it touches and the height of the tree. Only an edit that brings in more
+than ``LEAF`` pre-tokens and as many again per touched leaf builds a wider tree.
 
 Null text is an empty text, null edits are no edits. Edits are clipped to the text and used in the order of
 their start; one that overlaps an earlier one is left out. A null ``new`` deletes. Repeated rows
@@ -69,15 +71,17 @@ class Tree:
     def leaves(self) -> list[tuple[int, int]]:
         return list(zip(self.chars, self.tokens))[self.width:self.width + self.n]
 
-    def replaced(self, first: int, last: int, new: list[tuple[int, int]]) -> Tree:
-        """Leaves from ``first`` up to ``last`` (exclusive) replaced; in place if their number stays."""
-        if len(new) != last - first:
+    def replaced(self, first: int, last: int, pieces: list[str], bpe: Encoder) -> Tree:
+        """The pieces in place of what the leaves from ``first`` up to ``last`` (exclusive) held."""
+        count = last - first
+        if len(pieces) > 2 * LEAF * max(count, 1) or not count:
             old = self.leaves()
-            return Tree(old[:first] + new + old[last:])
-        for i, (c, t) in enumerate(new, first + self.width):
+            return Tree(old[:first] + leaves_of(pieces, bpe) + old[last:])
+        new = leaves_of(pieces, bpe, max(1, -(-len(pieces) // count)))
+        for i, (c, t) in enumerate(new + [(0, 0)] * (count - len(new)), first + self.width):
             self.chars[i], self.tokens[i] = c, t
         low, high = first + self.width, last - 1 + self.width
-        while low > 1 and new:
+        while low > 1:
             low, high = low // 2, high // 2
             for k in range(low, high + 1):
                 self.add_up(k)
@@ -102,20 +106,19 @@ def apply_edits(text: str, tree: Tree, edits: list[tuple[int, int, str]], bpe: E
         text = text[:start] + new + text[stop:]
         shift = len(new) - (stop - start)
         first, begin = tree.leaf_at(max(0, start - MARGIN))
-        bounds, at = [], begin
-        for k in range(first, tree.n):
-            bounds.append(at)
-            at += tree.chars[tree.width + k]
-        bounds.append(at)  # where leaves from `first` on began before this edit
         pieces, last = [], tree.n
-        known = {b + shift: first + i for i, b in enumerate(bounds) if b >= stop and i}
+        following, at = first, begin  # a leaf and where it began before this edit
         for m in bpe.pattern.finditer(text, begin):
-            if m.start() in known and m.start() >= start + len(new):
-                last = known[m.start()]
+            here = m.start()
+            while following < tree.n and (following == first or at < stop or at + shift < here):
+                at += tree.chars[tree.width + following]
+                following += 1
+            if following < tree.n and at + shift == here and here >= start + len(new):
+                last = following
                 break
             pieces.append(m.group())
         again += sum(map(len, pieces))
-        tree = tree.replaced(first, last, leaves_of(pieces, bpe))
+        tree = tree.replaced(first, last, pieces, bpe)
     return text, tree, again
 
 

@@ -380,6 +380,23 @@ def test_edits():
         assert got == want and tree.tokens[1] == len(bpe.encode(want)) and tree.chars[1] == len(want)
 
 
+def test_an_edit_touches_one_path(monkeypatch):
+    """In 100,000 leaves: the sums above the touched leaves are renewed, and no other is read or built."""
+    bpe = byte_bpe.encoder(byte_bpe.read_ranks(PATH), PATTERN)
+    text = ("ab cd " * 1_600_000)[:-1]  # pieces of three characters, but for the first
+    size = token_counts.LEAF * 3
+    tree = token_counts.Tree([(size - 1, 40)] + [(size, 40)] * 99_999)
+    assert tree.chars[1] == len(text)
+    tree.tokens[1] = -1
+    renewed = []
+    add_up = token_counts.Tree.add_up
+    monkeypatch.setattr(token_counts.Tree, "add_up", lambda self, k: renewed.append(k) or add_up(self, k))
+    monkeypatch.setattr(token_counts.Tree, "leaves", lambda self: pytest.fail("all leaves are read"))
+    edits = [(3_000_000, 3_000_004, "new words here"), (6_000_000, 6_000_001, ""), (9_599_990, 9_599_999, "")]
+    got, tree, again = token_counts.apply_edits(text, tree, edits, bpe)
+    assert len(got) == len(text) and tree.chars[1] == len(got) and again < 1500 and len(renewed) < 3 * 6 * 20
+
+
 def test_edits_touch_little(spark):
     rng, want = random.Random(4), reference_encoding()
     rows = [(i, prose(rng, 3000)) for i in range(5)]
