@@ -141,6 +141,30 @@ def test_top_k(spark, monkeypatch):
     assert len(got) == 35
 
 
+@pytest.mark.parametrize("pack", [2, 1024])
+def test_shards_that_cannot_reach_are_not_sent(spark, monkeypatch, pack):
+    """Clusters in twelve directions: a block meets the shards of its own, not all; the result is exact."""
+    for name, value in (("SHARD", 60), ("BLOCK", 10), ("LEAF", 16), ("PACK", pack)):
+        monkeypatch.setattr(top_k, name, value)
+    rng = np.random.default_rng(6)
+    middle = rng.normal(0, 1, (12, 16))
+    v = (middle[np.arange(1200) % 12] * 4 + rng.normal(0, 0.05, (1200, 16))).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    sent, search = [], top_k.searched
+    monkeypatch.setattr(top_k, "searched", lambda pairs, k: sent.append(pairs.select("block", "shard").collect()) or search(pairs, k))
+    got = defaultdict(list)
+    for r in top_k.digest(df.repartition(3)).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    q = np.floor(64 * v.astype(np.float64)).astype(np.int64)
+    for i in range(0, 1200, 20):
+        score = q @ q[i]
+        assert got[i] == [(x, score[x]) for x in sorted((x for x in range(1200) if x != i), key=lambda x: (-score[x], x))[:20]]
+    pairs = [tuple(r) for x in sent for r in x]
+    assert len(pairs) == len(set(pairs)) and len(sent) > 1
+    blocks, shards = len({b for b, _ in pairs}), max(s for _, s in pairs) + 1
+    assert shards >= 12 and len(pairs) < blocks * shards / 2
+
+
 def test_large_components_are_exact():
     q = np.array([[2**40, 3], [1, -(2**50)]])
     v = np.array([[2**13, 5], [7, 2**12]])
