@@ -71,7 +71,7 @@ def create_tables(spark: SparkSession, warehouse: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     used = in_use(_log(spark, warehouse))
     shown = {tuple(r) for r in spark.table(IN_USE).collect()} if spark.catalog.tableExists(IN_USE) else None
-    if shown != {(name, part, version) for name, parts in used.items() for part, version in parts.items()}:
+    if shown != {(name, part, version) for name in TABLES for part, version in used.get(name, {}).items()}:
         for name in TABLES:
             _add_partitions(spark, name, used.get(name, {}))
         _show(spark, used)
@@ -214,11 +214,15 @@ def _add_partitions(spark: SparkSession, name: str, parts: dict[str, str]) -> No
 
 
 def _show(spark: SparkSession, used: dict[str, dict[str, str]]) -> None:
-    """Replace the view of the versions in use."""
-    rows = [{"name": name, "part": part, "version": v} for name, parts in used.items() for part, v in parts.items()]
+    """Replace the view of the versions in use. Its text has each version once, with its keys."""
+    grouped: dict[tuple[str, str], list[str]] = {}
+    for name in TABLES:
+        for part, version in used.get(name, {}).items():
+            grouped.setdefault((name, version), []).append(part)
+    rows = [{"name": name, "version": version, "parts": parts} for (name, version), parts in grouped.items()]
     spark.sql(
-        f"CREATE OR REPLACE VIEW {IN_USE} AS SELECT inline(from_json({_quoted(json.dumps(rows))}, "
-        "'array<struct<name:string,part:string,version:string>>'))")
+        f"CREATE OR REPLACE VIEW {IN_USE} AS SELECT name, part, version FROM (SELECT inline(from_json({_quoted(json.dumps(rows))}, "
+        "'array<struct<name:string,version:string,parts:array<string>>>'))) LATERAL VIEW explode(parts) AS part")
 
 
 def clear_unused(spark: SparkSession) -> None:
