@@ -172,7 +172,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon | None:
             F.substring("entry", 1, SHORT).isin(sorted({w[:SHORT] for w in weights}))).select("entry").collect()
     finally:
         counts.unpersist()
-    spared = {r["entry"][:-1] for r in harmless if any(r["entry"].startswith(w) for w in weights)}
+    spared = {w for w in (r["entry"][:-1] for r in harmless) if any(w[:n] in weights for n in range(SHORT, LONG + 1))}
     return Lexicon(weights, tuple(sorted((spared | set(PHRASES)) - set(weights))))
 
 
