@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 
 from landmart.llm.common import documents
 
-PIECES_KEPT = 300_000
-PAIRS_KEPT = 200_000
+PIECES_KEPT = 120_000
+PAIRS_KEPT = 100_000
 #: Token ids held as Python lists before they leave a task.
 IDS_HELD = 500_000
 NEVER = 1 << 60
