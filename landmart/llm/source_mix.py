@@ -29,7 +29,7 @@ MAX_EPOCHS = 3
 BAND_DOCS = 2000
 BLOCK = 1024
 #: Steps in which a source's weights are counted.
-WEIGHT_STEPS = 64
+WEIGHT_STEPS = 16
 SEED = "mix-1"
 #: 52 bits of the digest become u.
 SCALE = 2**52
