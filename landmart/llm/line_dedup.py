@@ -133,7 +133,8 @@ def kept_lines(docs: DataFrame, runs: LineRuns, min_docs: int = MIN_DOCS, found:
     text = lines(F.col("row.text").cast("string"))
     stays = F.when(F.col("lost").isNull(), text).otherwise(F.filter(
         text, lambda x: (F.length(F.trim(x, F.lit(BLANKS))) < MIN_CHARS) | ~F.array_contains(F.col("lost"), key_hash(line_key(x)))))
-    return whole.join(lost, "_id", "left").withColumn("stays", stays).select(
+    # the same join at every size: `lost` grows with the documents, so a broadcast of a small one would say nothing of a large one
+    return whole.join(lost.hint("merge"), "_id", "left").withColumn("stays", stays).select(
         "row",
         F.size(text).cast("long").alias("n_lines"),
         (F.size(text) - F.size("stays")).cast("long").alias("n_dropped"),
