@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from landmart.llm.common import documents
 
-PIECES_KEPT = 120_000
+PIECES_KEPT = 200_000
 PAIRS_KEPT = 100_000
 #: Token ids held as Python lists before they leave a task.
 IDS_HELD = 500_000
