@@ -78,7 +78,7 @@ def build(ids: np.ndarray, v: np.ndarray) -> Shard:
     low, high, left, center, radius = [0], [len(ids)], [0], [], []
     k = 0
     while k < len(low):
-        part = order[low[k]:high[k]]
+        part = order[low[k]:high[k]].copy()  # the halves are written over it
         here = points[part]
         middle = here.mean(0)
         far = np.sqrt(((here - middle) ** 2).sum(1))

@@ -165,6 +165,23 @@ def test_shards_that_cannot_reach_are_not_sent(spark, monkeypatch, pack):
     assert shards >= 12 and len(pairs) < blocks * shards / 2
 
 
+def test_split_balls_keep_every_row(spark):
+    """More rows than a leaf holds: the tree's leaves have each row once, and each ball its rows."""
+    rng = np.random.default_rng(8)
+    v = np.floor(64 * rng.normal(0, 0.2, (1700, 8))).astype(np.int64)
+    tree = top_k.build(np.arange(1700), v)
+    assert len(tree.low) > 3 and sorted(tree.ids) == list(range(1700)) and (tree.rows == v[tree.ids]).all()
+    for low, high, center, radius in zip(tree.low, tree.high, tree.center, tree.radius):
+        assert np.sqrt(((tree.rows[low:high] - center) ** 2).sum(1)).max() <= radius + 1e-6
+    df = spark.createDataFrame([(i, [float(y) / 64 for y in x]) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = defaultdict(list)
+    for r in top_k.digest(df).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    for i in range(0, 1700, 20):
+        score = v @ v[i]
+        assert got[i] == [(x, score[x]) for x in sorted((x for x in range(1700) if x != i), key=lambda x: (-score[x], x))[:20]]
+
+
 def test_large_components_are_exact():
     q = np.array([[2**40, 3], [1, -(2**50)]])
     v = np.array([[2**13, 5], [7, 2**12]])
