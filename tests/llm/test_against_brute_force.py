@@ -191,6 +191,13 @@ def test_large_components_are_exact():
 # --- quality rules, lines, secrets
 
 
+def test_stop_words_are_looked_up_in_a_set(spark):
+    docs = table(spark, [(1, "The cat, and THE dog... für, thethe und. nothing"), (2, None)])
+    plan = quality_rules.judged(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains" not in plan and "INSET" in plan
+    assert {r["doc_id"]: r["n_stop_words"] for r in quality_rules.judged(docs).collect()} == {1: 5, 2: 0}
+
+
 def test_quality_counts(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(["a", "b", "cc", "#d", "é\n", "\n x"]) for _ in range(rng.randrange(60)))) for i in range(120)]
