@@ -93,37 +93,50 @@ def parcel_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parcel_wkb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part as WKB in whole degrees: a square, with a hole for even sizes and a second square for sizes by 5. Parts of
     type MEDIUM have their big end first."""
-    parts = table(spark, sf_dir, "part")
-    big = F.col("p_type") == "MEDIUM"
+    # every number is made once, step by step in columns of its own
+    corners = {"x": (0, 4, 1, 3, 2), "y": (0, 4, 1, 3, 50, 52)}
+    names = {f"{axis}{d}": F.col(axis) + d for axis, ds in corners.items() for d in ds}
+    wholes = {"n1": 1, "n2": 2, "n3": 3, "n5": 5, "n6": 6}
+    big = F.col("big")
 
     def ordered(digits: Column, size: int) -> Column:
         little = F.concat(*[F.substring(digits, 2 * k + 1, 2) for k in reversed(range(size))])
         return F.when(big, digits).otherwise(little)
 
-    def whole(n: Column) -> Column:
-        return ordered(F.lpad(F.hex(n), 8, "0"), 4)
+    def exponent(n: Column) -> Column:
+        return F.length(F.bin(n.cast("long"))) - 1
 
-    def real(n: Column) -> Column:
+    def digits(name: str) -> Column:
         """A whole number from 0 on as a double: exponent, then the digits after the first one."""
-        n = n.cast("long")
-        exponent = F.length(F.bin(n)) - 1
-        first = F.call_function("shiftleft", F.lit(1).cast("long"), exponent)
-        bits = F.shiftleft((exponent + 1023).cast("long"), 52) + F.call_function("shiftleft", n - first, 52 - exponent)
-        return ordered(F.when(n == 0, "0" * 16).otherwise(F.lpad(F.hex(bits), 16, "0")), 8)
-
-    def ring(x: Column, y: Column, side: int) -> Column:
-        corners = ((0, 0), (side, 0), (side, side), (0, side), (0, 0))
-        return F.concat(whole(F.lit(5)), *[real(v) for dx, dy in corners for v in (x + dx, y + dy)])
-
-    def head(kind: int, parts: Column) -> Column:
-        return F.concat(F.when(big, "00").otherwise("01"), whole(F.lit(kind)), whole(parts))
-
-    x, y, one = F.col("p_partkey") % 100, F.col("p_size"), F.lit(1)
-    hole = F.when(y % 2 == 0, ring(x + 1, y + 1, 2)).otherwise("")
-    square = F.concat(head(3, F.when(y % 2 == 0, 2).otherwise(1)), ring(x, y, 4), hole)
-    both = F.concat(head(6, one * 2), square, head(3, one), ring(x, y + 50, 2))
-    return parts.select(
-        F.col("p_partkey").cast("string").alias("parcel_id"), F.unhex(F.when(y % 5 == 0, both).otherwise(square)).alias("wkb"))
+        n, e = F.col(name).cast("long"), F.col(f"{name}_e")
+        first = F.call_function("shiftleft", F.lit(1).cast("long"), e)
+        bits = F.shiftleft((e + 1023).cast("long"), 52) + F.call_function("shiftleft", n - first, 52 - e)
+        return F.when(n == 0, "0" * 16).otherwise(F.lpad(F.hex(bits), 16, "0"))
+
+    kept = ["p_partkey", "big", "x", "y"]
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey", (F.col("p_type") == "MEDIUM").alias("big"), (F.col("p_partkey") % 100).alias("x"), F.col("p_size").alias("y"))
+    parts = parts.select(*kept, *[v.alias(k) for k, v in names.items()])
+    parts = parts.select(*kept, *names, *[exponent(F.col(k)).alias(f"{k}_e") for k in names])
+    parts = parts.select(*kept, *[digits(k).alias(k) for k in names])
+    parts = parts.select(*kept, *[ordered(F.col(k), 8).alias(k) for k in names], *[
+        ordered(F.lit(f"{n:08X}"), 4).alias(k) for k, n in wholes.items()])
+
+    def ring(dx: int, dy: int, side: int) -> list[Column]:
+        square = ((0, 0), (side, 0), (side, side), (0, side), (0, 0))
+        return [F.col("n5")] + [F.col(c) for a, b in square for c in (f"x{dx + a}", f"y{dy + b}")]
+
+    def head(kind: str, count: Column) -> list[Column]:
+        return [F.when(big, "00").otherwise("01"), F.col(kind), count]
+
+    y = F.col("y")
+    hole = F.when(y % 2 == 0, F.concat(*ring(1, 1, 2))).otherwise("")
+    square = [*head("n3", F.when(y % 2 == 0, F.col("n2")).otherwise(F.col("n1"))), *ring(0, 0, 4), hole]
+    island = [*head("n3", F.col("n1")), *ring(0, 50, 2)]
+    many = y % 5 == 0
+    start = F.when(many, F.concat(*head("n6", F.col("n2")))).otherwise("")
+    rest = F.when(many, F.concat(*island)).otherwise("")
+    return parts.select(F.col("p_partkey").cast("string").alias("parcel_id"), F.unhex(F.concat(start, *square, rest)).alias("wkb"))
 
 
 def tenfold_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
