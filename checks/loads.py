@@ -18,6 +18,9 @@ from landmart.plans.tables import create_tables, drop_tables, location, versions
 from landmart.schemas import OWNER_FILE_COLUMNS, RAW_OWNERS, TABLES_BY_NAME
 from landmart.sources.owner_csv import DIALECT
 
+#: Rows of a landed file, about: a file is written by one task.
+FILE_ROWS = 1_000_000
+
 
 def _folder(spark: SparkSession, name: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="landmart-checks-")
@@ -61,13 +64,20 @@ def marts_after_replacement(spark: SparkSession, d: str, name: str) -> DataFrame
 
 def landed_owner_rows(spark: SparkSession, d: str) -> DataFrame:
     """Ownership files of every year, landed, found, read and loaded: quoted names with line breaks, so that the files are
-    cut into records by quotes."""
+    cut into records by quotes. A year of more than about ``FILE_ROWS`` rows lands as several snapshots, one a day from its first
+    day on, and counts as one again in the result. Rows that a load would collapse share a file."""
     landing, warehouse = _folder(spark, "landing"), _folder(spark, "warehouse")
     staged = b.staged_owner_file(spark, d).withColumn("created_date", F.col("created_date").cast("date").cast("string"))
     staged = staged.withColumn("owner_name", F.concat("owner_name", F.lit('\n"'), F.col("status_cd"), F.lit('", heir')))
-    year = F.concat(F.substring("file_index", 1, 4), F.lit("0101"))
+    staged = staged.withColumn("year", F.substring("file_index", 1, 4))
+    files = staged.groupBy("year").agg(F.least(F.lit(365), F.ceil(F.count(F.lit(1)) / FILE_ROWS)).alias("files"))
+    # as written: a cell's outer blanks go
+    alike = F.xxhash64("folio", "pct_own", F.regexp_replace("owner_name", "[\\x00-\\x20]+", ""))
+    first = F.to_date(F.concat("year", F.lit("0101")), "yyyyMMdd")
+    day = F.date_format(F.date_add(first, F.pmod(alike, F.col("files")).cast("int")), "yyyyMMdd")
+    staged = staged.join(files, "year")  # one row per year
     columns = [(F.col(x) if x in staged.columns else F.lit(None).cast("string")).alias(x) for x in OWNER_FILE_COLUMNS]
-    rows = staged.select(*columns, year.alias("day")).repartition("day")
+    rows = staged.select(*columns, day.alias("day")).repartition("day")
     options = {k: v for k, v in DIALECT.items() if k != "nullValue"} | {"emptyValue": '""'}
     rows.write.partitionBy("day").options(header=True, nullValue="", **options).csv(f"{landing}/parts")
     fs = spark._jvm.org.apache.hadoop.fs
@@ -80,7 +90,8 @@ def landed_owner_rows(spark: SparkSession, d: str) -> DataFrame:
     jobs.run(spark, landing, warehouse, "all")
     again = jobs.run(spark, landing, warehouse, "latest", overwrite=True)  # the newest one is replaced by itself
     assert len(again.owners_loaded) == 1
-    found = _kept(spark, "raw.owners").drop("created_at")
+    found = _kept(spark, "raw.owners").drop("created_at").withColumn(
+        "file_index", F.concat(F.substring("file_index", 1, 4), F.lit("0101")))
     drop_tables(spark)
     return found
 
