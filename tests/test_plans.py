@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks import bindings, registry
 from landmart.plans import analyst, marts
 from landmart.plans.tables import commit, create_tables, write_snapshots, write_version
+from landmart.session import configure
 from tests.test_load_jobs import places  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -153,3 +154,16 @@ def test_rebuild_reads_stored_areas(spark, places):  # noqa: F811
     for build in (marts.owner_daily_summary, marts.land_type_daily_summary):
         scans = {re.search(r"raw\.(\w+)_versions", line)[1] for line in plan(build(*tables)).splitlines() if "FileScan" in line}
         assert scans == {"owners", "parcel_areas"}
+
+
+def test_tasks_are_small_unless_the_session_says_otherwise(spark):
+    keys = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+    before = [spark.conf.get(key, None) for key in keys]
+    try:
+        for given, found in ((None, ["16m", "32m"]), ("5m", ["5m", "5m"])):
+            for key in keys:
+                spark.conf.unset(key) if given is None else spark.conf.set(key, given)
+            assert [configure(spark).conf.get(key) for key in keys] == found
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
