@@ -44,12 +44,16 @@ def marts_after_replacement(spark: SparkSession, d: str, name: str) -> DataFrame
     owners = b.owners(spark, d).withColumns({x: F.lit(None) for x in missing})
     areas = parcel_area(b.parcels(spark, d))
     year = F.substring("file_index", 1, 4)
-    wrong = owners.withColumn("pct_own", F.col("pct_own") / 2).withColumn("owner_name", F.concat("owner_name", F.lit("?")))
+    is_wrong = year == "1995"
+    some_wrong = owners.withColumns({
+        "pct_own": F.when(is_wrong, F.col("pct_own") / 2).otherwise(F.col("pct_own")),
+        "owner_name": F.concat("owner_name", F.when(is_wrong, "?").otherwise("")),
+    })
 
     def load(rows: DataFrame, table: str, replaced: list[str] = []) -> None:  # noqa: B006
         write_snapshots(rows, table, replaced, mixed=True)
 
-    load(owners.filter(~year.isin("1995", "1998")).unionByName(wrong.filter(year == "1995")), "raw.owners")
+    load(some_wrong.filter(year != "1998"), "raw.owners")
     load(areas, "raw.parcel_areas")
     jobs.rebuild(spark)
     load(owners.filter(year == "1995"), "raw.owners")

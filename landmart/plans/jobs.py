@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from landmart.constants import OWNER_FILE, PARCEL_FILE
+from landmart.constants import OWNER_FILE, PARCEL_FILE, SNAPSHOT_FORMAT
 from landmart.operators.areas import parcel_area
 from landmart.operators.snapshots import parse_snapshot_date, pending_snapshots, select_snapshots
 from landmart.plans import marts
@@ -155,16 +155,22 @@ def rows_before(spark: SparkSession, name: str, first: str) -> DataFrame | None:
     return _last_rows(earlier.select(mart.key, "report_date", mart.count, "exact_m2"), mart)
 
 
-def days_from(spark: SparkSession, name: str, first: str, before: DataFrame | None) -> DataFrame:
-    """A mart's rows from a snapshot on, from the raw snapshots from there on and the last rows before."""
+def days_from(
+    spark: SparkSession, name: str, first: str, before: DataFrame | None, same: list[str] = [],  # noqa: B006
+) -> DataFrame:
+    """A mart's rows from a snapshot on, from the raw snapshots from there on and the last rows before. A day goes by its
+    own snapshot but for the change, so those of the ``same`` snapshots, which the mart was built from, are taken from it."""
     owners, parcels, areas = (
-        spark.table(f"raw.{x}").filter(F.col("file_index") >= first) for x in ("owners", "parcels", "parcel_areas"))
-    return MARTS[name].build(owners, parcels, areas, before)
+        spark.table(f"raw.{x}").filter((F.col("file_index") >= first) & ~F.col("file_index").isin(same))
+        for x in ("owners", "parcels", "parcel_areas"))
+    kept = as_written(spark, name).filter(F.date_format("report_date", SNAPSHOT_FORMAT).isin(same)) if same else None
+    return MARTS[name].build(owners, parcels, areas, before, kept)
 
 
 def rebuild(spark: SparkSession, full: bool = False) -> str | None:
     """Bring both marts to the raw snapshots, from the first snapshot on that was added, replaced or emptied since the last
-    build (``full``: from the first of all); returns that snapshot. Earlier days are neither read nor written.
+    build (``full``: from the first of all); returns that snapshot. Earlier days are neither read nor written. All days
+    from there on are written with their change; holdings are computed for changed snapshots, the others' read from the mart.
     All days of both marts switch at once."""
     configure(spark)
     add_missing_areas(spark)
@@ -176,11 +182,12 @@ def rebuild(spark: SparkSession, full: bool = False) -> str | None:
         return None
     clear_unused(spark)
     first, version = changed[0], new_version()
+    same = sorted(x for x in now if x > first and x not in changed)
     day = date.fromisoformat(f"{first[:4]}-{first[4:6]}-{first[6:]}").isoformat()
     changes: Changes = {SOURCES: {x: now.get(x) for x in changed}}
     for name, mart in MARTS.items():
         before = rows_before(spark, name, first)
-        found = write_version(days_from(spark, name, first, before), name, version, mixed=True)
+        found = write_version(days_from(spark, name, first, before, same), name, version, mixed=True)
         changes[name] = {x: None for x in used.get(name, {}) if x >= day} | dict.fromkeys(found, version)
         rows = read_version(spark, name, version).select(mart.key, "report_date", mart.count, "exact_m2")
         last = _last_rows(rows if before is None else rows.unionByName(before), mart)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landmart.constants import COMMERCIAL_TYPES, RESIDENTIAL_TYPES
 from landmart.functions.attributes import in_types, report_date
@@ -26,8 +27,11 @@ def owner_daily_summary(
     return conform(owner_days(owners, parcels, areas, before), OWNER_DAILY_SUMMARY)
 
 
-def owner_days(owners: DataFrame, parcels: DataFrame, areas: DataFrame | None, before: DataFrame | None) -> DataFrame:
-    """The owner mart's rows with the area as computed."""
+def owner_days(
+    owners: DataFrame, parcels: DataFrame, areas: DataFrame | None, before: DataFrame | None, kept: DataFrame | None = None,
+) -> DataFrame:
+    """The owner mart's rows with the area as computed. ``kept`` has rows of other days as this returned them, of which only
+    what goes by an earlier day is computed again."""
     area = "total_real_property_land_area_owned_m2"
     per_owner = holdings_per_owner(holdings_per_parcel(holdings(owners, area_per_parcel(parcels) if areas is None else areas)))
     # one row per owner and snapshot here, so a window partition holds at most one row per snapshot
@@ -45,12 +49,22 @@ def owner_days(owners: DataFrame, parcels: DataFrame, areas: DataFrame | None, b
         F.col("real_mean_stake").alias("avg_real_property_investment_stake"),
         F.col("building_mean_stake").alias("avg_building_property_investment_stake"),
     )
-    return _after(before, summary, area, lambda days: days.withColumns({
+    return _after(before, _with(kept, summary, area, OWNER_DAILY_SUMMARY), area, lambda days: days.withColumns({
         "real_property_gain_loss": count_change(F.col("total_real_property_owned"), previous),
         "pct_land_area_gain_loss": area_change(F.col(area), previous),
     }))
 
 
+def _with(kept: DataFrame | None, days: DataFrame, area: str, layout: T.StructType) -> DataFrame:
+    """The days together with those of ``kept``, as they are written but for the area."""
+    if kept is None:
+        return days
+    columns = [f for f in layout.fields if f.name in days.columns and f.name != area]
+    exact = T.StructField(area, EXACT_AREA.dataType)
+    return conform(days, T.StructType([*columns, exact])).unionByName(
+        kept.drop(area).withColumnRenamed(EXACT_AREA.name, area).select(*[f.name for f in columns], area))
+
+
 def _after(before: DataFrame | None, days: DataFrame, area: str, changes: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``changes`` of the days, for which the rows of ``before`` are the earliest ones."""
     if before is None:
@@ -69,8 +83,10 @@ def land_type_daily_summary(
     return conform(land_type_days(owners, parcels, areas, before), LAND_TYPE_DAILY_SUMMARY)
 
 
-def land_type_days(owners: DataFrame, parcels: DataFrame, areas: DataFrame | None, before: DataFrame | None) -> DataFrame:
-    """The land type mart's rows with the area as computed."""
+def land_type_days(
+    owners: DataFrame, parcels: DataFrame, areas: DataFrame | None, before: DataFrame | None, kept: DataFrame | None = None,
+) -> DataFrame:
+    """The land type mart's rows with the area as computed. ``kept`` as for owners."""
     per_type = land_per_type(owners, area_per_parcel(parcels) if areas is None else areas)
     day = Window.partitionBy("report_date")
     previous = Window.partitionBy("account_type").orderBy("report_date")
@@ -85,7 +101,7 @@ def land_type_days(owners: DataFrame, parcels: DataFrame, areas: DataFrame | Non
         F.col("area_m2").alias("land_area_m2"),
         acres(F.col("area_m2")).alias("land_area_acres"),
     )
-    return _after(before, summary, "land_area_m2", lambda days: days.withColumns({
+    return _after(before, _with(kept, summary, "land_area_m2", LAND_TYPE_DAILY_SUMMARY), "land_area_m2", lambda days: days.withColumns({
         "pct_total_land_area": ratio(F.col("land_area_m2"), F.sum("land_area_m2").over(day)),
         "total_parcel_gain_loss": count_change(F.col("total_parcels"), previous),
         "pct_land_area_gain_loss": area_change(F.col("land_area_m2"), previous),

@@ -86,6 +86,15 @@ def test_hot_parcel_is_split(spark, skewed, name):
         assert sorted(map(tuple, df.collect()), key=repr) == expected
 
 
+@pytest.mark.parametrize("limit, join", [(None, "ShuffledHashJoin"), ("100", "SortMergeJoin")])
+def test_a_side_is_hashed_only_if_small(spark, skewed, limit, join):
+    """Unless a partition of either side is larger than the limit; 100 bytes are less than the advisory size."""
+    more = {"adaptive__maxShuffledHashJoinLocalMapThreshold": limit} if limit else {}
+    with settings(spark, autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1", **more):
+        for build in (marts.owner_daily_summary, marts.land_type_daily_summary):
+            assert set(re.findall(r"ShuffledHashJoin|SortMergeJoin", final_plan(build(*skewed)))) == {join}
+
+
 def test_owner_mart_plan(spark):
     text = plan(marts.owner_daily_summary(bindings.owners(spark, SF), bindings.parcels(spark, SF)))
     assert "Expand" not in text  # distinct counts do not multiply rows

@@ -165,6 +165,31 @@ def test_a_replaced_day_leaves_earlier_ones(spark, places):  # noqa: F811
         assert rows(spark.table(name)) == rows(full)
 
 
+def test_only_changed_days_are_computed_again(spark, places, monkeypatch):  # noqa: F811
+    """Of the other days from the first changed one on, the mart has the holdings; their change is computed anew."""
+    loaded(spark, places, 5)
+    for day, who in (("20210521", owner("ANN", "P2", "R1", "0.3")), ("20210523", owner("EVE", "P2"))):
+        put_owners(places[0], day, who)
+        jobs.run(spark, places[0], places[1], f"2021-05-{day[6:]}", overwrite=True)
+    old = {name: rows(spark.table(name)) for name in MART_TABLES}
+    read, write = {}, jobs.write_version
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "write_version", lambda df, name, *a, **b: read.update({name: df.inputFiles()}) or write(df, name, *a, **b))
+        assert jobs.rebuild(spark) == "20210521"
+    for name, full in in_full(spark).items():
+        assert {f.split("file_index=")[1][:8] for f in read[name] if "file_index=" in f} == {"20210521", "20210523"}
+        # the last rows before the first changed day, and the days that stay
+        assert {f.split("report_date=")[1][:10] for f in read[name] if "report_date=" in f} == {f"2021-05-2{k}" for k in (0, 2, 4)}
+        found = rows(spark.table(name))
+        assert found == rows(full)
+        # the day after a changed one has another change
+        day = [[r for r in x if str(r[0]) == "2021-05-22"] for x in (old[name], found)]
+        assert len(day[0]) == len(day[1]) and day[0] != day[1]
+    assert jobs.rebuild(spark, full=True) == "20210520"
+    for name, full in in_full(spark).items():
+        assert rows(spark.table(name)) == rows(full)
+
+
 @pytest.mark.parametrize("step", ["_append", "_show"])
 def test_both_marts_switch_together(spark, places, monkeypatch, step):  # noqa: F811
     loaded(spark, places, 2)
