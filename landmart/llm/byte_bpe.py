@@ -1,13 +1,14 @@
 """Byte-level BPE encoding and decoding by longest match and backtracking.
 
-A text is split into pieces by the vocabulary's pattern. The bytes of a piece, seen as Latin-1 characters,
-run through an Aho-Corasick automaton of all tokens, which gives the longest token from each position. The
+A text is split into pieces by the vocabulary's pattern. The bytes of a piece are seen as Latin-1 characters;
+a trie of all tokens gives the longest token from a position, for those positions that are come to. The
 encoder takes longest tokens from left to right and steps back to the next shorter one where two
 neighbours are not compatible, that is, where merging their bytes would not give just these two. Positions
 that no valid prefix ends at are remembered, so each is tried once: time is linear in the piece. The
 result is that of the merges, since a sequence is the merges' result exactly if all neighbours are compatible.
 
-Piece results and neighbour tests are memoised with a bound on their number; the bound affects speed only.
+Piece results and neighbour tests (the longest of a token and its shorter ones that may follow another) are
+memoised with a bound on their number; the bound affects speed only.
 
 Null text is an empty text: no ids, and it decodes to no bytes. Special tokens have no meaning. Rows are
 independent: repeated rows give repeated results, null doc_ids stay null, empty tables give empty results.
@@ -29,7 +30,9 @@ from pyspark.sql import DataFrame
 from landmart.llm.common import documents
 
 PIECES_KEPT = 200_000
-PAIRS_KEPT = 100_000
+PAIRS_KEPT = 400_000
+#: Hashes of pieces that came before are told apart by so many bytes.
+SLOTS = 1 << 22
 #: Token ids held as Python lists before they leave a task.
 IDS_HELD = 500_000
 NEVER = 1 << 60
@@ -41,6 +44,27 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
+class Following(dict):
+    """By ``left << 32 | token``: the longest one of ``token`` and its shorter ones that may follow ``left``, or None; fills itself."""
+
+    def __init__(self, bpe: Encoder):
+        super().__init__()
+        self.bpe = bpe
+
+    def __missing__(self, key: int) -> int | None:
+        left, token = key >> 32, key & 0xFFFFFFFF
+        while token is not None and not self.bpe.stay_apart(left, token):
+            token = self.bpe.shorter[token]
+        if len(self) >= PAIRS_KEPT:
+            self.clear()
+        self[key] = token
+        return token
+
+    def at_most(self, out: list[int], token: int | None) -> int | None:
+        """The same after the last one of ``out``; any token may come first."""
+        return self[out[-1] << 32 | token] if out and token is not None else token
+
+
 class Encoder(dict):
     """Ids of a piece, as a mapping that fills itself."""
 
@@ -52,19 +76,25 @@ class Encoder(dict):
         self.split = regex.compile(pattern).findall
         self.pattern = regex.compile(pattern)
         self.before: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[int, bool] = {}
+        self.came = bytearray(SLOTS)
         # tokens that merges can make, with the two parts of their last merge; others only stand for whole pieces
         self.parts = {r: parts for t, r in self.ranks.items() if (parts := self.last_merge(t)) is not None}
-        self.automaton = ahocorasick.Automaton()
-        for rank in self.parts:
-            token = self.tokens[rank]
-            self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
-        self.automaton.make_automaton()
+        self.trie = ahocorasick.Automaton()
+        self.longest: dict[str, int] = {}  # the longest token that a path of the trie begins with
         self.shorter: dict[int, int | None] = {}
         for rank in self.parts:
             token = self.tokens[rank]
             cuts = (self.ranks.get(token[:k]) for k in range(len(token) - 1, 0, -1))
             self.shorter[rank] = next((r for r in cuts if r in self.parts), None)
+            self.trie.add_word(token.decode("latin-1"), rank)
+            self.longest[token.decode("latin-1")] = rank
+        for path in list(self.longest):
+            known = None
+            for k in range(1, len(path)):
+                known = self.longest.setdefault(path[:k], known)
+        self.size = {rank: len(token) for rank, token in self.tokens.items()}
+        self.most = max(map(len, self.longest), default=0)
+        self.following = Following(self)
         if any(max(parts) >= rank for rank, parts in self.parts.items() if parts):
             raise ValueError("a token ranks before its parts")
         self.first: dict[int, tuple[int, ...]] = {}
@@ -89,15 +119,6 @@ class Encoder(dict):
             known[token] = (*self.edge(parts[side], side), token) if parts else (token,)
         return known[token]
 
-    def compatible(self, left: int, right: int) -> bool:
-        key = left << 32 | right
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= PAIRS_KEPT:
-                self.pairs.clear()
-            known = self.pairs[key] = self.stay_apart(left, right)
-        return known
-
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether merging both tokens' bytes makes just these tokens: at no time may what lies left and
         right of the border merge before one of them goes on to its own next merge. Of equal ranks the
@@ -117,35 +138,37 @@ class Encoder(dict):
                 j += 1
 
     def backtrack(self, data: bytes) -> tuple[int, ...]:
-        n = len(data)
-        longest: list[int] = [0] * n
-        for end, (size, rank) in self.automaton.iter(data.decode("latin-1")):
-            longest[end + 1 - size] = rank  # later ends are longer matches
-        size_of, dead = self.tokens, set()
+        n, path, dead = len(data), data.decode("latin-1"), set()
+        size, shorter, following, longest, reach, most = self.size, self.shorter, self.following, self.longest, self.trie.longest_prefix, self.most
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token = 0, longest[path[:reach(path[:most])]]
         while True:
-            end = at + len(size_of[token])
-            if end not in dead and (not out or self.compatible(out[-1], token)):
-                out.append(token)
-                if end == n:
-                    return tuple(out)
-                at, token = end, longest[end]
-                continue
-            token = self.shorter[token]
-            while token is None:
+            while token is not None and dead and at + size[token] in dead:
+                token = following.at_most(out, shorter[token])
+            if token is None:
                 dead.add(at)
                 token = out.pop()
-                at -= len(size_of[token])
-                token = self.shorter[token]
+                at -= size[token]
+                token = following.at_most(out, shorter[token])
+                continue
+            out.append(token)
+            at += size[token]
+            if at == n:
+                return tuple(out)
+            token = following[token << 32 | longest[path[at:at + reach(path[at:at + most])]]]
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = self.before.get(piece)
-        if ids is None:
+        keep = ids is not None
+        if not keep:
             data = piece.encode()
             whole = self.ranks.get(data)
             ids = (whole,) if whole is not None else self.backtrack(data)
-        if len(piece) < 64:
+            if len(piece) < 64:  # most pieces come once: those of several tokens are kept from the second time on
+                slot = hash(piece) % SLOTS
+                keep = whole is not None or self.came[slot]
+                self.came[slot] = 1
+        if keep:
             if len(self) >= PIECES_KEPT:  # what was used lately is still found in `before`
                 self.before = dict(self)
                 self.clear()

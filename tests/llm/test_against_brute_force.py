@@ -414,6 +414,31 @@ def test_small_memos_change_nothing(monkeypatch):
         assert bpe.encode(text) == want.encode_ordinary(text)
 
 
+def test_pieces_that_come_once_are_not_kept(monkeypatch):
+    """What comes again stays in the memo, however many pieces come once in between, and is not encoded again."""
+    monkeypatch.setattr(byte_bpe, "PIECES_KEPT", 20)
+    bpe, rng = byte_bpe.Encoder(byte_bpe.read_ranks(PATH), PATTERN), random.Random(4)
+    once = ["".join(rng.choice("bcdfghjkqvwxz") for _ in range(12)) for _ in range(400)]
+    again = ["schberheiten", "undeinlichen"]
+    for piece in again * 2:
+        bpe.encode(piece)
+    for piece in once:
+        bpe.encode(piece)
+    monkeypatch.setattr(bpe, "backtrack", None)
+    for piece in again:
+        assert bpe.encode(piece)
+
+
+def test_longest_tokens_by_the_trie():
+    bpe, rng = byte_bpe.Encoder(byte_bpe.read_ranks(PATH), PATTERN), random.Random(5)
+    tokens = [t for t, r in bpe.ranks.items() if r in bpe.parts]
+    for _ in range(2000):
+        data = rng.choice(tokens)[:rng.randrange(1, 20)] + rng.choice(tokens)
+        text = data.decode("latin-1")
+        want = max((data[:k] for k in range(1, len(data) + 1) if bpe.ranks.get(data[:k]) in bpe.parts), key=len)
+        assert bpe.tokens[bpe.longest[text[:bpe.trie.longest_prefix(text)]]] == want
+
+
 def test_edits():
     bpe, rng = byte_bpe.Encoder(byte_bpe.read_ranks(PATH), PATTERN), random.Random(3)
     for k in range(800):
