@@ -70,6 +70,8 @@ BASE = random_odd(1, 2)[0]
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+BYTE[SPACE] = 0  # a word's sum may run on to the next word
+WORD = ~SPACE
 #: Bytes hashed at a time, up to the end of a word.
 PIECE = 1 << 17
 
@@ -85,8 +87,10 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * MIX
-    return h ^ (h >> np.uint64(29))
+    h = h ^ (h >> np.uint64(32))
+    h *= MIX
+    h ^= h >> np.uint64(29)
+    return h
 
 
 def word_hashes(text: bytes) -> np.ndarray:
@@ -99,11 +103,18 @@ def word_hashes(text: bytes) -> np.ndarray:
             cut = max(text.rfind(c, at, end) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
             end = cut + 1 if cut > at else end
         b = np.frombuffer(text, np.uint8, end - at, at)
-        blank = SPACE[b]
-        edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
-        start, stop = edge[::2], edge[1::2]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE[b] * up[:len(b)])])
-        h = mixed((sums[stop] - sums[start]) * down[start])
+        word = WORD.take(b)
+        start = np.flatnonzero(word[1:] > word[:-1]) + 1
+        if word[0]:
+            start = np.concatenate([[0], start])
+        if not len(start):
+            at = end
+            continue
+        value = BYTE.take(b)
+        value *= up[:len(b)]
+        h = np.add.reduceat(value, start)
+        h *= down[start]
+        h = mixed(h)
         if out and len(h) and start[0] == 0 and not SPACE[text[at - 1]]:  # goes on with the word before
             out[-1][-1:] = mixed(out[-1][-1:] + h[:1])
             h = h[1:]
@@ -122,8 +133,12 @@ def shingles(text: str | None) -> np.ndarray:
     size = min(n, WORDS)
     h = np.full(n - size + 1, size, np.uint64)
     for k in range(size):
-        h = (h ^ (h >> np.uint64(29))) * MIX + w[k:n - size + 1 + k]
-    return np.unique(mixed(h))
+        h ^= h >> np.uint64(29)
+        h *= MIX
+        h += w[k:n - size + 1 + k]
+    h = mixed(h)
+    h.sort()
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def class_of(found: np.ndarray) -> int:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -93,6 +94,27 @@ def test_long_lists_change_nothing(spark, monkeypatch):
         monkeypatch.undo()
 
 
+def test_blanks_around_words_change_nothing():
+    text = b" \n" + b"some words of a text \t\t" * 5000 + b"\n "
+    found = ngram_join.word_hashes(text)
+    assert (found == ngram_join.word_hashes(b" ".join(text.split()))).all() and len(np.unique(found)) == 5
+    assert len(ngram_join.word_hashes(b" \n ")) == 0
+
+
+def test_shingles_are_made_in_place(monkeypatch):
+    """At most three arrays of the text's length are held at a time, not one for each step."""
+    words = np.random.default_rng(1).integers(0, 2**64, 100_000, np.uint64)
+    monkeypatch.setattr(ngram_join, "word_hashes", lambda text: words)
+    tracemalloc.start()
+    try:
+        found = ngram_join.shingles("x")
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found) == len(words) - 4 and (found[1:] > found[:-1]).all()
+    assert most < 32 * len(words)
+
+
 def test_word_hashes_by_pieces(monkeypatch):
     text = prose(random.Random(1), 400).encode() + b"\n\t" + b"w" * 500 + b" end"
     whole = ngram_join.word_hashes(text)
