@@ -181,6 +181,11 @@ class Encoder(dict):
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def release(self) -> None:
+        """Lets go of the vocabulary and the memos; the encoder is of no use any more."""
+        self.clear()
+        vars(self).clear()
+
 
 @lru_cache(maxsize=2)
 def encoder(rank_file: bytes, pattern: str) -> Encoder:
@@ -227,19 +232,28 @@ def decoded(ids: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def with_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encodes and decodes every text in one pass: doc_id, n_tokens, ids and the digests of ids (decimal,
-    joined by commas) and of the decoded bytes."""
+    joined by commas) and of the decoded bytes. A task makes its encoder and lets it go: Spark keeps idle Python workers,
+    and what they hold would be missing in the stages that a pipeline runs next."""
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(shared.value, pattern)
-        for batch in batches:
-            for part, ids in parts_of(batch, bpe):
-                of_ids = [hashlib.sha256(",".join(map(bpe.decimal.__getitem__, x)).encode()).hexdigest() for x in ids]
-                of_bytes = [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
-                    ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+        bpe, pool = None, pa.default_memory_pool()
+        pool.release_unused()  # of the stages before
+        try:
+            for batch in batches:
+                if bpe is None and batch.num_rows:
+                    bpe = Encoder(shared.value, pattern)
+                for part, ids in parts_of(batch, bpe):
+                    of_ids = [hashlib.sha256(",".join(map(bpe.decimal.__getitem__, x)).encode()).hexdigest() for x in ids]
+                    of_bytes = [hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())),
+                         pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
+                        ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+        finally:
+            if bpe is not None:
+                bpe.release()
+            pool.release_unused()
 
     return documents(docs).mapInArrow(
         run, "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")

@@ -1,12 +1,16 @@
 """The corpus pipeline against plain Python, stage by stage, and the driver's contract."""
 
+import base64
+import gc
 import hashlib
 import math
 import random
 import re
+import time
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 
 import corpus_pipeline
@@ -101,6 +105,23 @@ def test_repeated_ids_keep_their_own_groups(spark):
     assert kept([(1, one), *[(2, one)] * 5, (2, two), (3, two), (2, None), (2, "")]) == sorted([(1, one), (2, two), (2, "")], key=repr)
 
 
+def test_workers_keep_no_encoder(spark, tmp_path):
+    """Idle Python workers hold nothing of the last stage, whose memory the stages of the next run need."""
+    pattern = "(?:own|[^o]|o)"  # tells this test's encoders from others in the same workers
+    ranks = tmp_path / "ranks"
+    ranks.write_bytes(b"".join(base64.b64encode(bytes([i])) + b" %d\n" % i for i in range(256)))
+
+    def held(batches):
+        time.sleep(0.3)  # for all workers to take part
+        found = [x for x in gc.get_objects() if type(x).__name__ == "Encoder" and "pattern" in vars(x) and x.pattern.pattern == pattern]
+        yield from (pa.RecordBatch.from_arrays([pa.array([len(found)] * b.num_rows)], ["n"]) for b in batches)
+
+    docs = spark.createDataFrame([(i, f"own text {i}") for i in range(16)], "doc_id long, text string").repartition(8)
+    got = byte_bpe.with_ids(docs, str(ranks), pattern).collect()
+    assert {r["doc_id"]: bytes(r["ids"]).decode() for r in got} == {i: f"own text {i}" for i in range(16)}
+    assert {r["n"] for r in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 
