@@ -17,7 +17,8 @@ T = ceil(3 (a + b) / 7).
    in many, where sizes allow a link; as many of its longest lists are skipped as a link has in common at least, less one.
 5. The search (``Index.search``) sets the longest lists aside, merges the short ones counting how often each set
    occurs, and probes the long ones, by bisection, for the sets that may still reach T (DivideSkip). No pair
-   of sets leaves a shard but links, and no set is sent for a pair.
+   of sets leaves a shard but links, and no set is sent for a pair. Shards are searched in rounds, since whole sets take
+   more than their texts: the texts are kept by round, and only a round's sets are on their way at a time.
 
 The order of shingles, and with it ``LONG_SHARE``, changes the cost only; no list, candidate or partner is
 capped. Shingle hashes and class digests have 64 bits.
@@ -32,13 +33,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from landmart.llm.common import documents, forget, stored
 
@@ -52,6 +54,9 @@ LONG_KEPT = 200_000
 #: Shingles of a shard, and of the visitors that are searched in it at a time.
 SHARD = 500_000
 VISITORS = 2_000_000
+#: Shingles that are sent to shards in a round, and how many rounds there are at most.
+ROUND = 16_000_000
+ROUNDS = 8
 #: Sizes are told apart by steps of a natural logarithm's part when shards to visit are sought.
 SIZE_STEPS = 40
 #: What a probe into a long list costs, next to a step of the merge.
@@ -233,19 +238,20 @@ def possible(pairs: DataFrame, first: DataFrame) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "fa", "fb").mapInArrow(run, "a long, b long")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, set) of the representatives in ``wanted`` (doc_id, c). The class is computed again, since doc_ids
-    may repeat with other texts."""
+def sets_of(texts: DataFrame) -> DataFrame:
+    """The sets of ``texts`` (c, text and others) in place of the texts. Only texts of class ``c`` stay, since doc_ids may
+    repeat with other texts."""
+    more = [x for x in texts.columns if x not in ("c", "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingles(x.as_py()) for x in batch.column("text")]
             same = [class_of(x) == c for x, c in zip(found, batch.column("c").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("c"), pa.array([x.tobytes() for x in found], pa.binary())], ["c", "set"]).filter(pa.array(same, pa.bool_()))
+                [*[batch.column(x) for x in ["c", *more]], pa.array([x.tobytes() for x in found], pa.binary())], ["c", *more, "set"]
+            ).filter(pa.array(same, pa.bool_()))
 
-    one = documents(docs).join(wanted, "doc_id").select("c", "text")
-    return one.mapInArrow(run, "c long, set binary").dropDuplicates(["c"])
+    return texts.mapInArrow(run, StructType([*[texts.schema[x] for x in ["c", *more]], StructField("set", BinaryType())]))
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -272,9 +278,10 @@ def leaders(member: DataFrame) -> DataFrame:
     return stored(lead.select("token", F.col("c").alias("x"), F.col("n").alias("a"), F.col("root").alias("other")), "leaders")
 
 
-def by_leaders(docs: DataFrame, reps: DataFrame, first: DataFrame, member: DataFrame) -> DataFrame:
+def by_leaders(docs: DataFrame, reps: DataFrame, first: DataFrame, member: DataFrame, repeated: bool) -> DataFrame:
     """The links (a, b) of members with the leader of the lists that they share most of: the member of a list with most of
-    its shingles in lists, which copies were made from."""
+    its shingles in lists, which copies were made from. ``first`` is not needed any more then and goes; ``repeated`` as for
+    ``searched``."""
     lead = leaders(member)
     tried = (
         member.join(lead, "token")
@@ -284,9 +291,10 @@ def by_leaders(docs: DataFrame, reps: DataFrame, first: DataFrame, member: DataF
         .select(F.least("x", "c").alias("a"), F.greatest("x", "c").alias("b")).distinct()
     )
     likely = stored(possible(tried, first), "candidates")
-    forget(lead)
+    forget(lead, first)
     wanted = likely.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(reps, "c")
-    sets = stored(sets_of(docs, wanted), "sets")
+    sets = sets_of(documents(docs).join(wanted, "doc_id").select("c", "text"))
+    sets = stored(sets.dropDuplicates(["c"]) if repeated else sets, "sets")
     links = stored(linked(likely, sets), "links")
     forget(likely, sets)
     return links
@@ -366,13 +374,15 @@ class Index:
         return maybe[found >= need[maybe]]
 
 
-def searched(docs: DataFrame, reps: DataFrame, member: DataFrame) -> DataFrame:
+def searched(docs: DataFrame, reps: DataFrame, member: DataFrame, repeated: bool) -> DataFrame:
     """The links (a, b) between components: every member is a query to the shards it has to visit. Visitors of a shard come
-    in groups of about ``VISITORS`` shingles, each with a copy of the shard."""
+    in groups of about ``VISITORS`` shingles, each with a copy of the shard. The groups are searched in rounds of about
+    ``ROUND`` shingles. ``repeated`` says that doc_ids repeat, so that a class may be found in several rows."""
 
-    def run(visitors: pa.Table, shard: pa.Table) -> pa.Table:
+    def run(met: pa.Table) -> pa.Table:
         a, b = [], []
         sets = lambda t: [np.frombuffer(x.as_py(), np.uint64) for x in t["set"]]
+        visitors, shard = met.filter(met["visits"]), met.filter(pc.invert(met["visits"]))
         if len(visitors) and len(shard):
             index = Index(sets(shard))
             classes, roots = shard["c"].to_numpy(), shard["root"].to_numpy()
@@ -386,17 +396,26 @@ def searched(docs: DataFrame, reps: DataFrame, member: DataFrame) -> DataFrame:
     placed = stored(shards_of(member), "shards")
     going = visits(member, placed)
     groups = stored(going.groupBy("shard").agg(F.ceil(F.sum("n") / VISITORS).alias("groups")), "groups")
-    visited = stored(placed.join(groups, "shard", "left_semi"), "visited")
-    wanted = visited.select("c").union(going.select("c")).distinct().join(reps, "c").select("c", "doc_id")
-    sets = stored(sets_of(docs, wanted), "sets")
-    visitors = going.join(groups, "shard").join(sets, "c").select(
-        "shard", F.pmod(F.xxhash64("c"), F.col("groups")).alias("turn"), "c", "root", "set")
+    visitors = going.join(groups, "shard").select(
+        "c", "n", "root", "shard", F.pmod(F.xxhash64("c"), F.col("groups")).alias("turn"), F.lit(True).alias("visits"))
     each = groups.select("shard", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("turn"))
-    homes = visited.join(sets, "c").join(each, "shard").select("shard", "turn", "c", "root", "set")
-    homes = homes.toDF(*homes.columns)  # other names for the same columns of `sets`
-    links = stored(visitors.groupBy("shard", "turn").cogroup(homes.groupBy("shard", "turn")).applyInArrow(run, "a long, b long"), "links")
-    forget(placed, going, visited, sets)
-    return links
+    homes = placed.join(each, "shard").select("c", "n", "root", "shard", "turn", F.lit(False).alias("visits"))
+    sent = stored(visitors.unionByName(homes), "sent")
+    rounds = min(ROUNDS, -(-(sent.agg(F.sum("n")).first()[0] or 0) // ROUND) or 1)
+    to = sent.withColumn("round", F.pmod(F.xxhash64("shard", "turn"), F.lit(rounds)).cast("int")).groupBy("c", "round").agg(
+        F.collect_list(F.struct("shard", "turn", "visits", "root")).alias("to")).join(reps, "c")
+    texts = documents(docs).join(to, "doc_id").select("c", "to", "text", "round")
+    if repeated:  # the first of those with the set
+        texts = texts.withColumn("own", F.col("text"))
+        texts = sets_of(texts).dropDuplicates(["c", "round"]).select("c", "to", F.col("own").alias("text"), "round")
+    texts = stored(texts, "texts", "round", compression="zstd")
+    forget(placed, going, groups, sent)
+    links = []
+    for k in range(rounds):
+        sets = sets_of(texts.filter(F.col("round") == k).select("c", "to", "text")).select(F.explode("to").alias("to"), "c", "set")
+        links.append(stored(sets.select("to.*", "c", "set").groupBy("shard", "turn").applyInArrow(run, "a long, b long"), "links"))
+    forget(texts)
+    return reduce(DataFrame.unionByName, links)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -450,6 +469,7 @@ def grouped(docs: DataFrame) -> DataFrame:
         F.col("x.long").alias("token")).agg(F.sum("x.times").alias("n")).orderBy(F.desc("n"), "token").limit(LONG_KEPT).select("token").collect()
     late = np.sort(np.array([r[0] for r in lists], np.int64).view(np.uint64))
 
+    repeated = not every.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty()
     reps = stored(every.filter("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id")), "reps")
     first = stored(firsts(docs, late).dropDuplicates(["c"]), "firsts")
     posted = first.select(F.explode("first").alias("token"), "c", "n")
@@ -459,8 +479,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     member = stored(lists.join(in_lists, "c").withColumn("root", F.col("c")), "members")
     forget(met, lists)
 
-    links = by_leaders(docs, reps, first, member)
-    forget(first)
+    links = by_leaders(docs, reps, first, member, repeated)
     part = stored(components(links), "parts")
     found = part.select(F.col("node").alias("c"), F.col("root").alias("new"))
     apart = stored(member.join(found, "c", "left").withColumn("root", F.coalesce("new", "root")).drop("new"), "members")
@@ -469,7 +488,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     open_lists = stored(apart.join(several, "token"), "members")  # those that hold several components
     forget(member, apart, several)
     if not open_lists.isEmpty():
-        more = searched(docs, reps, open_lists)
+        more = searched(docs, reps, open_lists, repeated)
         part = components(part.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     forget(open_lists)
 

@@ -94,6 +94,28 @@ def test_long_lists_change_nothing(spark, monkeypatch):
         monkeypatch.undo()
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_sets_are_sent_in_rounds(spark, monkeypatch, repeated):
+    """Only the sets of a round are on their way at a time, and they are kept as texts until then."""
+    rows = corpus(5)
+    want = brute_components(sets(rows))
+    rows += rows[::3] * repeated
+    kept, stored = [], ngram_join.stored
+
+    def noted(df, name, *by, **options):
+        kept.append((name, df.columns))
+        return stored(df, name, *by, **options)
+
+    monkeypatch.setattr(ngram_join, "stored", noted)
+    monkeypatch.setattr(ngram_join, "by_leaders", lambda docs, *_: docs.sparkSession.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(ngram_join, "ROUND", 1)
+    monkeypatch.setattr(ngram_join, "ROUNDS", 5)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.joined(table(spark, rows).repartition(3)).collect()}
+    assert got == want
+    assert not any("set" in columns for _, columns in kept)
+    assert sum(name == "links" for name, _ in kept) == 5
+
+
 def test_blanks_around_words_change_nothing():
     text = b" \n" + b"some words of a text \t\t" * 5000 + b"\n "
     found = ngram_join.word_hashes(text)
