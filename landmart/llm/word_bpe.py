@@ -39,7 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landmart.llm.common import documents, dropped_shuffles, forget, scratch, stored
+from landmart.llm.common import documents, forget, scratch, stored
+from landmart.session import dropped_shuffles
 
 CHUNK_WORDS = 400_000
 CHUNK_LENGTH = 6_000_000

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landmart.schemas import EXACT_AREA, TABLES_BY_NAME, conform
+from landmart.session import dropped_shuffles
 from landmart.sources.landing import qualified
 
 RAW_TABLES = {name: layout for name, layout in TABLES_BY_NAME.items() if name.startswith("raw.")}
@@ -147,7 +148,8 @@ def write_version(rows: DataFrame, table: str, version: str, mixed: bool) -> lis
     if mixed:
         rows = rows.hint("rebalance", key)
     folder = f"{location(spark, table)}/version={version}"
-    rows.write.partitionBy(key).parquet(folder)
+    with dropped_shuffles(spark):
+        rows.write.partitionBy(key).parquet(folder)
     return sorted(_value(spark, path) for path in _listed(spark, f"{folder}/{key}=*"))
 
 

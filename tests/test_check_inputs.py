@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from pathlib import Path
 
 from checks import bindings, loads
 from checks.registry import queries
@@ -37,6 +38,38 @@ def test_a_large_year_lands_in_several_files(spark, tmp_path, monkeypatch):
     assert found[1_000_000][1] == 2 and found[20][1] > 12
 
 
+def test_files_land_and_are_loaded_in_rounds(spark, tmp_path, monkeypatch):
+    """A round's files go when the next ones land; the rows are those of one round."""
+    folder = given(spark, tmp_path / "tables")
+    found, landed, run = {}, [], loads.jobs.run
+    monkeypatch.setattr(loads, "FILE_ROWS", 20)
+
+    def noted(spark, landing, warehouse, snapshots, **more):
+        landed.append(sorted(x.name for x in Path(landing).glob("[0-9]*")))
+        return run(spark, landing, warehouse, snapshots, **more)
+
+    monkeypatch.setattr(loads.jobs, "run", noted)
+    for size in (1_000_000, 50):
+        monkeypatch.setattr(loads, "ROUND_ROWS", size)
+        landed.clear()
+        base = tmp_path / f"run-{size}"
+        monkeypatch.setattr(loads, "_folder", lambda spark, name, base=base: f"{base}/{name}")
+        rows = sorted(map(str, queries()["landed_owner_rows"](spark, folder).collect()))
+        found[size] = rows, [list(x) for x in landed]
+    assert found[1_000_000][0] == found[50][0]
+    (whole, _), parts = found[1_000_000][1], found[50][1][:-1]
+    assert len(parts) >= 5 and sum(parts, []) == whole and max(map(len, parts)) <= 4
+
+
+def test_years_are_dealt_to_rounds(monkeypatch):
+    monkeypatch.setattr(loads, "FILE_ROWS", 10)
+    monkeypatch.setattr(loads, "ROUND_ROWS", 40)
+    dealt = loads._rounds({"1993": 55, "1992": 15, "1994": 5})
+    assert dealt == [{"1992": range(0, 2), "1993": range(0, 3)}, {"1993": range(3, 6), "1994": range(0, 1)}]
+    assert loads._rounds({}) == []
+    assert len(loads._rounds({str(1900 + k): 1000 for k in range(100)})) <= loads.ROUNDS + 1
+
+
 def test_numbers_of_a_geometry_are_made_once(spark, tmp_path):
     folder = given(spark, tmp_path / "tables")
     made = bindings.parcel_wkb(spark, folder)
